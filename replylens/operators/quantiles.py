@@ -68,14 +68,13 @@ def summarise(
     rows = rows.withColumn("cell", F.col(value) - F.pmod(F.col(value), F.lit(CELL_WIDTH).cast("bigint")))
     cells = rows.groupBy(*groups, "cell").agg(*stats)
     placed = _ranked(cells, groups, "cell")
+    keys = [*groups, "cell"]
     wanted = placed.filter(_any([_hit(rank) for rank in ranks.values()])).select(
-        *groups, "cell", "before", "size"
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("before").alias("offset"), "size"
     )
-    same = [rows[g].eqNullSafe(wanted[g]) for g in groups] + [rows["cell"] == wanted["cell"]]
     # Each cell holds at most CELL_WIDTH distinct values, each group at most len(ranks) such cells.
-    near = rows.join(wanted, _all(same)).select(
-        *[rows[c] for c in rows.columns], wanted["before"].alias("offset"), wanted["size"]
-    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    near = rows.join(wanted, same).drop(*[f"_{k}" for k in keys])
     inner = Window.partitionBy(*groups, "cell").orderBy(value)
     near = near.withColumn(
         "before",
@@ -112,10 +111,3 @@ def _any(conditions: list) -> Column:
     for c in conditions:
         result = result | c
     return result
-
-
-def _all(conditions: list) -> Column:
-    result = conditions[0]
-    for c in conditions[1:]:
-        result = result & c
-    return result

@@ -40,6 +40,21 @@ def split_by_keys(df: DataFrame, key: str, keys: list) -> tuple:
     return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
 
 
+def key_join(df: DataFrame, per_key: DataFrame, key: str, how: str, hot_rows: int | None) -> DataFrame:
+    """Join `df` with a table that has at most one row per key, where one key may dominate `df`.
+
+    Rows of hot keys stay where they are and get the few matching rows of `per_key` by
+    broadcast (at most MAX_HOT_KEYS rows); all other rows take the ordinary shuffled join.
+    """
+    hot = [] if hot_rows is None else find_hot_keys(df, key, hot_rows)
+    if not hot:
+        return df.join(per_key, key, how)
+    keys = [k for k, _ in hot]
+    heavy, rest = split_by_keys(df, key, keys)
+    few, _ = split_by_keys(per_key, key, keys)
+    return heavy.join(F.broadcast(few), key, how).unionByName(rest.join(per_key, key, how))
+
+
 def segment_count(rows: int, rows_per_segment: int) -> int:
     return max(1, math.ceil(rows / rows_per_segment))
 
