@@ -186,6 +186,31 @@ def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, g
     return len(names)
 
 
+def correlate_pending(spark: SparkSession, bp: Blueprint, root: str, **options) -> int:
+    """Match all stored events that no pair has used; append the pairs. Returns their number.
+
+    Writing the pairs is what marks the events as used, so both happen or neither does.
+    """
+    from replylens.operators.correlate import correlate, pending
+    from replylens.session import cut_lineage
+
+    path = f"{root}/pairs"
+    stored = read_batches(spark, f"{root}/raw_events", event_schema(bp)).drop("batch_id")
+    known = read_batches(spark, path, pair_schema(bp)).drop("batch_id")
+    waiting = pending(stored.filter((F.col("blueprint") == bp.name) & F.col("role").isNotNull()), known)
+    found = cut_lineage(dedup.dedup_pairs(correlate(waiting, bp, **options)))
+    number = found.count()
+    if number:
+        write_batch(found, path, max(batch_ids(spark, path), default=-1) + 1)
+    return number
+
+
+def read_once(spark: SparkSession, bp: Blueprint, root: str, paths, read, glob: str | None = None, **options) -> int:
+    """One pass of the reader: take in changed files, then match what is pending."""
+    ingest_changed(spark, bp, root, paths, read, glob)
+    return correlate_pending(spark, bp, root, **options)
+
+
 # -- sinks -----------------------------------------------------------------------------------
 
 
