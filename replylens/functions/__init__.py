@@ -4,6 +4,7 @@ from replylens.functions.columns import (
     hash_key,
     latency_ms,
     mask_pan,
+    once,
     outcome,
     prefer_response,
     round_half_up,
@@ -17,6 +18,7 @@ __all__ = [
     "hash_key",
     "latency_ms",
     "mask_pan",
+    "once",
     "outcome",
     "prefer_response",
     "round_half_up",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the accepted instant form (UTC only, up to nanoseconds).
@@ -14,6 +14,16 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def once(df: DataFrame, columns: list) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    The optimizer merges adjacent projections and moves filters below them, which repeats an
+    expensive expression (a regular expression, a JSON parse) at each of its uses. It does not
+    do so across a generator, and one over a single struct keeps one row per row.
+    """
+    return df.select(*[field(c) for c in df.columns], F.inline(F.array(F.struct(*columns))))
+
+
 def strict_instant(text: Column) -> Column:
     """TIMESTAMP of an ISO instant in UTC; NULL for anything else."""
     return F.when(text.rlike(INSTANT_FORM), F.try_to_timestamp(F.upper(text)))

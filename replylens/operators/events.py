@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from replylens.blueprint import Blueprint, column_of
-from replylens.functions import field, strict_instant
+from replylens.functions import field, once, strict_instant
 
 REQUEST = "request"
 RESPONSE = "response"
@@ -34,7 +34,14 @@ def event_time(df: DataFrame, name: str) -> Column:
 
 def classify(df: DataFrame, bp: Blueprint) -> DataFrame:
     """Add `role` and drop records that are neither request nor response."""
-    return df.withColumn("role", role(bp)).filter(F.col("role").isNotNull())
+    return df.filter(has_role(bp)).withColumn("role", role(bp))
+
+
+def has_role(bp: Blueprint) -> Column:
+    """The same as `role(bp).isNotNull()`, as comparisons that reach the scan."""
+    return (field(bp.request_type_field) == bp.request_value) | (
+        field(bp.response_type_field) == bp.response_value
+    )
 
 
 def valid_events(df: DataFrame) -> DataFrame:
@@ -57,22 +64,26 @@ def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None) -> DataFra
     `role` stays NULL for other message types, which are stored but never matched. Only the
     fields the blueprint names are read; `keep` lists further columns to pass through.
     """
-    keep = keep or [c for c in ("event_id", "source", "offset") if c in df.columns]
-    events = require_core_fields(df, bp).select(
+    if keep is None:
+        keep = [c for c in ("event_id", "source", "offset") if c in df.columns]
+    records = require_core_fields(df, bp)
+    time = event_time(df, bp.timestamp_field)
+    if isinstance(df.schema[bp.timestamp_field].dataType, T.StringType):
+        records, time = once(records, [time.alias("_time")]), F.col("_time")
+    return records.select(
         *keep,
         F.lit(bp.name).alias("blueprint"),
         field(bp.key_field).cast("string").alias("correlation_key"),
         event_type(bp).alias("event_type"),
         role(bp).alias("role"),
-        event_time(df, bp.timestamp_field).alias("event_ts"),
+        time.alias("event_ts"),
         *[field(c).cast("string").alias(column_of(c)) for c in bp.carried_fields],
     )
-    return events
 
 
 def matchable(df: DataFrame, bp: Blueprint) -> DataFrame:
     """Flat records -> valid, classified events, ready for `correlate`."""
-    return valid_events(normalise(df, bp)).filter(F.col("role").isNotNull())
+    return valid_events(normalise(df.filter(has_role(bp)), bp))
 
 
 def split_rejects(df: DataFrame, reason: Column, value: Column, source: Column | None = None) -> tuple:

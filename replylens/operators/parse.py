@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replylens.functions import hash_key
+from replylens.functions import field, hash_key, once
 
 # The lines and fields of a payment message block.
 BLOCK_PID = r"(?m)Pid:[^\S\n]*(\d+)"
@@ -40,24 +40,28 @@ def json_object(value: Column) -> Column:
 
 
 def _json_path(parts: list) -> str:
-    return "$" + "".join("['" + p.replace("'", "\\'") + "']" for p in parts)
-
-
-def _json_field(value: Column, top: Column, name: str) -> Column:
-    """Text of a possibly nested entry; an object is no value, its own entries are."""
-    found = F.element_at(top, F.lit(name)) if "." not in name else None
-    options = [] if found is None else [(found, [name])]
-    if "." in name:
-        parts = name.split(".")
-        options = [
-            (F.get_json_object(value, _json_path(parts)), parts),
-            (F.element_at(top, F.lit(name)), [name]),
-        ]
-    texts = []
-    for text, parts in options:
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), _json_path(parts), "variant"))
-        texts.append(F.when(~text.startswith("{") | ~kind.startswith("OBJECT"), text))
-    return F.coalesce(*texts)
+    return "$" + "".join(f"['{p}']" for p in parts)
+
+
+def _splits(name: str) -> list:
+    """All ways to read a dotted name as nested keys, most nested first: a key may hold dots."""
+    parts = name.split(".")
+    found = [[parts[0]]]
+    for part in parts[1:]:
+        found = [f + [part] for f in found] + [[*f[:-1], f"{f[-1]}.{part}"] for f in found]
+    return found
+
+
+def _json_text_at(value: Column, top: Column, keys: list) -> Column:
+    text = F.element_at(top, F.lit(keys[0]))
+    return F.when(text.startswith("{"), F.get_json_object(value, _json_path(keys))) if keys[1:] else text
+
+
+def _not_object(text: Column, value: Column, keys: list) -> Column:
+    """An object is no value, its own entries are. Only text that looks like an object is parsed
+    again to tell it from a string."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), _json_path(keys), "variant"))
+    return F.when(text.startswith("{"), F.when(~kind.startswith("OBJECT"), text)).otherwise(text)
 
 
 def parse_json_fields(df: DataFrame, fields: list, value: str = "value") -> DataFrame:
@@ -66,13 +70,21 @@ def parse_json_fields(df: DataFrame, fields: list, value: str = "value") -> Data
     Only the named fields are extracted. Nested keys are written with dots. Numbers keep their
     text at the top level; a nested fraction may lose trailing zeros (`parse_json` keeps them).
     """
-    with_top = df.withColumn("_top", json_object(F.col(value)))
-    return with_top.select(
-        *[F.col(c) for c in df.columns],
-        F.col("_top").isNotNull().alias("is_object"),
-        *[_json_field(F.col(value), F.col("_top"), f).alias(f) for f in fields],
+    text, top = F.col(value), F.col("_top")
+    places = {f"_{i}_{j}": (f, keys) for i, f in enumerate(fields) for j, keys in enumerate(_splits(f))}
+    found = once(
+        df.withColumn("_top", json_object(text)),
+        [
+            top.isNotNull().alias("is_object"),
+            *[_json_text_at(text, top, keys).alias(c) for c, (_, keys) in places.items()],
+        ],
     )
 
+    def chosen(name):
+        return F.coalesce(*[_not_object(F.col(c), text, keys) for c, (f, keys) in places.items() if f == name])
+
+    return found.select(*[field(c) for c in df.columns], "is_object", *[chosen(f).alias(f) for f in fields])
+
 
 class _Number(str):
     """A JSON number as written."""
@@ -160,9 +172,8 @@ def parse_regex(
         found = F.regexp_extract(text, pattern, group)
         return found if name in may_be_empty else F.when(found != "", found)
 
-    return df.filter((text != "") & text.rlike(pattern)).select(
-        *[F.col(c) for c in df.columns], *[captured(n, g).alias(n) for n, g in groups.items()]
-    )
+    hits = df.filter((text != "") & text.rlike(pattern))
+    return once(hits, [captured(n, g).alias(n) for n, g in groups.items()])
 
 
 # -- payment message blocks ----------------------------------------------------------------
@@ -212,7 +223,7 @@ def parse_payment_block(df: DataFrame, value: str = "value", all_fields: bool =
             lambda k: F.struct(k.alias("key"), F.regexp_replace(numbered(k), EDGE_BLANKS, "").alias("value")),
         )
         columns.append(F.map_from_entries(cleaned).alias("fields"))
-    return parsed.select(*[F.col(c) for c in df.columns], *columns)
+    return once(parsed, columns).drop("_entries")
 
 
 def transaction_time() -> Column:

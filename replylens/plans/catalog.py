@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replylens.functions import hash_key, mask_pan, strict_instant
+from replylens.functions import hash_key, mask_pan, once, strict_instant
 from replylens.operators import buckets as B
 from replylens.operators import correlate as C
 from replylens.operators import dedup as D
@@ -23,8 +23,6 @@ from replylens.sources import files, tables
 from replylens.streaming import tail as S
 
 QUERIES = {}
-AS_OF = F.lit(I.AS_OF).cast("timestamp")
-AT_MS = F.lit(1_704_069_900_000).cast("bigint")
 EVENT_VIEW = ["event_id", "correlation_key", "event_ts"]
 
 
@@ -36,6 +34,14 @@ def query(function):
     return function
 
 
+def as_of():
+    return F.lit(I.AS_OF).cast("timestamp")
+
+
+def at_ms():
+    return F.lit(I.AT_MS).cast("bigint")
+
+
 def _click_pairs(spark, sf_dir, **options):
     return C.correlate(I.click_events(spark, sf_dir), I.CLICKS, **options)
 
@@ -53,7 +59,7 @@ def _done(spark, sf_dir, **options):
 
 
 def _transactions(spark, sf_dir):
-    return L.transaction_table(_messages(spark, sf_dir), AS_OF, I.TIMEOUT_MINUTES)
+    return L.transaction_table(_messages(spark, sf_dir), as_of(), I.TIMEOUT_MINUTES)
 
 
 # -- events and matching -------------------------------------------------------------------
@@ -388,7 +394,7 @@ def _json_lines(spark, sf_dir):
     meta = F.struct("channel", "status", F.lit(None).cast("string").alias("nothing"))
     tags = F.array(F.lit(1).cast("bigint"), F.col("event_id") % 7)
     line = F.struct("event_id", "user_id", "event_type", _instant().alias("ts"), meta.alias("meta"), tags.alias("tags"))
-    return records.select("event_id", F.to_json(line).alias("value"))
+    return once(records, [F.to_json(line).alias("value")]).select("event_id", "value")
 
 
 def _underscored(df):
@@ -439,7 +445,8 @@ def parse_regex(spark, sf_dir):
         F.lit(" type="), "event_type",
         F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" status="), "status")).otherwise(F.lit(" -")),
     )
-    lines = records.select(F.when(F.col("event_id") % 5 == 0, F.lit("unrelated")).otherwise(text).alias("value"))
+    value = F.when(F.col("event_id") % 5 == 0, F.lit("unrelated")).otherwise(text).alias("value")
+    lines = once(records, [value]).select("value")
     groups = {"event_id": 1, "user_id": 2, "event_type": 3, "status": 4}
     return P.parse_regex(lines, TEXT_PATTERN, groups).drop("value")
 
@@ -452,7 +459,7 @@ def parse_regex_correlate(spark, sf_dir):
     )
     groups = {"ts": 1, "event_id": 2, "user_id": 3, "event_type": 4, "channel": 5, "status": 6}
     pattern = r"(\S+) id=(\S+) (\S+) (\S+) (\S+) (\S+)"
-    parsed = P.parse_regex(records.select(text.alias("value")), pattern, groups)
+    parsed = P.parse_regex(once(records, [text.alias("value")]).select("value"), pattern, groups)
     parsed = parsed.withColumn("event_id", F.col("event_id").cast("bigint"))
     return C.correlate(E.matchable(parsed, I.CLICKS), I.CLICKS)
 
@@ -480,7 +487,7 @@ def _block_text(spark, sf_dir):
         F.when(view, line("123", F.col("channel"))),
         line("127", F.col("event_id").cast("string")),
     )
-    return records.select("event_id", text.alias("value"))
+    return once(records, [text.alias("value")]).select("event_id", "value")
 
 
 def _parsed_blocks(blocks):
@@ -583,14 +590,14 @@ def instant_texts(spark, sf_dir):
 def reject_malformed(spark, sf_dir):
     """Good and quarantined records by reason; blank records are neither."""
     kind = F.col("event_id") % 10
-    lines = _json_lines(spark, sf_dir).select(
+    spoiled = (
         F.when(kind == 0, F.concat("value", F.lit(" trailing")))
         .when(kind == 1, F.regexp_replace("value", '"user_id"', '"other"'))
         .when(kind == 2, F.regexp_replace("value", r'"ts":"[^"]*"', '"ts":"yesterday"'))
         .when(kind == 3, F.lit("  \t "))
         .otherwise(F.col("value"))
-        .alias("value")
     )
+    lines = once(_json_lines(spark, sf_dir), [spoiled.alias("text")]).select(F.col("text").alias("value"))
     parsed = P.parse_json_fields(P.not_blank(lines), NESTED.source_fields)
     good, bad = tables.quarantine_records(parsed, NESTED)
     reasons = good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason"))
@@ -601,14 +608,14 @@ def reject_malformed(spark, sf_dir):
 def transaction_time(spark, sf_dir):
     """Date field and time field together, or the message time where they do not fit."""
     even = F.col("event_id") % 2 == 0
-    blocks = I.table(spark, sf_dir, "events").select(
-        "event_id",
-        F.concat(
+    blocks = once(
+        I.table(spark, sf_dir, "events"),
+        [F.concat(
             F.lit("Received At: "), F.date_format("ts", P.BLOCK_TIME_FORMAT), F.lit("\nField 017: "),
             F.date_format("ts", "yyyyMMdd"), F.lit("\nField 012: "),
             F.when(even, F.date_format("ts", "HHmmss")).otherwise(F.date_format("ts", "yyyyMMddHHmmss")),
-        ).alias("value"),
-    )
+        ).alias("value")],
+    ).select("event_id", "value")
     return P.parse_payment_block(blocks).select("event_id", P.transaction_time().alias("transaction_ts"))
 
 
@@ -726,7 +733,7 @@ def transactions(spark, sf_dir):
 
 @query
 def timeout_transactions(spark, sf_dir):
-    return L.timeout_transactions(L.waiting_requests(_messages(spark, sf_dir)), AS_OF, I.TIMEOUT_MINUTES)
+    return L.timeout_transactions(L.waiting_requests(_messages(spark, sf_dir)), as_of(), I.TIMEOUT_MINUTES)
 
 
 @query
@@ -772,22 +779,22 @@ def legacy_status(spark, sf_dir):
 
 @query
 def transaction_metrics(spark, sf_dir):
-    return R.transaction_metrics(_done(spark, sf_dir), AT_MS)
+    return R.transaction_metrics(_done(spark, sf_dir), at_ms())
 
 
 @query
 def channel_metrics(spark, sf_dir):
-    return R.channel_metrics(_done(spark, sf_dir), AT_MS)
+    return R.channel_metrics(_done(spark, sf_dir), at_ms())
 
 
 @query
 def response_code_metrics(spark, sf_dir):
-    return R.response_code_metrics(_done(spark, sf_dir), AT_MS)
+    return R.response_code_metrics(_done(spark, sf_dir), at_ms())
 
 
 @query
 def summary_stats(spark, sf_dir):
-    return R.summary_stats(_done(spark, sf_dir), AT_MS)
+    return R.summary_stats(_done(spark, sf_dir), at_ms())
 
 
 def _over(name, report, source):

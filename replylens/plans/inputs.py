@@ -16,6 +16,7 @@ from replylens.operators import events as E
 CLOCK_START_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 CLOCK_RATE = 1000
 AS_OF = "2024-01-01 00:45:00"
+AT_MS = 1_704_069_900_000
 TIMEOUT_MINUTES = 2
 
 

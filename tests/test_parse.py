@@ -31,6 +31,12 @@ def test_json_fields(spark):
     assert row["is_object"]
 
 
+def test_json_names_with_dots(spark):
+    record = '{"a.b":{"c":"1"},"x":{"y.z":"2"},"s":"{\\"t\\":3}"}'
+    row = P.parse_json_fields(texts(spark, record), ["a.b.c", "x.y.z", "s.t", "s", "a.b"]).first()
+    assert [row[n] for n in ("a.b.c", "x.y.z", "s.t", "s", "a.b")] == ["1", "2", None, '{"t":3}', None]
+
+
 def test_malformed_json(spark):
     bad = ["{invalid json}", "[1]", '"x"', '{"a":1} trailing', '{"a":1},{"a":2}', '{"a":1', "7"]
     assert not any(r["is_object"] for r in P.parse_json_fields(texts(spark, *bad), ["a"]).collect())
