@@ -54,7 +54,7 @@ def finish_buckets(summary: DataFrame, groups: list, bp: Blueprint) -> DataFrame
     )
 
 
-def buckets_from_counts(counts: DataFrame, groups: list, bp: Blueprint) -> DataFrame:
+def buckets_from_counts(counts: DataFrame, groups: list, bp: Blueprint, **options) -> DataFrame:
     """Bucket rows from `latency_counts`; latencies lie in [0, timeout], which bounds a group."""
     summary = Q.summarise(
         counts,
@@ -63,18 +63,19 @@ def buckets_from_counts(counts: DataFrame, groups: list, bp: Blueprint) -> DataF
         {"p95_latency_ms": Q.nearest_rank(0.95), "p99_latency_ms": Q.nearest_rank(0.99)},
         ["success_count", "error_count"],
         max_values=bp.timeout_us // 1000 + 1,
+        **options,
     )
     return finish_buckets(summary, groups, bp)
 
 
-def bucket_metrics(pairs: DataFrame, bp: Blueprint, per: list | None = None) -> DataFrame:
+def bucket_metrics(pairs: DataFrame, bp: Blueprint, per: list | None = None, **options) -> DataFrame:
     """Count, outcome, latency and throughput figures per (bucket, dimensions).
 
     `per` adds grouping columns, such as an export batch (one delta per batch) or a source.
     """
     groups = ["bucket_start", *(per or []), *bp.dimension_columns]
     timed = bucket_time(pairs, bp)
-    return buckets_from_counts(latency_counts(timed, groups), groups, bp)
+    return buckets_from_counts(latency_counts(timed, groups), groups, bp, **options)
 
 
 def approximate_bucket_metrics(pairs: DataFrame, bp: Blueprint, accuracy: int = 10_000) -> DataFrame:

@@ -1,9 +1,9 @@
 """Exact quantiles per group, without sorting a group's rows in one task.
 
 Rows are first counted per (group, value), which combines map-side. A group then has at most
-as many rows as distinct values. Where that number has no useful bound, values are also
-counted per cell of `cell_width`, the cell that holds the wanted rank is found from the cell
-counts, and only the values of that cell are ranked.
+as many rows as distinct values. If that number may be too large for one task, values are also
+counted per cell of CELL_WIDTH values, the cell that holds the wanted rank is found from the
+cell counts, and only the values of that cell are ranked.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from replylens.session import cut_lineage
+
 # Distinct values per group that one task may rank.
 MAX_VALUES = 4_000_000
 CELL_WIDTH = 4096
@@ -43,11 +45,13 @@ def summarise(
     ranks: dict,
     weights: list | None = None,
     max_values: int | None = None,
+    per_task: int = MAX_VALUES,
 ) -> DataFrame:
     """(groups, n, total, low, high, weights, one column per rank) from `value_counts` rows.
 
     `ranks` maps a column name to a function of the group size that gives a 1-based rank.
-    `max_values` is a proven bound on the distinct values of a group, if there is one.
+    `max_values` is a proven bound on the distinct values of a group, if there is one. Without
+    one that fits `per_task`, the counts are written once and the largest group is measured.
     """
     weights = weights or []
     stats = [
@@ -57,10 +61,14 @@ def summarise(
         F.max("high").alias("high"),
         *[F.sum(w).alias(w) for w in weights],
     ]
+    if max_values is None or max_values > per_task:
+        counts = cut_lineage(counts)
+        sizes = counts.groupBy(*groups).agg(F.count(F.lit(1)).alias("size"))
+        max_values = sizes.agg(F.max("size")).first()[0] or 0
     rows = counts.withColumns(
         {"total": F.col(value) * F.col("n"), "low": F.col(value), "high": F.col(value)}
     )
-    if max_values is not None and max_values <= MAX_VALUES:
+    if max_values <= per_task:
         ranked = _ranked(rows, groups, value)
         hits = [F.max(F.when(_hit(rank), F.col(value))).alias(name) for name, rank in ranks.items()]
         return ranked.groupBy(*groups).agg(*stats, *hits)

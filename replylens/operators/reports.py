@@ -106,29 +106,33 @@ def summary_stats(transactions: DataFrame, at_ms: Column) -> DataFrame:
 def channel_series(transactions: DataFrame) -> DataFrame:
     """(series_id, channel, response_code, value): four series per channel and the overall
     success percentage, rounded half up."""
-    per_channel = transactions.groupBy("channel").agg(
-        round_half_up(F.sum("tat_millis").cast("double") / F.count(F.lit(1))).cast("double").alias("avg"),
-        F.min("tat_millis").cast("double").alias("min"),
-        F.max("tat_millis").cast("double").alias("max"),
-        F.count(F.lit(1)).cast("double").alias("count"),
+    # One pass gives the rows per channel and the row over all of them.
+    sums = transactions.cube("channel").agg(
+        F.grouping("channel").alias("overall"),
+        F.sum("tat_millis").alias("total"),
+        F.min("tat_millis").alias("low"),
+        F.max("tat_millis").alias("high"),
+        F.sum(_success()).alias("ok"),
+        F.count(F.lit(1)).alias("n"),
     )
-    series = per_channel.unpivot("channel", ["avg", "min", "max", "count"], "figure", "value").select(
-        F.concat(F.lit(CHANNEL_METRIC + "."), "figure").alias("series_id"),
-        "channel",
-        F.lit(None).cast("string").alias("response_code"),
-        "value",
+
+    def series(name, value):
+        return F.struct(F.lit(name).alias("series_id"), value.cast("double").alias("value"))
+
+    percent = F.col("ok").cast("double") / F.col("n") * 100
+    each = F.array(
+        series(CHANNEL_METRIC + ".avg", round_half_up(_mean())),
+        series(CHANNEL_METRIC + ".min", F.col("low")),
+        series(CHANNEL_METRIC + ".max", F.col("high")),
+        series(CHANNEL_METRIC + ".count", F.col("n")),
     )
-    overall = (
-        transactions.agg(F.sum(_success()).alias("ok"), F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > 0)
-        .select(
-            F.lit(SUCCESS_METRIC).alias("series_id"),
-            F.lit(None).cast("string").alias("channel"),
-            F.lit(None).cast("string").alias("response_code"),
-            (round_half_up(F.col("ok").cast("double") / F.col("rows") * 100 * 100) / F.lit(100.0)).alias("value"),
-        )
+    overall = F.array(series(SUCCESS_METRIC, round_half_up(percent * 100) / F.lit(100.0)))
+    chosen = F.when(F.col("overall") == 1, overall).otherwise(each)
+    return (
+        sums.filter(F.col("n") > 0)
+        .select("channel", F.explode(chosen).alias("s"))
+        .select("s.series_id", "channel", F.lit(None).cast("string").alias("response_code"), "s.value")
     )
-    return series.unionByName(overall)
 
 
 def series_points(transactions: DataFrame) -> DataFrame:

@@ -180,6 +180,12 @@ def bucket_metrics(spark, sf_dir):
     return _click_buckets(spark, sf_dir)
 
 
+@query
+def bucket_metrics_by_cell(spark, sf_dir):
+    """Percentiles as for groups with too many distinct latencies for one task."""
+    return B.bucket_metrics(_click_pairs(spark, sf_dir), I.CLICKS, per_task=0)
+
+
 @query
 def bucket_metrics_hourly(spark, sf_dir):
     bp = replace(I.CLICKS, timeout=timedelta(hours=1), granularity="1h")
@@ -609,7 +615,7 @@ def transaction_time(spark, sf_dir):
     """Date field and time field together, or the message time where they do not fit."""
     even = F.col("event_id") % 2 == 0
     blocks = once(
-        I.table(spark, sf_dir, "events"),
+        I.table(spark, sf_dir, "events").select("event_id", "ts"),
         [F.concat(
             F.lit("Received At: "), F.date_format("ts", P.BLOCK_TIME_FORMAT), F.lit("\nField 017: "),
             F.date_format("ts", "yyyyMMdd"), F.lit("\nField 012: "),

@@ -251,7 +251,7 @@ def oracles() -> dict:
         "AND epoch_us(TIMESTAMP '2024-01-31 00:00:00') - us > 60 * 1000000",
     )
     sql["bucket_metrics"] = with_(CLICK_PAIRS, buckets(86400, CLICK_DIMS))
-    sql["stream_bucket_metrics"] = sql["bucket_metrics"]
+    sql["stream_bucket_metrics"] = sql["bucket_metrics_by_cell"] = sql["bucket_metrics"]
     sql["bucket_metrics_hourly"] = with_(
         f"{CLICKS},\n{match(HOUR_US)}", buckets(3600, CLICK_DIMS)
     )

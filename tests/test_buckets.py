@@ -68,6 +68,7 @@ def test_p95_nearest_rank(spark):
     rows = [("2026-10-01 10:00:00", ms, "SUCCESS", "A", "0") for ms in (100, 200, 300, 400, 500)]
     for bp in (BP, Blueprint(**{**BP.__dict__, "timeout": timedelta(days=9)})):
         assert bucket_metrics(pairs(spark, rows), bp).first()["p95_latency_ms"] == 500
+        assert bucket_metrics(pairs(spark, rows), bp, per_task=0).first()["p95_latency_ms"] == 500
 
 
 @pytest.mark.parametrize("bounded", [True, False])
@@ -79,7 +80,7 @@ def test_quantiles_equal_sorting(spark, bounded):
         data += [(None if g == 0 else f"g{g}", rng.randrange(-spread, spread)) for _ in range(n)]
     df = spark.createDataFrame(data, "g string, v long")
     ranks = {"p50": Q.nearest_rank(0.5), "p95": Q.nearest_rank(0.95), "f50": Q.floor_index(50), "f99": Q.clamped_floor_index(99)}
-    got = Q.summarise(Q.value_counts(df, ["g"], "v"), ["g"], "v", ranks, max_values=1000 if bounded else None)
+    got = Q.summarise(Q.value_counts(df, ["g"], "v"), ["g"], "v", ranks, per_task=1000 if bounded else 0)
     for row in got.collect():
         v = sorted(x for g, x in data if g == row["g"])
         n = len(v)
