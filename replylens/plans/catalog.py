@@ -8,7 +8,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replylens.functions import hash_key, mask_pan, once, strict_instant
+from replylens.blueprint import granularity_seconds
+from replylens.functions import bucket_start, hash_key, mask_pan, once, strict_instant
 from replylens.operators import buckets as B
 from replylens.operators import correlate as C
 from replylens.operators import dedup as D
@@ -172,6 +173,52 @@ def turns_bucket_metrics(spark, sf_dir):
     return B.bucket_metrics(turns_correlate(spark, sf_dir), I.TURNS)
 
 
+@query
+def valid_events(spark, sf_dir):
+    """Blank keys and missing times are dropped; a key is not trimmed."""
+    key, ts = F.col("correlation_key"), F.col("event_ts")
+    events = E.normalise(I.click_records(spark, sf_dir), I.CLICKS).withColumns(
+        {
+            "correlation_key": F.when(F.col("event_id") % 7 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), key)),
+            "event_ts": F.when(F.col("event_id") % 11 != 0, ts),
+        }
+    )
+    return E.valid_events(events).select("event_id", "correlation_key", "event_ts")
+
+
+@query
+def core_fields(spark, sf_dir):
+    """Records without key, type or time are skipped; the type may come from either type field."""
+    number = F.col("orderkey").cast("bigint")
+    records = I.shipment_records(spark, sf_dir).withColumns(
+        {
+            "orderkey": F.when(number % 5 != 0, F.col("orderkey")),
+            "ts": F.when(number % 7 != 0, F.col("ts")),
+            "reply": F.when(number % 3 != 0, F.col("reply")),
+        }
+    )
+    return E.require_core_fields(records, I.SHIPMENTS).groupBy(E.event_type(I.SHIPMENTS).alias("event_type")).agg(
+        F.count(F.lit(1)).alias("cnt")
+    )
+
+
+@query
+def correlated_flags(spark, sf_dir):
+    """Each event with the mark that a pair has used it."""
+    events = I.click_events(spark, sf_dir)
+    used = C.matched_ids(C.correlate(events, I.CLICKS)).withColumn("used", F.lit(True))
+    flagged = events.join(used, "event_id", "left")
+    return flagged.select("event_id", F.coalesce("used", F.lit(False)).alias("correlated"))
+
+
+@query
+def write_pairs(spark, sf_dir):
+    """The pair table, written and read back."""
+    root = scratch_path(spark, "pairs")
+    tables.write_batch(_click_pairs(spark, sf_dir), f"{root}/pairs", 0)
+    return tables.read_batches(spark, f"{root}/pairs", tables.pair_schema(I.CLICKS)).drop("batch_id")
+
+
 # -- buckets and points ----------------------------------------------------------------------
 
 
@@ -192,6 +239,20 @@ def bucket_metrics_hourly(spark, sf_dir):
     return B.bucket_metrics(C.correlate(I.click_events(spark, sf_dir), bp), bp)
 
 
+@query
+def granularity(spark, sf_dir):
+    """Pairs per bucket under four granularities."""
+    widths = ("30s", "5m", "6h", "2d")
+    starts = [
+        F.struct(F.lit(w).alias("width"), bucket_start(F.col("response_ts"), granularity_seconds(w)).alias("b"))
+        for w in widths
+    ]
+    exploded = _click_pairs(spark, sf_dir).select(F.explode(F.array(*starts)).alias("p"))
+    return exploded.groupBy(F.col("p.width").alias("width"), F.col("p.b").alias("bucket_start")).agg(
+        F.count(F.lit(1)).alias("count")
+    )
+
+
 @query
 def bucket_metrics_per_batch(spark, sf_dir):
     """One delta per export batch: a bucket that spans batches has several rows."""
@@ -671,7 +732,7 @@ def _landed_in_order(df, time, root, parts=3):
     step = (high - low) // parts + 1
     for i in range(parts):
         piece = (F.unix_micros(time) - low >= i * step) & (F.unix_micros(time) - low < (i + 1) * step)
-        df.filter(piece).coalesce(1).write.mode("append").parquet(root)
+        df.filter(piece).write.mode("append").parquet(root)
 
 
 @query
@@ -702,6 +763,32 @@ def _original_ids(pairs, records):
     )
 
 
+@query
+def stream_late_data(spark, sf_dir):
+    """All responses arrive before any request; nothing expires, so every pair is found."""
+    root = scratch_path(spark, "late")
+    records = I.click_records(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    for wanted in (F.col("event_type") == "purchase", F.col("event_type") != "purchase"):
+        records.filter(wanted).write.mode("append").parquet(f"{root}/in")
+        arriving = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+        S.tail(arriving, I.CLICKS, root, mode="batch").awaitTermination()
+    pairs = tables.read_batches(spark, f"{root}/pairs", tables.pair_schema(I.CLICKS)).drop("batch_id")
+    return _original_ids(pairs, records)
+
+
+@query
+def stream_expire_pending(spark, sf_dir):
+    """Requests given up because the newest event is past their timeout."""
+    root = scratch_path(spark, "expire")
+    bp = replace(I.CLICKS, timeout=timedelta(hours=6))
+    records = I.click_records(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    records.write.parquet(f"{root}/in")
+    arriving = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+    S.tail(arriving, bp, root, mode="batch", lateness=timedelta(0)).awaitTermination()
+    expired = tables.read_batches(spark, f"{root}/expired", tables.event_schema(bp))
+    return expired.select("correlation_key", "event_ts")
+
+
 @query
 def stream_bucket_metrics(spark, sf_dir):
     """Pairs delivered in three parts, and one far in the future to close the last bucket."""
@@ -714,8 +801,9 @@ def stream_bucket_metrics(spark, sf_dir):
     pairs.orderBy(F.desc("response_ts")).limit(1).withColumn("response_ts", far).write.mode("append").parquet(
         f"{root}/pairs/batch_id=1"
     )
-    arriving = S.stream_pairs(spark, I.CLICKS, root, max_files=1)
-    S.tumbling_metrics(arriving, I.CLICKS, root, timedelta(hours=1), mode="batch").awaitTermination()
+    # The files of one delivery are not in time order among themselves: allow for the whole month.
+    arriving = S.stream_pairs(spark, I.CLICKS, root, max_files=4)
+    S.tumbling_metrics(arriving, I.CLICKS, root, timedelta(days=40), mode="batch").awaitTermination()
     return S.stored_buckets(spark, I.CLICKS, root)
 
 
@@ -783,6 +871,43 @@ def legacy_status(spark, sf_dir):
     return _transactions(spark, sf_dir).select("pair_id", L.status(F.col("tat_millis")).alias("status"))
 
 
+@query
+def mti_filter(spark, sf_dir):
+    return L.mti_filter(I.card_messages(spark, sf_dir)).select("event_id", "message_id")
+
+
+@query
+def legacy_defaults(spark, sf_dir):
+    """A request without channel and a response without code."""
+    messages = _messages(spark, sf_dir).withColumns(
+        {
+            "channel": F.when(F.col("channel") != "ch1", F.col("channel")),
+            "response_code": F.when(F.col("response_code") != "500", F.col("response_code")),
+        }
+    )
+    return L.correlate_legacy(messages).select("pair_id", "channel", "response_code")
+
+
+@query
+def write_report(spark, sf_dir):
+    """Rows of each section of the written report."""
+    path = scratch_path(spark, "report")
+    tables.write_report(_done(spark, sf_dir), path, at_ms())
+    sections = spark.read.text(path, recursiveFileLookup=True)
+    section = F.regexp_extract(F.col("_metadata.file_path"), r"/([a-z_]+)/[^/]+$", 1).alias("section")
+    return sections.groupBy(section).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def write_documents(spark, sf_dir):
+    """The export documents, written and read back: one line per bucket."""
+    path = scratch_path(spark, "documents")
+    tables.write_documents(_click_buckets(spark, sf_dir), I.CLICKS, path)
+    lines = files.read_lines(spark, path)
+    metrics = F.json_array_length(F.get_json_object("value", "$.resourceMetrics[0].scopeMetrics[0].metrics"))
+    return lines.agg(F.count(F.lit(1)).alias("documents"), F.sum(metrics.cast("bigint")).alias("metrics"))
+
+
 @query
 def transaction_metrics(spark, sf_dir):
     return R.transaction_metrics(_done(spark, sf_dir), at_ms())

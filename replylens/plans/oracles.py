@@ -224,6 +224,8 @@ def oracles() -> dict:
         "read_blocks_correlate",
         "parse_regex_correlate",
         "stream_correlate",
+        "stream_late_data",
+        "write_pairs",
         "pair_dedup",
         "event_dedup_correlate",
     ):
@@ -298,6 +300,49 @@ ev AS (
     sql["export_anti_join"] = with_(CLICK_PAIRS, f"{click_pairs} WHERE pair_id % 3 <> 0")
     sql["export_cycle"] = with_(CLICK_PAIRS, "SELECT count(*) AS first_run, CAST(0 AS BIGINT) AS second_run FROM pairs")
 
+    sql["valid_events"] = (
+        "SELECT event_id, ' ' || CAST(user_id AS VARCHAR) AS correlation_key, ts AS event_ts FROM events "
+        "WHERE event_id % 7 <> 0 AND event_id % 11 <> 0"
+    )
+    sql["core_fields"] = (
+        "SELECT event_type, count(*) AS cnt FROM (SELECT o_orderkey AS k, 'order' AS event_type FROM orders UNION ALL "
+        "SELECT l_orderkey, CASE WHEN l_orderkey % 3 <> 0 THEN 'ship' END FROM lineitem) "
+        "WHERE k % 5 <> 0 AND k % 7 <> 0 AND event_type IS NOT NULL GROUP BY event_type"
+    )
+    sql["correlated_flags"] = with_(
+        CLICK_PAIRS,
+        "SELECT event_id, event_id IN (SELECT request_id FROM pairs UNION ALL SELECT response_id FROM pairs) AS correlated FROM ev",
+    )
+    sql["stream_expire_pending"] = with_(
+        f"{CLICKS},\n{match(6 * HOUR_US)}",
+        f"SELECT correlation_key, ts AS event_ts FROM {LEFTOVER} AND ord = 0 "
+        f"AND us + {6 * HOUR_US} < (SELECT max(us) FROM ev)",
+    )
+    sql["granularity"] = with_(
+        CLICK_PAIRS,
+        "\nUNION ALL ".join(
+            f"SELECT '{w}' AS width, {bucket('response_ts', n)} AS bucket_start, count(*) AS count FROM pairs GROUP BY 1, 2"
+            for w, n in (("30s", 30), ("5m", 300), ("6h", 21600), ("2d", 172800))
+        ),
+    )
+    sql["mti_filter"] = with_(
+        CARD, "SELECT event_id, CASE ord WHEN 0 THEN '1200' ELSE '1210' END AS message_id FROM mti"
+    )
+    sql["legacy_defaults"] = with_(
+        CARD,
+        "SELECT pair_id, CASE channel WHEN 'ch1' THEN 'UNKNOWN' ELSE channel END AS channel, "
+        "CASE response_code WHEN '500' THEN 'PENDING' ELSE response_code END AS response_code FROM done",
+    )
+    sql["write_report"] = with_(
+        CARD,
+        "SELECT 'transaction_level_metrics' AS section, count(*) AS cnt FROM done "
+        "UNION ALL SELECT 'channel_level_metrics', count(DISTINCT channel) FROM done "
+        "UNION ALL SELECT 'response_code_metrics', count(DISTINCT response_code) FROM done "
+        "UNION ALL SELECT 'summary_stats', 1",
+    )
+    sql["write_documents"] = with_(
+        CLICK_BUCKETS, "SELECT count(*) AS documents, count(*) * 13 AS metrics FROM buckets"
+    )
     sql["metric_points"] = with_(CLICK_BUCKETS, points())
     sql["metric_documents"] = with_(
         CLICK_BUCKETS,

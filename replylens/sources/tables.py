@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from replylens.blueprint import Blueprint
 from replylens.operators import dedup
-from replylens.operators.events import REQUEST, split_rejects, valid_events
+from replylens.operators.events import split_rejects, valid_events
+from replylens.session import cut_lineage
 
 # An event id is batch (20 bits), partition (17 bits) and row (26 bits).
 PARTITION_BITS, ROW_BITS = 17, 26
@@ -28,16 +29,8 @@ def _folder(spark: SparkSession, path: str):
 
 def batch_ids(spark: SparkSession, path: str) -> list:
     """Batches of a table that were written completely."""
-    where, fs = _folder(spark, path)
-    if not fs.exists(where):
-        return []
-    found = []
-    for status in fs.listStatus(where):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("batch_id=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
+    where, fs = _folder(spark, f"{path}/batch_id=*/_SUCCESS")
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(where) or [])
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple = ()) -> None:
@@ -104,9 +97,11 @@ def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int, fie
     )
     # Copies are equal in every column, so grouping by all of them leaves one.
     fresh = hashed.dropDuplicates(["blueprint", "event_hash"])
-    known = read_batches(spark, path, event_schema(bp), before=batch_id)
-    days = [r[0] for r in fresh.select("event_date").distinct().collect()] if batch_id else []
-    if days:
+    if batch_id:
+        # Written first, so that finding the days does not parse the input a second time.
+        fresh = cut_lineage(fresh)
+        days = [r[0] for r in fresh.select("event_date").distinct().collect()]
+        known = read_batches(spark, path, event_schema(bp), before=batch_id)
         fresh = dedup.new_events(fresh, known.filter(F.col("event_date").isin(days)))
     write_batch(assign_ids(fresh, batch_id), path, batch_id, ("event_date",))
     return read_batches(spark, path, event_schema(bp)).filter(F.col("batch_id") == batch_id).drop("batch_id")
@@ -149,7 +144,6 @@ def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: i
     are delivered by the next call (at least once).
     """
     from replylens.operators.buckets import bucket_metrics
-    from replylens.session import cut_lineage
 
     path = f"{root}/exports"
     pairs = read_batches(spark, f"{root}/pairs", pair_schema(bp)).drop("batch_id")
@@ -171,7 +165,6 @@ def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, g
     recorded last, so a failed run is repeated.
     """
     from replylens.operators.events import normalise
-    from replylens.session import cut_lineage
     from replylens.sources.files import changed_files
 
     path = f"{root}/files"
@@ -192,7 +185,6 @@ def correlate_pending(spark: SparkSession, bp: Blueprint, root: str, **options)
     Writing the pairs is what marks the events as used, so both happen or neither does.
     """
     from replylens.operators.correlate import correlate, pending
-    from replylens.session import cut_lineage
 
     path = f"{root}/pairs"
     stored = read_batches(spark, f"{root}/raw_events", event_schema(bp)).drop("batch_id")
@@ -252,7 +244,3 @@ def write_report(transactions: DataFrame, path: str, at_ms, mode: str = "overwri
     }
     for name, build in sections.items():
         build(transactions, at_ms).write.mode(mode).json(f"{path}/{name}")
-
-
-def write_timeouts(requests: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(requests.filter(F.col("role") == REQUEST), path, batch_id)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from replylens.blueprint import Blueprint
-from replylens.functions import bucket_start
 from replylens.operators.buckets import buckets_from_counts
 from replylens.operators.correlate import correlate, pending
 from replylens.operators.events import REQUEST, normalise
@@ -154,6 +153,3 @@ def bucket_schema(bp: Blueprint) -> str:
 
 def stored_buckets(spark: SparkSession, bp: Blueprint, root: str) -> DataFrame:
     return read_batches(spark, f"{root}/buckets", bucket_schema(bp)).drop("batch_id")
-
-
-__all__ = ["CarryOver", "bucket_start", "stored_buckets", "stream_pairs", "tail", "tumbling_metrics"]
