@@ -79,16 +79,19 @@ def stream_lines(
 
 
 def read_blocks(
-    spark: SparkSession, paths, glob: str | None = None, split_bytes: int = 128 << 20
+    spark: SparkSession, paths, glob: str | None = None, split_bytes: int | None = None
 ) -> DataFrame:
     """(source, offset, position, value): message blocks, files of any size split by byte range.
 
     A block ends with a separator line; blank blocks and an unfinished last block are left
     out. `offset` is the block's place in its file and `position` orders all blocks of the
-    call (files by name), which makes it an arrival number.
+    call (files by name), which makes it an arrival number. Ranges have 128 MiB, or more where
+    that would give over 100,000 of them.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = list_files(spark, paths, glob)
+    if split_bytes is None:
+        split_bytes = max(128 << 20, sum(size for _, size in files) // 100_000)
     spark.dataSource.register(BlockSource)
     return (
         spark.read.format(BlockSource.name())

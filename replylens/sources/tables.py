@@ -103,7 +103,10 @@ def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int, fie
         days = [r[0] for r in fresh.select("event_date").distinct().collect()]
         known = read_batches(spark, path, event_schema(bp), before=batch_id)
         fresh = dedup.new_events(fresh, known.filter(F.col("event_date").isin(days)))
-    write_batch(assign_ids(fresh, batch_id), path, batch_id, ("event_date",))
+    # Gathering days keeps a long history from becoming (tasks x days) small files; adaptive
+    # execution splits a large day over several tasks again.
+    by_day = fresh.hint("rebalance", "event_date")
+    write_batch(assign_ids(by_day, batch_id), path, batch_id, ("event_date",))
     return read_batches(spark, path, event_schema(bp)).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
 

@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from replylens import Blueprint, Metric, MetricSource, MetricType
+from replylens import Blueprint, Metric, MetricType
 from replylens.functions import bucket_start, latency_ms, mask_pan
 from replylens.operators import points as M
 from replylens.operators import quantiles as Q
