@@ -39,7 +39,10 @@ def _steps(events: DataFrame, position: Column, fields: list) -> DataFrame:
 
 
 def _match_by_key(steps: DataFrame, timeout_us: int | None) -> DataFrame:
-    """Keys that fit one task: a single exchange on the key, shared by window and grouping."""
+    """Keys that fit one task: a single exchange on the key, shared by window and grouping.
+
+    Without a timeout, the request still waiting at the end of a key is returned with p NULL.
+    """
     w = Window.partitionBy(KEY).orderBy("us", "ord", "id")
     opens = F.lag("us").over(w).isNull() | (F.lag("ord").over(w) == 1)
     if timeout_us is not None:
@@ -47,8 +50,7 @@ def _match_by_key(steps: DataFrame, timeout_us: int | None) -> DataFrame:
     one = F.struct("us", "id", "body")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     rows = (
-        steps.withColumn("opens", opens)
-        .withColumn("one", one)
+        steps.withColumns({"opens": opens, "ends": F.lead("us").over(w).isNull(), "one": one})
         .withColumn("island", F.sum(F.col("opens").cast("bigint")).over(so_far))
         .withColumn(
             "first", F.last(F.when(F.col("opens"), F.struct("ord", "one")), ignorenulls=True).over(so_far)
@@ -57,7 +59,9 @@ def _match_by_key(steps: DataFrame, timeout_us: int | None) -> DataFrame:
     )
     answered = F.col("ord") == 1
     if timeout_us is None:
-        return rows.filter(answered).select(KEY, F.col("first.one").alias("q"), F.col("one").alias("p"))
+        return rows.filter(answered | F.col("ends")).select(
+            KEY, F.col("first.one").alias("q"), F.when(answered, F.col("one")).alias("p")
+        )
     # Requests that cannot replace the island's first one are dropped before the grouping.
     late = F.col("us") - F.col("first.one.us") > timeout_us
     grouped = (
@@ -97,12 +101,14 @@ def _match_by_segment(steps: DataFrame, timeout_us: int | None, rows: int, per_s
     if timeout_us is not None:
         opens = opens | (F.col("us") - F.col("before.us") > timeout_us)
     ticks = skew.carry(ticks, [KEY], ["us"], F.when(opens, F.struct("us", "q")), "first")
-    ticks = ticks.filter(F.col("first.q").isNotNull()).select(
-        KEY, "us", "q", "p", F.col("first.us").alias("island"), F.col("first.q").alias("first")
-    )
+    ticks = ticks.filter(F.col("first.q").isNotNull())
     if timeout_us is None:
-        return ticks.filter(F.col("p").isNotNull()).select(KEY, F.col("first").alias("q"), "p")
-    ticks = cut_lineage(ticks)
+        ticks = skew.carry(ticks, [KEY], ["us"], F.lit(True), "more", backward=True, inclusive=False)
+        shown = F.col("p").isNotNull() | F.col("more").isNull()
+        return ticks.filter(shown).select(KEY, F.col("first.q").alias("q"), "p")
+    ticks = cut_lineage(
+        ticks.select(KEY, "us", "q", "p", F.col("first.us").alias("island"), F.col("first.q").alias("first"))
+    )
     answered = ticks.filter(F.col("p").isNotNull())
     direct = answered.filter(F.col("us") - F.col("island") <= timeout_us)
     direct = direct.select(KEY, F.col("first").alias("q"), "p")

@@ -54,33 +54,46 @@ def code_or_default(code: Column) -> Column:
     return F.coalesce(code, F.lit(NO_CODE))
 
 
-def correlate_legacy(
-    events: DataFrame,
-    arrival: Column | None = None,
-    hot_rows: int | None = HOT_ROWS,
-    per_segment: int = skew.ROWS_PER_SEGMENT,
-) -> DataFrame:
-    """Events (event_id, correlation_key, role, event_ts, stan, pan, channel, response_code) ->
-    completed transactions, plus the ids of both messages."""
-    fields = ["stan", "pan", "channel", "response_code"]
+def _arrival_pairs(events, arrival, hot_rows, per_segment) -> DataFrame:
+    """(key, q, p) in arrival order; p is NULL for the request that a key still waits with."""
     position = F.col("event_id") if arrival is None else arrival
-    pairs = _match(events, position, fields, None, hot_rows, per_segment)
+    return _match(events, position, ["stan", "pan", "channel", "response_code"], None, hot_rows, per_segment)
+
+
+def _transactions(pairs: DataFrame, as_of: Column) -> DataFrame:
+    answered = F.col("p").isNotNull()
     tat = latency_ms(F.col("q.body.ts"), F.col("p.body.ts"))
+
+    def either(done, late):
+        return F.when(answered, done).otherwise(late)
+
     return pairs.select(
-        F.col("p.id").alias("pair_id"),
+        either(F.col("p.id"), F.col("q.id")).alias("pair_id"),
         "correlation_key",
         F.col("q.body.f0").alias("stan"),
         F.col("q.body.f1").alias("pan"),
         channel_or_default(F.col("q.body.f2")).alias("channel"),
-        tat.alias("tat_millis"),
-        code_or_default(F.col("p.body.f3")).alias("response_code"),
-        valid_tat(tat).alias("is_valid"),
-        F.col("p.body.ts").alias("completed_at"),
+        either(tat, F.lit(TIMEOUT_TAT).cast("bigint")).alias("tat_millis"),
+        either(code_or_default(F.col("p.body.f3")), F.lit(TIMEOUT_CODE)).alias("response_code"),
+        either(valid_tat(tat), F.lit(False)).alias("is_valid"),
+        either(F.col("p.body.ts"), as_of).alias("completed_at"),
         F.col("q.id").alias("request_id"),
         F.col("p.id").alias("response_id"),
     )
 
 
+def correlate_legacy(
+    events: DataFrame,
+    arrival: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
+    per_segment: int = skew.ROWS_PER_SEGMENT,
+) -> DataFrame:
+    """Events (event_id, correlation_key, role, event_ts, stan, pan, channel, response_code) ->
+    completed transactions, plus the ids of both messages."""
+    pairs = _arrival_pairs(events, arrival, hot_rows, per_segment).filter(F.col("p").isNotNull())
+    return _transactions(pairs, F.lit(None).cast("timestamp"))
+
+
 def waiting_requests(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The request still waiting per key: the earliest arrival since the key's last response.
 
@@ -116,12 +129,19 @@ def timeout_transactions(waiting: DataFrame, as_of: Column, minutes: int) -> Dat
     )
 
 
-def transaction_table(events: DataFrame, as_of: Column, minutes: int, **options) -> DataFrame:
-    """Completed and timed-out transactions."""
-    done = correlate_legacy(events, **options)
-    waiting = waiting_requests(events, options.get("hot_rows", HOT_ROWS))
-    late = timeout_transactions(waiting, as_of, minutes)
-    return done.select(*TRANSACTION_COLUMNS).unionByName(late.select(*TRANSACTION_COLUMNS))
+def transaction_table(
+    events: DataFrame,
+    as_of: Column,
+    minutes: int,
+    arrival: Column | None = None,
+    hot_rows: int | None = HOT_ROWS,
+    per_segment: int = skew.ROWS_PER_SEGMENT,
+) -> DataFrame:
+    """Completed transactions and those timed out at `as_of`, from one pass over the events."""
+    pairs = _arrival_pairs(events, arrival, hot_rows, per_segment)
+    limit = F.lit(minutes * 60 * 1_000_000).cast("bigint")
+    overdue = F.unix_micros(as_of) - F.unix_micros(F.col("q.body.ts")) > limit
+    return _transactions(pairs.filter(F.col("p").isNotNull() | overdue), as_of).select(*TRANSACTION_COLUMNS)
 
 
 def unexported_transactions(

@@ -825,6 +825,12 @@ def transactions(spark, sf_dir):
     return _transactions(spark, sf_dir)
 
 
+@query
+def transactions_hot_keys(spark, sf_dir):
+    messages = _messages(spark, sf_dir)
+    return L.transaction_table(messages, as_of(), I.TIMEOUT_MINUTES, hot_rows=20, per_segment=500)
+
+
 @query
 def timeout_transactions(spark, sf_dir):
     return L.timeout_transactions(L.waiting_requests(_messages(spark, sf_dir)), as_of(), I.TIMEOUT_MINUTES)

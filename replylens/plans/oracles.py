@@ -435,6 +435,7 @@ ev AS (
     sql["correlate_legacy"] = with_(CARD, f"SELECT {TX_COLUMNS}, request_id, response_id FROM done")
     sql["correlate_legacy_hot_keys"] = sql["correlate_legacy"]
     sql["transactions"] = with_(CARD, f"SELECT {TX_COLUMNS} FROM tx")
+    sql["transactions_hot_keys"] = sql["transactions"]
     sql["timeout_transactions"] = with_(CARD, f"SELECT {TX_COLUMNS} FROM late")
     sql["pending_count"] = with_(CARD, "SELECT count(*) AS pending FROM waiting")
     sql["total_count"] = with_(CARD, "SELECT count(*) AS total FROM tx")

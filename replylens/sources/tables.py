@@ -95,8 +95,9 @@ def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int, fie
     hashed = hashed.withColumn("event_date", F.to_date("event_ts")).select(
         *[F.col(c) for c in _names(event_schema(bp)) if c != "event_id"]
     )
-    # Copies are equal in every column, so grouping by all of them leaves one.
-    fresh = hashed.dropDuplicates(["blueprint", "event_hash"])
+    # Copies are equal in every column, so `distinct` leaves one. It aggregates by hash, where
+    # keeping the first row per identity would sort.
+    fresh = hashed.distinct()
     if batch_id:
         # Written first, so that finding the days does not parse the input a second time.
         fresh = cut_lineage(fresh)

@@ -67,7 +67,13 @@ def test_equals_event_loop(spark, seed, n, keys, span, answers, hot):
 def test_without_timeout(spark, hot):
     rows = random_rows(9, 600, 3, 800)
     expected = match([r for r in rows if r[2] < 2], None)
-    got = _match(events_df(spark, rows), F.unix_micros("event_ts"), [], None, hot, 50)
+    got = _match(events_df(spark, rows), F.unix_micros("event_ts"), [], None, hot, 50).cache()
+    waiting = {r["correlation_key"] for r in got.filter("p IS NULL").collect()}
+    last = {}
+    for key, us, kind, id_ in sorted((r for r in rows if r[2] < 2), key=lambda r: r[1:]):
+        last[key] = kind
+    assert waiting == {k for k, kind in last.items() if kind == 0}
+    got = got.filter("p IS NOT NULL")
     assert {(r[0], r[1], r[2]) for r in got.select("correlation_key", "q.id", "p.id").collect()} == expected
 
 
