@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from replylens.functions import field, hash_key, once
+from replylens.functions import hash_key, once
 
 # The lines and fields of a payment message block.
 BLOCK_PID = r"(?m)Pid:[^\S\n]*(\d+)"
@@ -36,7 +36,7 @@ def json_object(value: Column) -> Column:
     """MAP of the top-level entries; NULL unless the text is exactly one JSON object."""
     # Inside brackets, text after the object makes the whole array malformed.
     boxed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,string>>")
-    return F.when(value.rlike(r"^\s*\{") & (F.size(boxed) == 1), F.get(boxed, F.lit(0)))
+    return F.when(F.size(boxed) == 1, F.get(boxed, F.lit(0)))
 
 
 def _json_path(parts: list) -> str:
@@ -83,7 +83,7 @@ def parse_json_fields(df: DataFrame, fields: list, value: str = "value") -> Data
     def chosen(name):
         return F.coalesce(*[_not_object(F.col(c), text, keys) for c, (f, keys) in places.items() if f == name])
 
-    return found.select(*[field(c) for c in df.columns], "is_object", *[chosen(f).alias(f) for f in fields])
+    return once(found, [chosen(f).alias(f) for f in fields]).drop("_top", *places)
 
 
 class _Number(str):

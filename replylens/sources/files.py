@@ -49,8 +49,11 @@ def _paths(spark, paths, glob) -> list:
 
 
 def _clean_lines(raw: DataFrame) -> DataFrame:
+    value = F.col("value")
+    shorter = F.left(value, F.length(value) - 1)
     return raw.select(
-        F.col("_metadata.file_path").alias("source"), F.regexp_replace("value", r"\r\z", "").alias("value")
+        F.col("_metadata.file_path").alias("source"),
+        F.when(value.endswith("\r"), shorter).otherwise(value).alias("value"),
     )
 
 
