@@ -19,6 +19,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replylens.llm.keeping import only_kept
 from replylens.session import cut_lineage
 
 FIRST_DIGIT = 64
@@ -38,7 +39,7 @@ def _level(rows: DataFrame, digit: Column, width: int, keys: list[str]) -> DataF
         .filter("members > 1")
         .withColumn("next", F.monotonically_increasing_id())
     ).drop("members")
-    joined = rows.join(groups, [*keys, "digit"], "left")
+    joined = rows.join(groups.hint("merge"), [*keys, "digit"], "left")
     rest = F.when(F.col("next").isNotNull(), F.expr(f"substring(rest, {width + 1})"))
     return (
         joined.withColumn("rest", rest)
@@ -48,22 +49,21 @@ def _level(rows: DataFrame, digit: Column, width: int, keys: list[str]) -> DataF
     )
 
 
-def exact_groups(docs: DataFrame, carry=(), first: int = FIRST_DIGIT, growth: int = GROWTH) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 of every row, and the struct `carried`.
+def exact_groups(docs: DataFrame, first: int = FIRST_DIGIT, growth: int = GROWTH) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 and text_key of every row.
 
-    `carry` names columns of `docs` to carry along. text_sha256 is output only.
+    text_sha256 is output only; text_key is xxhash64 of the text as it came.
     """
     normal = ascii_lower(F.col("text"))
-    carried = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]) if carry else F.lit(None).cast("string")
     rows = docs.select(
-        "doc_id", carried.alias("carried"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("sha"),
+        "doc_id", F.xxhash64("text").alias("text_key"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("sha"),
         normal.cast("binary").alias("rest"),
     ).withColumn("size", F.length("rest"))
     width = first
     state = cut_lineage(
         _level(rows, F.expr(f"substring(rest, 1, {width})"), width, ["size"])
         .withColumn("row_id", F.monotonically_increasing_id())
-        .select("doc_id", "row_id", "carried", "sha", "group", "ended", "rest")
+        .select("doc_id", "row_id", "text_key", "sha", "group", "ended", "rest")
     )
     levels = [state]
     while not state.filter("group IS NOT NULL AND NOT ended").isEmpty():
@@ -72,7 +72,7 @@ def exact_groups(docs: DataFrame, carry=(), first: int = FIRST_DIGIT, growth: in
             _level(
                 state.filter("group IS NOT NULL AND NOT ended").withColumnRenamed("group", "before"),
                 F.expr(f"substring(rest, 1, {width})"), width, ["before"],
-            ).select("doc_id", "row_id", "carried", "sha", "group", "ended", "rest")
+            ).select("doc_id", "row_id", "text_key", "sha", "group", "ended", "rest")
         )
         levels.append(state)
     singles, ended = [], []
@@ -85,9 +85,9 @@ def exact_groups(docs: DataFrame, carry=(), first: int = FIRST_DIGIT, growth: in
     stays = same.groupBy("depth", "group").agg(
         F.max(F.struct("doc_id", "row_id")).alias("stays"), F.count("*").alias("group_size")
     )
-    out = ("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"), "carried")
+    out = ("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"), "text_key")
     result = (
-        same.join(stays, ["depth", "group"])
+        same.join(stays.hint("merge"), ["depth", "group"])
         .withColumn("keep_id", F.col("stays.doc_id"))
         .withColumn("kept", F.col("row_id") == F.col("stays.row_id"))
         .select(*out)
@@ -100,6 +100,4 @@ def exact_groups(docs: DataFrame, carry=(), first: int = FIRST_DIGIT, growth: in
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with its columns."""
-    names = docs.columns
-    kept = exact_groups(docs, carry=names).filter("kept")
-    return kept.select(*[F.col(f"carried.c{i}").alias(c) for i, c in enumerate(names)])
+    return only_kept(docs, exact_groups(docs))
