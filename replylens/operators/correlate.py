@@ -96,7 +96,8 @@ def _match_by_segment(steps: DataFrame, timeout_us: int | None, rows: int, per_s
     )
     ticks = skew.into_segments(ticks, [KEY], ["us"], skew.segment_count(rows, per_segment))
     before = F.struct(F.col("us"), F.col("p").isNotNull().alias("answered"))
-    ticks = skew.carry(ticks, [KEY], ["us"], before, "before", inclusive=False)
+    # `carry` uses its input twice; the second one starts from what the first one wrote.
+    ticks = cut_lineage(skew.carry(ticks, [KEY], ["us"], before, "before", inclusive=False))
     opens = F.col("before").isNull() | F.col("before.answered")
     if timeout_us is not None:
         opens = opens | (F.col("us") - F.col("before.us") > timeout_us)
@@ -168,13 +169,15 @@ def _last_in_chain(asked: DataFrame, timeout_us: int, per_segment: int) -> DataF
 
 def _match(events, position, fields, timeout_us, hot_rows, per_segment) -> DataFrame:
     steps = _steps(events, position, fields)
-    hot = [] if hot_rows is None else skew.find_hot_keys(steps, KEY, hot_rows)
-    if not hot:
+    if hot_rows is None:
         return _match_by_key(steps, timeout_us)
-    heavy, rest = skew.split_by_keys(steps, KEY, [key for key, _ in hot])
-    return _match_by_key(rest, timeout_us).unionByName(
-        _match_by_segment(heavy, timeout_us, sum(n for _, n in hot), per_segment)
-    )
+    # Counted and matched from the narrow rows, so the source is read and parsed once.
+    steps = cut_lineage(steps)
+    hot = skew.find_hot_keys(steps, KEY, hot_rows)
+    if not hot.keys:
+        return _match_by_key(steps, timeout_us)
+    heavy, rest = skew.split_by_keys(steps, KEY, hot)
+    return _match_by_key(rest, timeout_us).unionByName(_match_by_segment(heavy, timeout_us, hot.rows, per_segment))
 
 
 def correlate(
@@ -187,7 +190,8 @@ def correlate(
     """Events (event_id, correlation_key, role, event_ts, carried fields) -> pairs.
 
     Keys with more than `hot_rows` events are matched in segments; `None` skips the count of
-    events per key. The result is the same either way. A response belongs to at most one pair,
+    events per key, which writes the narrow rows once and is the only guard against a key that is too
+    large for one task. The result is the same either way. A response belongs to at most one pair,
     so its id serves as the pair's id.
     """
     fields = bp.carried_columns

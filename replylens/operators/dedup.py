@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def event_hash(fields: Column) -> Column:
-    """SHA-256 over blueprint, key, type, time and the record's fields sorted by name."""
-    entries = F.array_sort(F.map_entries(fields))
+def payload(fields: Column) -> Column:
+    """The record as a JSON object with its fields sorted by name."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(fields))))
+
+
+def event_hash(record: Column) -> Column:
+    """SHA-256 over blueprint, key, type, time and the record as `payload` writes it."""
     return F.sha2(
         F.concat_ws(
             "\n",
@@ -16,7 +20,7 @@ def event_hash(fields: Column) -> Column:
             F.col("correlation_key"),
             F.col("event_type"),
             F.unix_micros("event_ts").cast("string"),
-            F.to_json(entries),
+            record,
         ),
         256,
     )
@@ -24,27 +28,22 @@ def event_hash(fields: Column) -> Column:
 
 def columns_as_fields(names: list) -> Column:
     """MAP of the named columns, absent (NULL) ones left out."""
-    pairs = [F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in names]
+    pairs = [F.struct(F.lit(n).alias("key"), F.col(f"`{n}`").cast("string").alias("value")) for n in names]
     return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
 
 
-def with_event_hash(events: DataFrame, fields: Column) -> DataFrame:
-    return events.withColumn("event_hash", event_hash(fields))
+def with_event_hash(events: DataFrame, record: Column) -> DataFrame:
+    return events.withColumn("event_hash", event_hash(record))
 
 
 def dedup_events(events: DataFrame, order: str = "event_id") -> DataFrame:
-    """One row per (blueprint, event_hash): the one with the smallest `order`.
+    """One row per identity (blueprint, event_hash): the one with the smallest `order`.
 
-    An aggregate rather than a window, so copies of one event are combined before the shuffle.
+    Copies are equal in every other column, so those group, and the smallest `order` is found by a
+    hash aggregate that combines copies before the shuffle.
     """
-    rest = [c for c in events.columns if c not in ("blueprint", "event_hash")]
-    first = F.min_by(F.struct(*rest), F.col(order)).alias("row")
-    return (
-        events.groupBy("blueprint", "event_hash")
-        .agg(first)
-        .select("blueprint", "event_hash", *[F.col(f"row.{c}").alias(c) for c in rest])
-        .select(*events.columns)
-    )
+    rest = [c for c in events.columns if c != order]
+    return events.groupBy(*rest).agg(F.min(order).alias(order)).select(*events.columns)
 
 
 def dedup_pairs(pairs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from replylens.blueprint import Blueprint, column_of
 from replylens.functions import field, once, strict_instant
+from replylens.operators.dedup import columns_as_fields
+from replylens.operators.dedup import payload as record_payload
 
 REQUEST = "request"
 RESPONSE = "response"
@@ -58,11 +60,23 @@ def require_core_fields(df: DataFrame, bp: Blueprint) -> DataFrame:
     )
 
 
-def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None) -> DataFrame:
+# Columns that say where a record came from, not what it holds.
+TECHNICAL = ("event_id", "source", "offset", "value", "is_object", "fields")
+
+
+def record_fields(df: DataFrame) -> Column:
+    """MAP of the whole record: the column `fields` if there is one, else all columns of the record."""
+    if "fields" in df.columns and isinstance(df.schema["fields"].dataType, T.MapType):
+        return F.col("fields")
+    return columns_as_fields([c for c in df.columns if c not in TECHNICAL])
+
+
+def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None, payload: bool = False) -> DataFrame:
     """Flat records -> events (blueprint, correlation_key, event_type, role, event_ts, carried fields).
 
     `role` stays NULL for other message types, which are stored but never matched. Only the
-    fields the blueprint names are read; `keep` lists further columns to pass through.
+    fields the blueprint names are read; `keep` lists further columns to pass through, and `payload`
+    adds the whole record as JSON text.
     """
     if keep is None:
         keep = [c for c in ("event_id", "source", "offset") if c in df.columns]
@@ -78,6 +92,7 @@ def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None) -> DataFra
         role(bp).alias("role"),
         time.alias("event_ts"),
         *[field(c).cast("string").alias(column_of(c)) for c in bp.carried_fields],
+        *([record_payload(record_fields(df)).alias("payload")] if payload else []),
     )
 
 

@@ -94,22 +94,25 @@ def correlate_legacy(
     return _transactions(pairs, F.lit(None).cast("timestamp"))
 
 
-def waiting_requests(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def waiting_requests(
+    events: DataFrame, arrival: Column | None = None, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """The request still waiting per key: the earliest arrival since the key's last response.
 
     A later request of the same key is shadowed by it and was never stored. Both steps are
     aggregates, so the rows of one key are combined before the shuffle.
     """
+    events = events.withColumn("_at", F.col("event_id") if arrival is None else arrival)
     answered = events.filter(F.col("role") == "response")
-    last = answered.groupBy("correlation_key").agg(F.max("event_id").alias("last_response"))
+    last = answered.groupBy("correlation_key").agg(F.max("_at").alias("last_response"))
     rest = [c for c in events.columns if c != "correlation_key"]
     asked = events.filter(F.col("role") == "request")
     after = skew.key_join(asked, last, "correlation_key", "left", hot_rows)
-    after = after.filter(F.col("last_response").isNull() | (F.col("event_id") > F.col("last_response")))
+    after = after.filter(F.col("last_response").isNull() | (F.col("_at") > F.col("last_response")))
     return (
         after.groupBy("correlation_key")
-        .agg(F.min_by(F.struct(*rest), F.col("event_id")).alias("row"))
-        .select("correlation_key", *[F.col(f"row.{c}").alias(c) for c in rest])
+        .agg(F.min_by(F.struct(*rest), F.col("_at")).alias("row"))
+        .select("correlation_key", *[F.col(f"row.{c}").alias(c) for c in rest if c != "_at"])
     )
 
 

@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from replylens.functions import hash_key, once
 
 # The lines and fields of a payment message block.
-BLOCK_PID = r"(?m)Pid:[^\S\n]*(\d+)"
-BLOCK_TIME = r"(?m)(?:Received|Sent) At:[^\S\n]*(\S.*)$"
-BLOCK_MESSAGE_ID = r"(?m)MessageId:[^\S\n]*(\d+)"
+BLOCK_PID = r"(?m)^.*?Pid:[^\S\n]*(\d+)"
+BLOCK_TIME = r"(?m)^.*?(?:Received|Sent) At:[^\S\n]*(\S.*)$"
+BLOCK_MESSAGE_ID = r"(?m)^.*?MessageId:[^\S\n]*(\d+)"
 BLOCK_FIELD = r"(?m)^.*?Field[^\S\n]+(\d{3}):[^\S\n]*(.*)$"
 BLOCK_TIME_FORMAT = "MM/dd/yyyy HH:mm:ss.SSS"
 PAN, STAN, RESPONSE_CODE, CHANNEL = "002", "011", "039", "123"
@@ -32,17 +32,6 @@ def not_blank(df: DataFrame, value: str = "value") -> DataFrame:
 # -- JSON ----------------------------------------------------------------------------------
 
 
-def json_object(value: Column) -> Column:
-    """MAP of the top-level entries; NULL unless the text is exactly one JSON object."""
-    # Inside brackets, text after the object makes the whole array malformed.
-    boxed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<map<string,string>>")
-    return F.when(F.size(boxed) == 1, F.get(boxed, F.lit(0)))
-
-
-def _json_path(parts: list) -> str:
-    return "$" + "".join(f"['{p}']" for p in parts)
-
-
 def _splits(name: str) -> list:
     """All ways to read a dotted name as nested keys, most nested first: a key may hold dots."""
     parts = name.split(".")
@@ -52,9 +41,29 @@ def _splits(name: str) -> list:
     return found
 
 
-def _json_text_at(value: Column, top: Column, keys: list) -> Column:
-    text = F.element_at(top, F.lit(keys[0]))
-    return F.when(text.startswith("{"), F.get_json_object(value, _json_path(keys))) if keys[1:] else text
+def _put(tree: dict, keys: list) -> None:
+    for key in keys[:-1]:
+        tree = tree.setdefault(key, {})
+    tree[keys[-1]] = None
+
+
+def _fits(tree: dict, keys: list) -> bool:
+    """Whether a path of keys fits: no key is both a value and an object."""
+    for key in keys[:-1]:
+        if key not in tree:
+            return True
+        tree = tree[key]
+        if tree is None:
+            return False
+    return tree.get(keys[-1]) is None
+
+
+def _shape(tree: dict) -> T.StructType:
+    return T.StructType([T.StructField(k, T.StringType() if t is None else _shape(t)) for k, t in tree.items()])
+
+
+def _json_path(parts: list) -> str:
+    return "$" + "".join(f"['{p}']" for p in parts)
 
 
 def _not_object(text: Column, value: Column, keys: list) -> Column:
@@ -67,23 +76,40 @@ def _not_object(text: Column, value: Column, keys: list) -> Column:
 def parse_json_fields(df: DataFrame, fields: list, value: str = "value") -> DataFrame:
     """Add one STRING column per named field; malformed records get `is_object` false.
 
-    Only the named fields are extracted. Nested keys are written with dots. Numbers keep their
-    text at the top level; a nested fraction may lose trailing zeros (`parse_json` keeps them).
+    Only the named fields are extracted, in one parse: nested keys are written with dots, and the
+    schema has them both as nested objects and as keys with dots. A second parse is only needed if
+    one named field is the parent of another. A fraction may lose trailing zeros (`parse_json` keeps them).
     """
-    text, top = F.col(value), F.col("_top")
-    places = {f"_{i}_{j}": (f, keys) for i, f in enumerate(fields) for j, keys in enumerate(_splits(f))}
-    found = once(
-        df.withColumn("_top", json_object(text)),
-        [
-            top.isNotNull().alias("is_object"),
-            *[_json_text_at(text, top, keys).alias(c) for c, (_, keys) in places.items()],
-        ],
-    )
+    text = F.col(value)
+    trees, places = [], []
+    for i, name in enumerate(fields):
+        for j, keys in enumerate(_splits(name)):
+            number = next((n for n, tree in enumerate(trees) if _fits(tree, keys)), len(trees))
+            if number == len(trees):
+                trees.append({})
+            _put(trees[number], keys)
+            places.append((f"_{i}_{j}", name, keys, number))
+    # Inside brackets, text after the object makes the whole array malformed.
+    boxed = F.concat(F.lit("["), text, F.lit("]"))
+    options = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+    parsed = [F.from_json(boxed, T.ArrayType(_shape(tree)), options) for tree in trees or [{"_": None}]]
+    found = once(df, [p.alias(f"_json_{n}") for n, p in enumerate(parsed)])
+
+    def at(keys, number):
+        node = F.get(f"_json_{number}", F.lit(0))
+        for key in keys:
+            node = node.getField(key)
+        return node
+
+    is_object = F.coalesce((F.size("_json_0") == 1) & F.get("_json_0", F.lit(0)).isNotNull(), F.lit(False))
+    found = once(found, [is_object.alias("is_object"), *[at(keys, n).alias(c) for c, _, keys, n in places]])
 
     def chosen(name):
-        return F.coalesce(*[_not_object(F.col(c), text, keys) for c, (f, keys) in places.items() if f == name])
+        parts = [_not_object(F.col(c), text, keys) for c, f, keys, _ in places if f == name]
+        return F.when(F.col("is_object"), F.coalesce(*parts))
 
-    return once(found, [chosen(f).alias(f) for f in fields]).drop("_top", *places)
+    technical = [f"_json_{n}" for n in range(len(parsed))] + [c for c, *_ in places]
+    return once(found, [chosen(f).alias(f) for f in fields]).drop(*technical)
 
 
 class _Number(str):
@@ -115,14 +141,25 @@ def _flatten(record: dict) -> dict:
     return flat
 
 
+def _reject(name):
+    raise ValueError(name)
+
+
 def _parse_one(text):
     if text is None:
         return None
     try:
-        record = json.loads(text, parse_float=_Number, parse_int=_Number)
+        record = json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_reject)
     except (ValueError, RecursionError):
         return None
-    return _flatten(record) if isinstance(record, dict) else None
+    if not isinstance(record, dict):
+        return None
+    flat = _flatten(record)
+    if "\\u" in text:
+        # Half of a surrogate pair is no character; the JVM puts a question mark too.
+        clean = lambda s: s.encode("utf-8", "replace").decode()
+        flat = {clean(k): clean(v) for k, v in flat.items()}
+    return flat
 
 
 @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))

@@ -21,6 +21,10 @@ CODE_METRIC = "payment.response_code.tat"
 SUCCESS_METRIC = "payment.success.rate"
 
 
+def _gauge(name: str) -> list:
+    return [F.lit(name).alias("metric_name"), F.lit("gauge").alias("metric_type")]
+
+
 def _success() -> Column:
     return (F.col("response_code") == SUCCESS_CODE).cast("bigint")
 
@@ -44,8 +48,7 @@ def _spread(transactions: DataFrame, groups: list, ranks: dict, weights: dict |
 def transaction_metrics(transactions: DataFrame, at_ms: Column) -> DataFrame:
     """One gauge row per transaction, card number masked."""
     return transactions.select(
-        F.lit(TRANSACTION_METRIC).alias("metric_name"),
-        F.lit("gauge").alias("metric_type"),
+        *_gauge(TRANSACTION_METRIC),
         F.col("tat_millis").alias("value"),
         F.lit("milliseconds").alias("unit"),
         F.col("stan").alias("transaction_id"),
@@ -57,19 +60,21 @@ def transaction_metrics(transactions: DataFrame, at_ms: Column) -> DataFrame:
 
 
 def channel_metrics(transactions: DataFrame, at_ms: Column) -> DataFrame:
-    return transactions.groupBy("channel").agg(
+    """One gauge row per channel."""
+    sums = transactions.groupBy("channel").agg(
         F.count(F.lit(1)).alias("count"),
         F.sum("tat_millis").alias("sum_ms"),
         (F.sum("tat_millis").cast("double") / F.count(F.lit(1))).alias("avg_ms"),
         F.min("tat_millis").cast("double").alias("min_ms"),
         F.max("tat_millis").cast("double").alias("max_ms"),
-        F.first(at_ms).alias("timestamp_ms"),
     )
+    return sums.select(*_gauge(CHANNEL_METRIC), "*", at_ms.alias("timestamp_ms"))
 
 
 def response_code_metrics(transactions: DataFrame, at_ms: Column) -> DataFrame:
     ranks = {"p95": Q.floor_index(95), "p99": Q.floor_index(99)}
     return _spread(transactions, ["response_code"], ranks).select(
+        *_gauge(CODE_METRIC),
         "response_code",
         F.col("n").alias("count"),
         _mean().alias("avg_ms"),
@@ -103,9 +108,9 @@ def summary_stats(transactions: DataFrame, at_ms: Column) -> DataFrame:
 # -- series ------------------------------------------------------------------------------
 
 
-def channel_series(transactions: DataFrame) -> DataFrame:
-    """(series_id, channel, response_code, value): four series per channel and the overall
-    success percentage, rounded half up."""
+def channel_series(transactions: DataFrame, at_ms: Column) -> DataFrame:
+    """(series_id, channel, response_code, timestamp_ms, value): a point of four series per channel
+    and of the overall success percentage, rounded half up."""
     # One pass gives the rows per channel and the row over all of them.
     sums = transactions.cube("channel").agg(
         F.grouping("channel").alias("overall"),
@@ -131,19 +136,20 @@ def channel_series(transactions: DataFrame) -> DataFrame:
     return (
         sums.filter(F.col("n") > 0)
         .select("channel", F.explode(chosen).alias("s"))
-        .select("s.series_id", "channel", F.lit(None).cast("string").alias("response_code"), "s.value")
+        .select("s.series_id", "channel", F.lit(None).cast("string").alias("response_code"), at_ms.alias("timestamp_ms"), "s.value")
     )
 
 
-def series_points(transactions: DataFrame) -> DataFrame:
+def series_points(transactions: DataFrame, at_ms: Column) -> DataFrame:
     """`channel_series` and one series per transaction."""
     single = transactions.select(
         F.lit(TRANSACTION_METRIC).alias("series_id"),
         "channel",
         "response_code",
+        at_ms.alias("timestamp_ms"),
         F.col("tat_millis").cast("double").alias("value"),
     )
-    return single.unionByName(channel_series(transactions))
+    return single.unionByName(channel_series(transactions, at_ms))
 
 
 # -- checks over the stored table ---------------------------------------------------------

@@ -9,6 +9,7 @@ carried through a small summary (one row per key and segment).
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,43 +17,50 @@ from pyspark.sql import functions as F
 from replylens.session import cut_lineage
 
 SEGMENT = "_segment"
-# The list of hot keys is broadcast, so its length is bounded. A key beyond the heaviest
-# MAX_HOT_KEYS holds less than 1 / MAX_HOT_KEYS of all rows and is safe in one task.
-MAX_HOT_KEYS = 10_000
 ROWS_PER_SEGMENT = 1_000_000
+# A table of hot keys is broadcast up to this many rows; longer ones are joined by shuffle.
+BROADCAST_KEYS = 100_000
 
 
-def find_hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
-    """[(key, rows)] of the keys with more than `min_rows` rows, heaviest first.
+@dataclass
+class HotKeys:
+    """The keys with more rows than a limit, as a table (key, _rows), and its size."""
 
-    The count is combined map-side and reads the key column only.
-    """
+    table: DataFrame
+    keys: int
+    rows: int
+
+    def hinted(self, df: DataFrame) -> DataFrame:
+        """A table with at most a row per hot key, for a join."""
+        return F.broadcast(df) if self.keys <= BROADCAST_KEYS else df
+
+
+def find_hot_keys(df: DataFrame, key: str, min_rows: int) -> HotKeys:
+    """All keys with more than `min_rows` rows. The count is combined map-side and reads the key column only."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > min_rows)
-    heavy = counted.orderBy(F.desc("_rows"), F.col(key)).limit(MAX_HOT_KEYS).collect()
-    return [(row[0], row[1]) for row in heavy]
+    counted = cut_lineage(counted)
+    size = counted.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
+    return HotKeys(counted, size["keys"], size["rows"])
 
 
-def split_by_keys(df: DataFrame, key: str, keys: list) -> tuple:
-    """(rows of the listed keys, all other rows); the list is at most MAX_HOT_KEYS long."""
-    assert len(keys) <= MAX_HOT_KEYS
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}"
-    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in keys], schema))
+def split_by_keys(df: DataFrame, key: str, hot: HotKeys) -> tuple:
+    """(rows of the hot keys, all other rows)."""
+    listed = hot.hinted(hot.table.select(key))
     return df.join(listed, key, "left_semi"), df.join(listed, key, "left_anti")
 
 
 def key_join(df: DataFrame, per_key: DataFrame, key: str, how: str, hot_rows: int | None) -> DataFrame:
     """Join `df` with a table that has at most one row per key, where one key may dominate `df`.
 
-    Rows of hot keys stay where they are and get the few matching rows of `per_key` by
-    broadcast (at most MAX_HOT_KEYS rows); all other rows take the ordinary shuffled join.
+    Rows of hot keys stay where they are and get the few matching rows of `per_key` by broadcast
+    (more than BROADCAST_KEYS of them by a shuffled join); all other rows take the ordinary join.
     """
-    hot = [] if hot_rows is None else find_hot_keys(df, key, hot_rows)
-    if not hot:
+    hot = None if hot_rows is None else find_hot_keys(df, key, hot_rows)
+    if hot is None or not hot.keys:
         return df.join(per_key, key, how)
-    keys = [k for k, _ in hot]
-    heavy, rest = split_by_keys(df, key, keys)
-    few, _ = split_by_keys(per_key, key, keys)
-    return heavy.join(F.broadcast(few), key, how).unionByName(rest.join(per_key, key, how))
+    heavy, rest = split_by_keys(df, key, hot)
+    few, _ = split_by_keys(per_key, key, hot)
+    return heavy.join(hot.hinted(few), key, how).unionByName(rest.join(per_key, key, how))
 
 
 def segment_count(rows: int, rows_per_segment: int) -> int:

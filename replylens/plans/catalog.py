@@ -19,7 +19,7 @@ from replylens.operators import parse as P
 from replylens.operators import points as M
 from replylens.operators import reports as R
 from replylens.plans import inputs as I
-from replylens.session import scratch_path
+from replylens.session import cut_lineage, scratch_path
 from replylens.sources import files, tables
 from replylens.streaming import tail as S
 
@@ -197,9 +197,7 @@ def core_fields(spark, sf_dir):
             "reply": F.when(number % 3 != 0, F.col("reply")),
         }
     )
-    return E.require_core_fields(records, I.SHIPMENTS).groupBy(E.event_type(I.SHIPMENTS).alias("event_type")).agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    return E.require_core_fields(records, I.SHIPMENTS).select("event_id", "orderkey", E.event_type(I.SHIPMENTS).alias("event_type"))
 
 
 @query
@@ -215,8 +213,9 @@ def correlated_flags(spark, sf_dir):
 def write_pairs(spark, sf_dir):
     """The pair table, written and read back."""
     root = scratch_path(spark, "pairs")
-    tables.write_batch(_click_pairs(spark, sf_dir), f"{root}/pairs", 0)
-    return tables.read_batches(spark, f"{root}/pairs", tables.pair_schema(I.CLICKS)).drop("batch_id")
+    tables.write_batch(_with_stored_ids(_click_pairs(spark, sf_dir)), f"{root}/pairs", 0)
+    pairs = tables.read_batches(spark, f"{root}/pairs", tables.pair_schema(I.CLICKS)).drop("batch_id")
+    return pairs.withColumns({c: F.col(c)["row"] for c in ("pair_id", "request_id", "response_id")})
 
 
 # -- buckets and points ----------------------------------------------------------------------
@@ -262,7 +261,18 @@ def bucket_metrics_per_batch(spark, sf_dir):
 
 @query
 def bucket_metrics_approximate(spark, sf_dir):
-    return B.approximate_bucket_metrics(_click_pairs(spark, sf_dir), I.CLICKS)
+    """The exact figures, and whether the approximate percentiles are within the declared rank error."""
+    pairs, accuracy = cut_lineage(_click_pairs(spark, sf_dir)), 1000
+    groups = ["bucket_start", "channel"]
+    near = B.approximate_bucket_metrics(pairs, I.CLICKS, accuracy)
+    timed = B.bucket_time(pairs, I.CLICKS).join(near.select(*groups, "p95_latency_ms", "p99_latency_ms"), groups)
+    checks = []
+    for name, q in (("p95_latency_ms", 0.95), ("p99_latency_ms", 0.99)):
+        below, upto = (F.sum(c.cast("bigint")) for c in (F.col("latency_ms") < F.col(name), F.col("latency_ms") <= F.col(name)))
+        wanted, slack = F.ceil(F.lit(q) * F.count("*")), F.ceil(F.count("*") / accuracy)
+        checks.append((below < wanted + slack) & (upto >= wanted - slack))
+    within = timed.groupBy(*groups).agg((checks[0] & checks[1]).alias("within_error"))
+    return near.drop("p95_latency_ms", "p99_latency_ms").join(within, groups)
 
 
 @query
@@ -369,7 +379,13 @@ def cardinality(spark, sf_dir):
 
 @query
 def cardinality_approximate(spark, sf_dir):
-    return R.approximate_cardinality(_click_buckets(spark, sf_dir), ["channel"])
+    """The exact number, and whether the estimate is within five declared standard errors."""
+    buckets, error = cut_lineage(_click_buckets(spark, sf_dir)), 0.01
+    near = R.approximate_cardinality(buckets, ["channel"], error).withColumnRenamed("series", "estimate")
+    exact = R.cardinality(buckets, ["channel"])
+    within = F.abs(F.col("estimate") - F.col("series")) <= 5 * error * F.col("series")
+    # Two tables of one row each.
+    return exact.withColumn("one", F.lit(1)).join(near.withColumn("one", F.lit(1)), "one").select("series", within.alias("within_error"))
 
 
 # -- identity, ledgers, exports ----------------------------------------------------------------
@@ -382,7 +398,7 @@ def _doubled(records: DataFrame) -> DataFrame:
 
 def _deduped(spark, sf_dir):
     events = E.valid_events(E.normalise(_doubled(I.click_records(spark, sf_dir)), I.CLICKS))
-    hashed = D.with_event_hash(events, D.columns_as_fields(I.CLICKS.carried_columns))
+    hashed = D.with_event_hash(events, D.payload(D.columns_as_fields(I.CLICKS.carried_columns)))
     return D.dedup_events(hashed)
 
 
@@ -418,11 +434,17 @@ def scan_unexported(spark, sf_dir):
     return tables.unexported(pairs, exports, limit=100)
 
 
+def _with_stored_ids(pairs):
+    """Ids as stored events have them."""
+    stored = lambda c: F.struct(F.lit(0).cast("bigint").alias("batch"), F.col(c).alias("row"))
+    return pairs.withColumns({c: stored(c) for c in ("pair_id", "request_id", "response_id")})
+
+
 @query
 def export_cycle(spark, sf_dir):
     """Store, export everything, export again: the second run finds nothing."""
     root = scratch_path(spark, "export")
-    tables.write_batch(_click_pairs(spark, sf_dir), f"{root}/pairs", 0)
+    tables.write_batch(_with_stored_ids(_click_pairs(spark, sf_dir)), f"{root}/pairs", 0)
 
     def deliver(buckets):
         tables.write_documents(buckets, I.CLICKS, f"{root}/documents")
@@ -667,8 +689,8 @@ def reject_malformed(spark, sf_dir):
     lines = once(_json_lines(spark, sf_dir), [spoiled.alias("text")]).select(F.col("text").alias("value"))
     parsed = P.parse_json_fields(P.not_blank(lines), NESTED.source_fields)
     good, bad = tables.quarantine_records(parsed, NESTED)
-    reasons = good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason"))
-    return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("cnt"))
+    number = F.regexp_extract("value", '"event_id":([0-9]+)', 1).cast("bigint").alias("event_id")
+    return good.select(F.lit("good").alias("reason"), number).unionByName(bad.select("reason", number))
 
 
 @query
@@ -695,7 +717,7 @@ def read_multi_source(spark, sf_dir):
     inputs = [f"{root}/server=part-{i}" for i in range(5)]
     lines = files.read_lines(spark, inputs, glob="*.txt")
     server = F.regexp_extract("source", r"server=([^/]+)/", 1).alias("server")
-    return lines.groupBy(server).agg(F.count(F.lit(1)).alias("cnt"))
+    return lines.select(server, F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
 
 
 @query
@@ -714,13 +736,7 @@ def ingest_changed(spark, sf_dir):
     lines.filter("part = 2").select("part", "value").write.mode("append").partitionBy("part").text(f"{root}/in")
     tables.ingest_changed(spark, bp, root, inputs, read)
     stored = tables.read_batches(spark, f"{root}/raw_events", tables.event_schema(bp))
-    # The event number is not stored; the time tells the event.
-    named = I.table(spark, sf_dir, "events").select(
-        (F.col("event_id") % 3).alias("part"), F.col("user_id").cast("string").alias("correlation_key"), "event_type",
-        F.col("ts").cast("timestamp").alias("event_ts"),
-    )
-    found = stored.join(named, ["correlation_key", "event_type", "event_ts"])
-    return found.groupBy("part").agg(F.count(F.lit(1)).alias("cnt"))
+    return stored.select("batch_id", "correlation_key", "event_type", "event_ts")
 
 
 # -- streams ---------------------------------------------------------------------------------------
@@ -789,24 +805,69 @@ def stream_expire_pending(spark, sf_dir):
     return expired.select("correlation_key", "event_ts")
 
 
+def _pair_batches(spark, sf_dir, root, batches):
+    """Pairs written as batches 0, 1, ...; `batches` are conditions."""
+    pairs = _with_stored_ids(_click_pairs(spark, sf_dir))
+    names = tables.T.StructType.fromDDL(tables.pair_schema(I.CLICKS)).names
+    pairs = cut_lineage(pairs.select(*names))
+    for batch, wanted in enumerate(batches):
+        tables.write_batch(pairs.filter(wanted), f"{root}/pairs", batch)
+
+
 @query
 def stream_bucket_metrics(spark, sf_dir):
-    """Pairs delivered in three parts, and one far in the future to close the last bucket."""
+    """Pairs of three batches that overlap in time; nothing is late within forty days."""
     root = scratch_path(spark, "tumbling")
-    pairs = _click_pairs(spark, sf_dir).select(*[c.split(" ")[0].strip("`") for c in tables.pair_schema(I.CLICKS).split(", ")])
-    tables.write_batch(pairs, f"{root}/all", 0)
-    pairs = tables.read_batches(spark, f"{root}/all", tables.pair_schema(I.CLICKS)).drop("batch_id")
-    _landed_in_order(pairs, "response_ts", f"{root}/pairs/batch_id=0")
-    far = F.col("response_ts") + F.expr("INTERVAL 1000 DAYS")
-    pairs.orderBy(F.desc("response_ts")).limit(1).withColumn("response_ts", far).write.mode("append").parquet(
-        f"{root}/pairs/batch_id=1"
-    )
-    # The files of one delivery are not in time order among themselves: allow for the whole month.
-    arriving = S.stream_pairs(spark, I.CLICKS, root, max_files=4)
-    S.tumbling_metrics(arriving, I.CLICKS, root, timedelta(days=40), mode="batch").awaitTermination()
+    third = F.col("response_id.row") % 3
+    _pair_batches(spark, sf_dir, root, [third == i for i in range(3)])
+    S.tumbling_metrics(spark, I.CLICKS, root, timedelta(days=40), mode="batch")
+    return S.stored_buckets(spark, I.CLICKS, root).drop("late")
+
+
+@query
+def stream_late_pairs(spark, sf_dir):
+    """The second batch comes after the first one's buckets were closed: late pairs give rows of their own."""
+    root = scratch_path(spark, "late-pairs")
+    even = F.col("response_id.row") % 2 == 0
+    _pair_batches(spark, sf_dir, root, [even])
+    S.tumbling_metrics(spark, I.CLICKS, root, mode="batch")
+    _pair_batches(spark, sf_dir, root, [even, ~even])
+    S.tumbling_metrics(spark, I.CLICKS, root, mode="batch")
     return S.stored_buckets(spark, I.CLICKS, root)
 
 
+@query
+def ingest_identity(spark, sf_dir):
+    """Records that differ only in a field the blueprint does not name are events of their own;
+    the whole record is kept. Everything is delivered twice, in two batches."""
+    root = scratch_path(spark, "identity")
+    records = I.click_records(spark, sf_dir).drop("event_id")
+    paid = records.withColumn("amount", F.explode(F.array(F.lit("1.50"), F.lit("2.5"), F.lit("1.50"))))
+    for batch in range(2):
+        tables.store_events(E.normalise(paid, I.CLICKS, payload=True), I.CLICKS, root, batch)
+    stored = tables.read_batches(spark, f"{root}/raw_events", tables.event_schema(I.CLICKS))
+    return stored.select(
+        "correlation_key", "event_type", "event_ts", F.get_json_object("payload", "$.amount").alias("amount"),
+        F.get_json_object("payload", "$.status").alias("status"),
+    )
+
+
+@query
+def export_drain(spark, sf_dir):
+    """Exports of at most 200 pairs until nothing is left; the first two deliveries fail."""
+    root = scratch_path(spark, "drain")
+    tables.write_batch(_with_stored_ids(_click_pairs(spark, sf_dir)), f"{root}/pairs", 0)
+    failures = [IOError("503"), IOError("503")]
+
+    def deliver(buckets):
+        if failures:
+            raise failures.pop()
+
+    total = tables.drain_exports(spark, I.CLICKS, root, deliver, limit=200)
+    done = tables.read_batches(spark, f"{root}/exports", f"pair_id {tables.EVENT_ID}, exported_at timestamp")
+    return done.groupBy("batch_id").agg(F.count("*").alias("pairs"), F.lit(total).cast("bigint").alias("total"))
+
+
 # -- the older report set ------------------------------------------------------------------------
 
 
@@ -863,6 +924,25 @@ def scan_legacy_unexported_limit(spark, sf_dir):
     return L.unexported_transactions(done, _legacy_ledger(done), limit=20).select(*L.TRANSACTION_COLUMNS)
 
 
+@query
+def legacy_export_cycle(spark, sf_dir):
+    """Transactions stored in two batches, the first one twice, then exported; one delivery fails.
+    What was delivered."""
+    root = scratch_path(spark, "transactions")
+    done = cut_lineage(_done(spark, sf_dir).select(*L.TRANSACTION_COLUMNS))
+    for batch, part in ((0, 0), (0, 0), (1, 1)):
+        tables.store_transactions(done.filter(F.pmod(F.xxhash64("correlation_key"), F.lit(2)) == part), root, batch)
+    failures = [IOError("503")]
+
+    def deliver(rows):
+        if failures:
+            raise failures.pop()
+        rows.write.mode("append").parquet(f"{root}/delivered")
+
+    tables.drain(lambda: tables.export_transactions_once(spark, root, deliver, id_type="bigint"))
+    return spark.read.schema(done.schema).parquet(f"{root}/delivered")
+
+
 @query
 def transaction_lines(spark, sf_dir):
     """The line file, read back."""
@@ -896,22 +976,36 @@ def legacy_defaults(spark, sf_dir):
 
 @query
 def write_report(spark, sf_dir):
-    """Rows of each section of the written report."""
+    """The sections of the written report, read back as (section, name, measure, value)."""
     path = scratch_path(spark, "report")
     tables.write_report(_done(spark, sf_dir), path, at_ms())
-    sections = spark.read.text(path, recursiveFileLookup=True)
-    section = F.regexp_extract(F.col("_metadata.file_path"), r"/([a-z_]+)/[^/]+$", 1).alias("section")
-    return sections.groupBy(section).agg(F.count(F.lit(1)).alias("cnt"))
+    gauge = "metric_name string, metric_type string"
+    whole, real = (lambda names: [(n, "bigint") for n in names]), (lambda names: [(n, "double") for n in names])
+    sections = {
+        "transaction_level_metrics": ("transaction_id", gauge + ", transaction_id string", whole(["value", "timestamp_ms"])),
+        "channel_level_metrics": ("channel", gauge + ", channel string", whole(["count", "sum_ms"]) + real(["avg_ms", "min_ms", "max_ms"])),
+        "response_code_metrics": ("response_code", gauge + ", response_code string", whole(["count"]) + real(["avg_ms", "min_ms", "max_ms", "p95_ms", "p99_ms"])),
+        "summary_stats": (None, "timestamp_ms bigint", whole(["total_transactions", "success_count"]) + real(["avg_tat_ms", "p50_ms", "p99_ms", "success_rate_pct"])),
+    }
+    rows = None
+    for section, (name, head, measures) in sections.items():
+        schema = head + "".join(f", {m} {kind}" for m, kind in measures)
+        each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m, _ in measures])
+        read = spark.read.schema(schema).json(f"{path}/{section}")
+        part = read.select(F.lit(section).alias("section"), (F.col(name) if name else F.lit(section)).alias("name"), F.inline(each))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 @query
 def write_documents(spark, sf_dir):
-    """The export documents, written and read back: one line per bucket."""
+    """The export documents, written and read back: the metrics of each."""
     path = scratch_path(spark, "documents")
     tables.write_documents(_click_buckets(spark, sf_dir), I.CLICKS, path)
+    shape = "array<struct<name:string,sum:struct<dataPoints:array<struct<asInt:string>>>>>"
     lines = files.read_lines(spark, path)
-    metrics = F.json_array_length(F.get_json_object("value", "$.resourceMetrics[0].scopeMetrics[0].metrics"))
-    return lines.agg(F.count(F.lit(1)).alias("documents"), F.sum(metrics.cast("bigint")).alias("metrics"))
+    metrics = F.from_json(F.get_json_object("value", "$.resourceMetrics[0].scopeMetrics[0].metrics"), shape)
+    return lines.select(F.inline(metrics)).select("name", F.size("sum.dataPoints").alias("points"))
 
 
 @query
@@ -943,7 +1037,7 @@ def _over(name, report, source):
 
 
 for _name in ("channel_series", "series_points"):
-    _over(_name, getattr(R, _name), _done)
+    _over(_name, lambda tx, report=getattr(R, _name): report(tx, at_ms()), _done)
 
 for _name in (
     "channel_report",

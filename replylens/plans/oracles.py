@@ -156,16 +156,26 @@ def with_(ctes, body):
     return f"WITH {ctes}\n{body}"
 
 
+AT_MS = "CAST(1704069900000 AS BIGINT)"
+
+
+def melted(section, name, measures, source):
+    """(section, name, measure, value) of a report section."""
+    names = ", ".join(f"'{m}'" for m in measures)
+    values = ", ".join(f"CAST({m} AS DOUBLE)" for m in measures)
+    return f"SELECT '{section}' AS section, {name} AS name, unnest([{names}]) AS measure, unnest([{values}]) AS value FROM ({source})"
+
+
 def channel_series(source):
     def one(figure, expr):
         return (
             f"SELECT 'payment.channel.tat.{figure}' AS series_id, channel, CAST(NULL AS VARCHAR) AS response_code, "
-            f"CAST({expr} AS DOUBLE) AS value FROM {source} GROUP BY channel"
+            f"{AT_MS} AS timestamp_ms, CAST({expr} AS DOUBLE) AS value FROM {source} GROUP BY channel"
         )
 
     percent = "CAST(count(*) FILTER (WHERE response_code = '000') AS DOUBLE) / count(*) * 100"
     overall = (
-        f"SELECT 'payment.success.rate', NULL, NULL, {half_up(f'{percent} * 100')} / 100.0::DOUBLE FROM {source}"
+        f"SELECT 'payment.success.rate', NULL, NULL, {AT_MS}, {half_up(f'{percent} * 100')} / 100.0::DOUBLE FROM {source}"
     )
     parts = [one("avg", half_up(mean())), one("min", "min(tat_millis)"), one("max", "max(tat_millis)")]
     return "\nUNION ALL ".join([*parts, one("count", "count(*)"), overall])
@@ -254,6 +264,31 @@ def oracles() -> dict:
     )
     sql["bucket_metrics"] = with_(CLICK_PAIRS, buckets(86400, CLICK_DIMS))
     sql["stream_bucket_metrics"] = sql["bucket_metrics_by_cell"] = sql["bucket_metrics"]
+    # Even responses are closed up to the end of their last bucket before the odd ones arrive.
+    late_buckets = buckets(86400, CLICK_DIMS, source="told", extra="late")
+    sql["stream_late_pairs"] = with_(
+        CLICK_PAIRS,
+        f"""SELECT * FROM (WITH told AS (
+          SELECT *, response_id % 2 = 1 AND {bucket('response_ts', 86400)} <=
+            (SELECT max({bucket('response_ts', 86400)}) FROM pairs WHERE response_id % 2 = 0) AS late FROM pairs)
+        {late_buckets})""",
+    )
+    sql["ingest_identity"] = f"""WITH rec AS ({CLICK_RECORDS})
+        SELECT DISTINCT user_id AS correlation_key, event_type, ts AS event_ts, amount, status
+        FROM rec, (VALUES ('1.50'), ('2.5')) AS v(amount)"""
+    sql["export_drain"] = with_(
+        CLICK_PAIRS,
+        """SELECT CAST(g AS BIGINT) AS batch_id, count(*) AS pairs, CAST((SELECT count(*) FROM pairs) AS BIGINT) AS total
+        FROM (SELECT (row_number() OVER (ORDER BY pair_id) - 1) // 200 AS g FROM pairs) GROUP BY g""",
+    )
+    exact = "bucket_start, bucket_seconds, channel, count, success_count, error_count, min_latency_ms, max_latency_ms, avg_latency_ms"
+    sql["bucket_metrics_approximate"] = with_(
+        CLICK_BUCKETS, f"SELECT {exact}, success_rate, error_rate, throughput, true AS within_error FROM buckets"
+    )
+    sql["cardinality_approximate"] = with_(
+        CLICK_BUCKETS,
+        "SELECT count(*) AS series, true AS within_error FROM (SELECT DISTINCT bucket_start, channel FROM buckets)",
+    )
     sql["bucket_metrics_hourly"] = with_(
         f"{CLICKS},\n{match(HOUR_US)}", buckets(3600, CLICK_DIMS)
     )
@@ -305,9 +340,9 @@ ev AS (
         "WHERE event_id % 7 <> 0 AND event_id % 11 <> 0"
     )
     sql["core_fields"] = (
-        "SELECT event_type, count(*) AS cnt FROM (SELECT o_orderkey AS k, 'order' AS event_type FROM orders UNION ALL "
-        "SELECT l_orderkey, CASE WHEN l_orderkey % 3 <> 0 THEN 'ship' END FROM lineitem) "
-        "WHERE k % 5 <> 0 AND k % 7 <> 0 AND event_type IS NOT NULL GROUP BY event_type"
+        f"WITH {SHIPMENTS} SELECT event_id, correlation_key AS orderkey, CASE ord WHEN 0 THEN 'order' ELSE 'ship' END AS event_type "
+        "FROM ev WHERE CAST(correlation_key AS BIGINT) % 5 <> 0 AND CAST(correlation_key AS BIGINT) % 7 <> 0 "
+        "AND (ord = 0 OR CAST(correlation_key AS BIGINT) % 3 <> 0)"
     )
     sql["correlated_flags"] = with_(
         CLICK_PAIRS,
@@ -333,15 +368,9 @@ ev AS (
         "SELECT pair_id, CASE channel WHEN 'ch1' THEN 'UNKNOWN' ELSE channel END AS channel, "
         "CASE response_code WHEN '500' THEN 'PENDING' ELSE response_code END AS response_code FROM done",
     )
-    sql["write_report"] = with_(
-        CARD,
-        "SELECT 'transaction_level_metrics' AS section, count(*) AS cnt FROM done "
-        "UNION ALL SELECT 'channel_level_metrics', count(DISTINCT channel) FROM done "
-        "UNION ALL SELECT 'response_code_metrics', count(DISTINCT response_code) FROM done "
-        "UNION ALL SELECT 'summary_stats', 1",
-    )
     sql["write_documents"] = with_(
-        CLICK_BUCKETS, "SELECT count(*) AS documents, count(*) * 13 AS metrics FROM buckets"
+        CLICK_BUCKETS,
+        "SELECT metric AS name, CASE WHEN type = 'COUNTER' THEN 1 END AS points FROM (" + points() + ")",
     )
     sql["metric_points"] = with_(CLICK_BUCKETS, points())
     sql["metric_documents"] = with_(
@@ -419,16 +448,19 @@ ev AS (
     )
     sql["reject_malformed"] = (
         "SELECT CASE WHEN event_id % 10 = 0 THEN 'not a JSON object' WHEN event_id % 10 = 1 THEN 'missing core field' "
-        "WHEN event_id % 10 = 2 THEN 'invalid timestamp' ELSE 'good' END AS reason, count(*) AS cnt "
-        "FROM events WHERE event_id % 10 <> 3 GROUP BY 1"
+        "WHEN event_id % 10 = 2 THEN 'invalid timestamp' ELSE 'good' END AS reason, event_id "
+        "FROM events WHERE event_id % 10 <> 3"
     )
     sql["transaction_time"] = (
         "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE date_trunc('millisecond', ts) END "
         "AS transaction_ts FROM events"
     )
-    sql["ingest_changed"] = "SELECT event_id % 3 AS part, count(*) AS cnt FROM events GROUP BY 1"
+    sql["ingest_changed"] = (
+        "SELECT CAST(min(event_id % 3 = 2) AS BIGINT) AS batch_id, CAST(user_id AS VARCHAR) AS correlation_key, event_type, "
+        "ts AS event_ts FROM events GROUP BY ALL"
+    )
     sql["read_multi_source"] = (
-        "SELECT 'part-' || CAST(event_id % 4 AS VARCHAR) AS server, count(*) AS cnt FROM events GROUP BY 1"
+        "SELECT 'part-' || CAST(event_id % 4 AS VARCHAR) AS server, event_id FROM events"
     )
 
     # The older report set.
@@ -449,6 +481,10 @@ ev AS (
     sql["scan_legacy_unexported_limit"] = with_(
         CARD, f"SELECT {TX_COLUMNS} FROM done WHERE correlation_key IN ({open_keys} ORDER BY pair_id LIMIT 20)"
     )
+    sql["legacy_export_cycle"] = with_(
+        CARD,
+        f"SELECT {TX_COLUMNS} FROM done WHERE correlation_key IN (SELECT correlation_key FROM done WHERE is_valid)",
+    )
     sql["transaction_metrics"] = with_(
         CARD,
         "SELECT 'payment.transaction.tat' AS metric_name, 'gauge' AS metric_type, tat_millis AS value, "
@@ -457,13 +493,13 @@ ev AS (
     )
     sql["channel_metrics"] = with_(
         CARD,
-        f"SELECT channel, count(*) AS count, CAST(sum(tat_millis) AS BIGINT) AS sum_ms, {mean()} AS avg_ms, "
+        f"SELECT 'payment.channel.tat' AS metric_name, 'gauge' AS metric_type, channel, count(*) AS count, CAST(sum(tat_millis) AS BIGINT) AS sum_ms, {mean()} AS avg_ms, "
         "CAST(min(tat_millis) AS DOUBLE) AS min_ms, CAST(max(tat_millis) AS DOUBLE) AS max_ms, "
         "CAST(1704069900000 AS BIGINT) AS timestamp_ms FROM done GROUP BY channel",
     )
     sql["response_code_metrics"] = with_(
         CARD,
-        f"SELECT response_code, count(*) AS count, {mean()} AS avg_ms, CAST(min(tat_millis) AS DOUBLE) AS min_ms, "
+        f"SELECT 'payment.response_code.tat' AS metric_name, 'gauge' AS metric_type, response_code, count(*) AS count, {mean()} AS avg_ms, CAST(min(tat_millis) AS DOUBLE) AS min_ms, "
         f"CAST(max(tat_millis) AS DOUBLE) AS max_ms, CAST({floor_rank(95)} AS DOUBLE) AS p95_ms, "
         f"CAST({floor_rank(99)} AS DOUBLE) AS p99_ms, CAST(1704069900000 AS BIGINT) AS timestamp_ms "
         "FROM done GROUP BY response_code",
@@ -480,9 +516,24 @@ ev AS (
     sql["channel_series"] = with_(CARD, channel_series("done"))
     sql["series_points"] = with_(
         CARD,
-        "SELECT 'payment.transaction.tat' AS series_id, channel, response_code, CAST(tat_millis AS DOUBLE) AS value FROM done\n"
+        f"SELECT 'payment.transaction.tat' AS series_id, channel, response_code, {AT_MS} AS timestamp_ms, CAST(tat_millis AS DOUBLE) AS value FROM done\n"
         f"UNION ALL {channel_series('done')}",
     )
+    body = lambda name: sql[name].split(CARD, 1)[1]
+    sql["write_report"] = with_(
+        CARD,
+        " UNION ALL ".join(
+            [
+                melted("transaction_level_metrics", "transaction_id", ["value", "timestamp_ms"], body("transaction_metrics")),
+                melted("channel_level_metrics", "channel", ["count", "sum_ms", "avg_ms", "min_ms", "max_ms"], body("channel_metrics")),
+                melted("response_code_metrics", "response_code", ["count", "avg_ms", "min_ms", "max_ms", "p95_ms", "p99_ms"], body("response_code_metrics")),
+                melted(
+                    "summary_stats", "'summary_stats'",
+                    ["total_transactions", "success_count", "avg_tat_ms", "p50_ms", "p99_ms", "success_rate_pct"], body("summary_stats"),
+                ),
+            ]
+        ),
+    )
     sql["transaction_lines"] = with_(
         CARD,
         "SELECT tat_millis AS tat_ms, stan, channel, response_code, epoch_us(completed_at) // 1000 AS timestamp, "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,11 +47,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Paths written inside of each open `temporary_stages`.
+_open_stages: list[list[str]] = []
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Delete what `cut_lineage` writes inside of the block at its end.
+
+    For steps that end with a write; a DataFrame that reads a stage must not leave the block.
+    """
+    _open_stages.append([])
+    try:
+        yield
+    finally:
+        for path in _open_stages.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and go on from there.
 
     A lost executor then costs no recomputation, and the columns can still be pruned.
     """
     path = scratch_path(df.sparkSession, "stage")
+    if _open_stages:
+        _open_stages[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,26 +16,25 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SEPARATOR = re.compile(rb"^[^\S\n]*<={5,}>[^\S\n]*\n", re.MULTILINE)
 CHUNK = 4 << 20
+LINE = 1 << 20
 BATCH = 2000
-# position = file number * 2^43 + offset: a million files of up to 8 TiB each.
-OFFSET_BITS = 43
 
 
 @dataclass
 class Ranges(InputPartition):
-    parts: list  # (file number, path, start, end)
+    parts: list  # (path, start, end)
 
 
 def plan_ranges(files: list, split_bytes: int) -> list:
     """Byte ranges of about `split_bytes`; small files share a partition."""
     partitions, current, filled = [], [], 0
-    for number, (path, size) in enumerate(files):
+    for path, size in files:
         for start in range(0, size, split_bytes):
             end = min(start + split_bytes, size)
             if current and filled + (end - start) > split_bytes:
                 partitions.append(Ranges(current))
                 current, filled = [], 0
-            current.append((number, path, start, end))
+            current.append((path, start, end))
             filled += end - start
     if current:
         partitions.append(Ranges(current))
@@ -54,41 +53,45 @@ def open_file(path: str):
     return filesystem.open_input_file(inner)
 
 
-def blocks_in_range(stream, start: int, end: int):
-    """(offset, block bytes) of the blocks owned by [start, end)."""
-    # From one byte before the range, so that a line starting at `start` is seen as a line start.
+def _separators(stream, start: int):
+    """(start, end) of the separator lines from the line break before `start` on.
+
+    Only the line that is being read is kept, and of a line longer than LINE, which is no separator,
+    nothing; so memory does not depend on the length of blocks or lines.
+    """
     base = max(0, start - 1)
-    stream.seek(base)
-    buffer, at_end = b"", False
-    line_start = 0 if start == 0 else None  # index in `buffer` up to which nothing is unread
-    block = base if start == 0 else None  # file offset of the open block
+    buffer, at_line_start = b"", start == 0
     while True:
-        # Only whole lines are searched: up to and including the last line break.
+        stream.seek(base + len(buffer))
+        more = stream.read(CHUNK)
+        buffer += more
         limit = buffer.rfind(b"\n") + 1
-        if line_start is None and limit:
-            line_start = buffer.index(b"\n") + 1
-        if line_start is not None and line_start < limit:
-            for hit in SEPARATOR.finditer(buffer, line_start, limit):
-                at = base + hit.start()
-                if block is not None:
-                    yield block, buffer[block - base : hit.start()]
-                block = base + hit.end()
-                if at >= end:
-                    return
-            line_start = limit
-            if block is None and base + limit >= end:
-                return
-        if at_end:
+        if not limit and (len(buffer) > LINE or not at_line_start):
+            base, buffer, at_line_start = base + len(buffer), b"", False
+        elif limit:
+            first = 0 if at_line_start else buffer.index(b"\n") + 1
+            for hit in SEPARATOR.finditer(buffer, first, limit):
+                yield base + hit.start(), base + hit.end()
+            base, buffer, at_line_start = base + limit, buffer[limit:], True
+        yield None, base  # how far lines are known
+        if not more:
             return
-        keep = line_start if line_start is not None else 0
+
+
+def blocks_in_range(stream, start: int, end: int):
+    """(offset, block bytes) of the blocks owned by [start, end)."""
+    block = 0 if start == 0 else None  # file offset of the open block
+    for at, after in _separators(stream, start):
+        if at is None:
+            if block is None and after >= end:
+                return
+            continue
         if block is not None:
-            keep = min(keep, block - base)
-        buffer, base = buffer[keep:], base + keep
-        if line_start is not None:
-            line_start -= keep
-        more = stream.read(CHUNK)
-        at_end = not more
-        buffer += more
+            stream.seek(block)
+            yield block, stream.read(at - block)
+        block = after
+        if at >= end:
+            return
 
 
 class BlockReader(DataSourceReader):
@@ -102,20 +105,20 @@ class BlockReader(DataSourceReader):
     def read(self, partition):
         import pyarrow as pa
 
-        names = ["source", "offset", "position", "value"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+        names = ["source", "offset", "value"]
+        types = [pa.string(), pa.int64(), pa.string()]
         rows = []
 
         def batch():
             columns = zip(*rows)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        for number, path, start, end in partition.parts:
+        for path, start, end in partition.parts:
             with open_file(path) as stream:
                 for offset, raw in blocks_in_range(stream, start, end):
                     text = raw.replace(b"\r\n", b"\n").decode("utf-8", "replace")
                     if text.strip():
-                        rows.append((path, offset, (number << OFFSET_BITS) + offset, text))
+                        rows.append((path, offset, text))
                     if len(rows) >= BATCH:
                         yield batch()
                         rows = []
@@ -129,7 +132,7 @@ class BlockSource(DataSource):
         return "message_blocks"
 
     def schema(self):
-        return "source string, offset bigint, position bigint, value string"
+        return "source string, offset bigint, value string"
 
     def reader(self, schema):
         return BlockReader(self.options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replylens.sources.blocks import BlockSource
@@ -18,28 +18,36 @@ LEGACY_SEPARATOR = "<=========>"
 LEGACY_GLOB = "CIDC_*.txt"
 
 
-def list_files(spark: SparkSession, paths: list, glob: str | None = None) -> list:
+def list_files(spark: SparkSession, paths: list, glob: str | None = None, recursive: bool = False) -> list:
     """[(path, size)] of the files behind `paths` (files, directories, patterns), sorted.
 
-    Whatever is missing is skipped with a warning.
+    Whatever is missing is skipped with a warning, and so are folders inside of a directory unless
+    `recursive` takes in their files too.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.GlobPattern(glob) if glob else None
     found = {}
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         fs = where.getFileSystem(conf)
         hits = list(fs.globStatus(where) or [])
-        for hit in hits:
-            inside = list(fs.listStatus(hit.getPath())) if hit.isDirectory() else [hit]
-            pattern = jvm.org.apache.hadoop.fs.GlobPattern(glob) if glob else None
-            for status in inside:
-                name = status.getPath().getName()
-                if not status.isFile() or name.startswith(("_", ".")):
-                    continue
-                if pattern is None or pattern.matches(name):
-                    found[status.getPath().toString()] = status.getLen()
         if not hits:
             log.warning("skipping missing input %s", path)
+        folders = [hit.getPath() for hit in hits if hit.isDirectory()]
+        statuses = [hit for hit in hits if not hit.isDirectory()]
+        while folders:
+            for status in fs.listStatus(folders.pop()):
+                hidden = status.getPath().getName().startswith(("_", "."))
+                if status.isFile():
+                    statuses.append(status)
+                elif recursive and not hidden:
+                    folders.append(status.getPath())
+                elif not hidden:
+                    log.warning("skipping folder %s", status.getPath().toString())
+        for status in statuses:
+            name = status.getPath().getName()
+            if not name.startswith(("_", ".")) and (pattern is None or pattern.matches(name)):
+                found[status.getPath().toString()] = status.getLen()
     return sorted(found.items())
 
 
@@ -82,19 +90,15 @@ def stream_lines(
 
 
 def read_blocks(
-    spark: SparkSession, paths, glob: str | None = None, split_bytes: int | None = None
+    spark: SparkSession, paths, glob: str | None = None, split_bytes: int = 128 << 20, recursive: bool = False
 ) -> DataFrame:
-    """(source, offset, position, value): message blocks, files of any size split by byte range.
+    """(source, offset, value): message blocks, files of any size split into ranges of `split_bytes`.
 
     A block ends with a separator line; blank blocks and an unfinished last block are left
-    out. `offset` is the block's place in its file and `position` orders all blocks of the
-    call (files by name), which makes it an arrival number. Ranges have 128 MiB, or more where
-    that would give over 100,000 of them.
+    out. `offset` is the block's place in its file; see `arrival`.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    files = list_files(spark, paths, glob)
-    if split_bytes is None:
-        split_bytes = max(128 << 20, sum(size for _, size in files) // 100_000)
+    files = list_files(spark, paths, glob, recursive)
     spark.dataSource.register(BlockSource)
     return (
         spark.read.format(BlockSource.name())
@@ -104,6 +108,11 @@ def read_blocks(
     )
 
 
+def arrival() -> Column:
+    """Arrival order of blocks: files by name, then the place in the file."""
+    return F.struct("source", "offset")
+
+
 def read_blocks_whole_files(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """(source, offset, value) with built-in operators only; `offset` counts a file's blocks.
 

@@ -6,20 +6,39 @@
     <root>/expired/batch_id=N                   requests given up after batch N
     <root>/exports/batch_id=N                   ids of delivered pairs
     <root>/files/batch_id=N                     states of the files read
+    <root>/pending/batch_id=N                   events still unmatched after matching pass N
+    <root>/passes/batch_id=N                    up to which batch of raw events pass N has matched
+
+A root belongs to one blueprint. An event id is (batch, row): the batch that stored the event and
+its place in that batch's input, so ids follow the input and have no bounds.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from replylens.blueprint import Blueprint
 from replylens.operators import dedup
 from replylens.operators.events import split_rejects, valid_events
-from replylens.session import cut_lineage
+from replylens.session import cut_lineage, temporary_stages
+
+EVENT_ID = "struct<batch:bigint,row:bigint>"
+
+
+def _cleaned(step):
+    """`step(…)` deletes the intermediate tables that it wrote; it must end with a write."""
 
-# An event id is batch (20 bits), partition (17 bits) and row (26 bits).
-PARTITION_BITS, ROW_BITS = 17, 26
+    @functools.wraps(step)
+    def run(*args, **options):
+        spark = next(a if isinstance(a, SparkSession) else a.sparkSession for a in args if hasattr(a, "sparkSession") or isinstance(a, SparkSession))
+        with temporary_stages(spark):
+            return step(*args, **options)
+
+    return run
 
 
 def _folder(spark: SparkSession, path: str):
@@ -57,47 +76,37 @@ def drop_batches(spark: SparkSession, path: str, before: int) -> None:
 def event_schema(bp: Blueprint) -> str:
     carried = "".join(f", `{c}` string" for c in bp.carried_columns)
     return (
-        "event_id bigint, blueprint string, event_hash string, correlation_key string, event_type string, "
-        f"role string, event_ts timestamp{carried}, event_date date"
+        f"event_id {EVENT_ID}, blueprint string, event_hash string, correlation_key string, event_type string, "
+        f"role string, event_ts timestamp{carried}, payload string, event_date date"
     )
 
 
 def pair_schema(bp: Blueprint) -> str:
     dims = "".join(f", `{c}` string" for c in bp.dimension_columns)
     return (
-        "blueprint string, pair_id bigint, correlation_key string, request_id bigint, response_id bigint, "
+        f"blueprint string, pair_id {EVENT_ID}, correlation_key string, request_id {EVENT_ID}, response_id {EVENT_ID}, "
         f"request_ts timestamp, response_ts timestamp, latency_ms bigint, outcome string{dims}"
     )
 
 
-def assign_ids(events: DataFrame, batch_id: int) -> DataFrame:
-    """Unique ids for the rows of one batch. They count once written, so a rerun may renumber."""
-    row = F.monotonically_increasing_id()
-    partition, number = F.shiftright(row, 33), row.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (partition < (1 << PARTITION_BITS)) & (number < (1 << ROW_BITS)) & (F.lit(batch_id) < (1 << 20))
-    packed = F.shiftleft(F.lit(batch_id).cast("bigint"), PARTITION_BITS + ROW_BITS) + F.shiftleft(partition, ROW_BITS) + number
-    return events.withColumn(
-        "event_id", F.when(fits, packed).otherwise(F.raise_error(F.lit("event id out of range")).cast("bigint"))
-    )
-
-
-def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int, fields=None) -> DataFrame:
+@_cleaned
+def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int) -> DataFrame:
     """Normalised events -> the ones not seen before, written as batch `batch_id` and read back.
 
-    `fields` is the MAP of the whole record for the identity (default: the carried columns).
-    The identity holds the time, so only the stored days of this batch are compared.
+    Identity covers the whole record if `normalise` was asked for its payload, else the carried
+    columns. It holds the time, so only the stored days of this batch are compared.
     """
     spark = events.sparkSession
     path = f"{root}/raw_events"
-    if fields is None:
-        fields = dedup.columns_as_fields(bp.carried_columns)
-    hashed = dedup.with_event_hash(valid_events(events), fields)
-    hashed = hashed.withColumn("event_date", F.to_date("event_ts")).select(
-        *[F.col(c) for c in _names(event_schema(bp)) if c != "event_id"]
-    )
-    # Copies are equal in every column, so `distinct` leaves one. It aggregates by hash, where
-    # keeping the first row per identity would sort.
-    fresh = hashed.distinct()
+    if "payload" not in events.columns:
+        events = events.withColumn("payload", dedup.payload(dedup.columns_as_fields(bp.carried_columns)))
+    hashed = dedup.with_event_hash(valid_events(events), F.col("payload"))
+    columns = [c for c in T.StructType.fromDDL(event_schema(bp)).names if c != "event_id"]
+    hashed = hashed.withColumn("event_date", F.to_date("event_ts")).select(*columns)
+    # Rows are numbered as they are read. Copies are equal in every other column, so the first one
+    # is found by a hash aggregate.
+    numbered = hashed.withColumn("row", F.monotonically_increasing_id())
+    fresh = numbered.groupBy(*columns).agg(F.min("row").alias("row"))
     if batch_id:
         # Written first, so that finding the days does not parse the input a second time.
         fresh = cut_lineage(fresh)
@@ -107,14 +116,11 @@ def store_events(events: DataFrame, bp: Blueprint, root: str, batch_id: int, fie
     # Gathering days keeps a long history from becoming (tasks x days) small files; adaptive
     # execution splits a large day over several tasks again.
     by_day = fresh.hint("rebalance", "event_date")
-    write_batch(assign_ids(by_day, batch_id), path, batch_id, ("event_date",))
+    event_id = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), "row").alias("event_id")
+    write_batch(by_day.select(event_id, *columns), path, batch_id, ("event_date",))
     return read_batches(spark, path, event_schema(bp)).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
 
-def _names(schema: str) -> list:
-    return [part.strip().split(" ")[0].strip("`") for part in schema.split(",")]
-
-
 def quarantine_records(records: DataFrame, bp: Blueprint, value: str = "value") -> tuple:
     """(good, quarantine) of flat records with `is_object`; see `split_rejects`."""
     from replylens.operators.events import event_time, event_type
@@ -133,7 +139,7 @@ def quarantine_records(records: DataFrame, bp: Blueprint, value: str = "value")
 # -- pairs and exports -----------------------------------------------------------------------
 
 
-def unexported(pairs: DataFrame, exports: DataFrame, limit: int | None = 10_000) -> DataFrame:
+def unexported(pairs: DataFrame, exports: DataFrame, limit: int | None = None) -> DataFrame:
     """Pairs without an export entry; `limit` takes the first ones by id, None takes all."""
     if limit is not None and limit <= 0:
         raise ValueError("limit must be positive")
@@ -141,7 +147,8 @@ def unexported(pairs: DataFrame, exports: DataFrame, limit: int | None = 10_000)
     return rest if limit is None else rest.orderBy("pair_id").limit(limit)
 
 
-def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: int | None = 10_000) -> int:
+@_cleaned
+def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: int | None = None) -> int:
     """Deliver the buckets of unexported pairs, then record them. Returns the number of pairs.
 
     `deliver(buckets)` gets the bucket rows. If it fails nothing is recorded, so the same pairs
@@ -151,7 +158,7 @@ def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: i
 
     path = f"{root}/exports"
     pairs = read_batches(spark, f"{root}/pairs", pair_schema(bp)).drop("batch_id")
-    done = read_batches(spark, path, "pair_id bigint, exported_at timestamp")
+    done = read_batches(spark, path, f"pair_id {EVENT_ID}, exported_at timestamp")
     taken = cut_lineage(unexported(pairs, done, limit))
     number = taken.count()
     if not number:
@@ -162,10 +169,80 @@ def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: i
     return number
 
 
+def drain(export, attempts: int = 3) -> int:
+    """Call `export()`, which returns how much it delivered, until that is nothing; returns the sum.
+
+    An export that fails is tried again, `attempts` times in a row. What fails for good stays unexported,
+    and the error of the last attempt is raised.
+    """
+    if attempts < 1:
+        raise ValueError("attempts must be positive")
+    total, failed = 0, 0
+    while True:
+        try:
+            number = export()
+        except Exception:
+            failed += 1
+            if failed >= attempts:
+                raise
+            continue
+        if not number:
+            return total
+        total, failed = total + number, 0
+
+
+def drain_exports(
+    spark: SparkSession, bp: Blueprint, root: str, deliver, limit: int | None = None, attempts: int = 3
+) -> int:
+    """`export_once` until all pairs are delivered, with retries."""
+    return drain(lambda: export_once(spark, bp, root, deliver, limit), attempts)
+
+
+# -- the older transaction table ----------------------------------------------------------------
+
+
+def store_transactions(transactions: DataFrame, root: str, batch_id: int) -> None:
+    """Finished transactions as batch `batch_id` of <root>/transactions; a repeated batch replaces itself."""
+    from replylens.operators.legacy import TRANSACTION_COLUMNS
+
+    write_batch(transactions.select(*TRANSACTION_COLUMNS), f"{root}/transactions", batch_id)
+
+
+def read_transactions(spark: SparkSession, root: str, id_type: str = EVENT_ID) -> DataFrame:
+    """The stored transactions, which the reports of `operators.reports` take."""
+    schema = (
+        f"pair_id {id_type}, correlation_key string, stan string, pan string, channel string, tat_millis bigint, "
+        "response_code string, is_valid boolean, completed_at timestamp"
+    )
+    return read_batches(spark, f"{root}/transactions", schema).drop("batch_id")
+
+
+@_cleaned
+def export_transactions_once(
+    spark: SparkSession, root: str, deliver, limit: int | None = None, id_type: str = EVENT_ID
+) -> int:
+    """Deliver the transactions whose key was never exported, then record their keys in
+    <root>/exported_keys. Returns the number of transactions; a failed delivery records nothing."""
+    from replylens.operators import legacy
+
+    path = f"{root}/exported_keys"
+    ledger = read_batches(spark, path, "correlation_key string, exported_at timestamp")
+    stored = read_transactions(spark, root, id_type)
+    taken = cut_lineage(legacy.unexported_transactions(stored, ledger, limit).select(*legacy.TRANSACTION_COLUMNS))
+    number = taken.count()
+    if number:
+        deliver(taken)
+        keys = legacy.exported_keys(taken).withColumn("exported_at", F.current_timestamp())
+        write_batch(keys, path, max(batch_ids(spark, path), default=-1) + 1)
+    return number
+
+
+@_cleaned
 def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, glob: str | None = None) -> int:
     """Read new, grown and rewritten files whole; events already stored are dropped by identity.
 
-    `read(paths)` gives flat records. Returns the number of files read. The file states are
+    `read(paths)` gives flat records; a MAP column `fields`, as `parse_json` adds it, is taken as the
+    whole record, else all their columns are. Returns the number of files read. The file states are
     recorded last, so a failed run is repeated.
     """
     from replylens.operators.events import normalise
@@ -178,27 +255,42 @@ def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, g
     names = [r["path"] for r in changed.select("path").collect()]
     if names:
         batch = max(batch_ids(spark, f"{root}/raw_events"), default=-1) + 1
-        store_events(normalise(read(names), bp), bp, root, batch)
+        store_events(normalise(read(names), bp, keep=[], payload=True), bp, root, batch)
         write_batch(changed, path, max(batch_ids(spark, path), default=-1) + 1)
     return len(names)
 
 
+@_cleaned
 def correlate_pending(spark: SparkSession, bp: Blueprint, root: str, **options) -> int:
-    """Match all stored events that no pair has used; append the pairs. Returns their number.
+    """Match the stored events that no pair has used; write the pairs. Returns their number.
 
-    Writing the pairs is what marks the events as used, so both happen or neither does.
+    A pass reads what the last one left and the batches stored since. Only keys with new events, or
+    with a pair in the last pass, can pair now, so only those are matched. The pass is recorded last:
+    a failed one is repeated and replaces what it wrote.
     """
     from replylens.operators.correlate import correlate, pending
 
-    path = f"{root}/pairs"
-    stored = read_batches(spark, f"{root}/raw_events", event_schema(bp)).drop("batch_id")
-    known = read_batches(spark, path, pair_schema(bp)).drop("batch_id")
-    waiting = pending(stored.filter((F.col("blueprint") == bp.name) & F.col("role").isNotNull()), known)
-    found = cut_lineage(dedup.dedup_pairs(correlate(waiting, bp, **options)))
-    number = found.count()
-    if number:
-        write_batch(found, path, max(batch_ids(spark, path), default=-1) + 1)
-    return number
+    passes = read_batches(spark, f"{root}/passes", "raw_batch bigint")
+    last = max(batch_ids(spark, f"{root}/passes"), default=-1)
+    upto = next((r.raw_batch for r in passes.filter(F.col("batch_id") == last).collect()), -1)
+    newest = max(batch_ids(spark, f"{root}/raw_events"), default=-1)
+    fresh = read_batches(spark, f"{root}/raw_events", event_schema(bp)).filter(F.col("batch_id") > upto)
+    fresh = fresh.drop("batch_id").filter((F.col("blueprint") == bp.name) & F.col("role").isNotNull())
+    left = read_batches(spark, f"{root}/pending", event_schema(bp)).filter(F.col("batch_id") == last).drop("batch_id")
+    paired = read_batches(spark, f"{root}/pairs", pair_schema(bp)).filter(F.col("batch_id") == last)
+    keys = cut_lineage(fresh.select("correlation_key").union(paired.select("correlation_key")).distinct())
+    if keys.isEmpty():
+        return 0
+    touched = left.join(keys, "correlation_key", "left_semi").select(*left.columns)
+    waiting = fresh.unionByName(touched)
+    found = dedup.dedup_pairs(correlate(waiting, bp, **options))
+    write_batch(found, f"{root}/pairs", last + 1)
+    found = read_batches(spark, f"{root}/pairs", pair_schema(bp)).filter(F.col("batch_id") == last + 1)
+    untouched = left.join(keys, "correlation_key", "left_anti").select(*left.columns)
+    write_batch(pending(waiting, found).select(*left.columns).unionByName(untouched), f"{root}/pending", last + 1)
+    write_batch(spark.range(1).select(F.lit(newest).cast("bigint").alias("raw_batch")), f"{root}/passes", last + 1)
+    drop_batches(spark, f"{root}/pending", last + 1)
+    return found.count()
 
 
 def read_once(spark: SparkSession, bp: Blueprint, root: str, paths, read, glob: str | None = None, **options) -> int:

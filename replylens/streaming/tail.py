@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from replylens.blueprint import Blueprint
-from replylens.operators.buckets import buckets_from_counts
+from replylens.operators.buckets import bucket_time, buckets_from_counts, latency_counts
 from replylens.operators.correlate import correlate, pending
 from replylens.operators.events import REQUEST, normalise
 from replylens.sources.tables import (
@@ -26,6 +26,7 @@ from replylens.sources.tables import (
     store_events,
     write_batch,
 )
+from replylens.session import cut_lineage, temporary_stages
 
 
 class CarryOver:
@@ -40,9 +41,13 @@ class CarryOver:
         self.bp, self.root, self.parse, self.lateness, self.options = bp, root, parse, lateness, options
 
     def __call__(self, records: DataFrame, batch_id: int) -> None:
+        with temporary_stages(records.sparkSession):
+            self._step(records, batch_id)
+
+    def _step(self, records: DataFrame, batch_id: int) -> None:
         bp, root, spark = self.bp, self.root, records.sparkSession
         flat = self.parse(records) if self.parse else records
-        fresh = store_events(normalise(flat, bp, keep=[]), bp, root, batch_id)
+        fresh = store_events(normalise(flat, bp, keep=[], payload=True), bp, root, batch_id)
         path = f"{root}/residual"
         earlier = [b for b in batch_ids(spark, path) if b < batch_id]
         left = read_batches(spark, path, event_schema(bp)).filter(F.col("batch_id") == max(earlier, default=-1))
@@ -95,51 +100,84 @@ def tail(
     return _triggered(writer, mode, poll_ms).start()
 
 
-def stream_pairs(spark: SparkSession, bp: Blueprint, root: str, max_files: int | None = None) -> DataFrame:
-    """The pair table as a stream."""
-    reader = spark.readStream.schema(pair_schema(bp)).option("pathGlobFilter", "*.parquet")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(f"{root}/pairs/batch_id=*")
+# Times in microseconds.
+MARKS = "closed_until bigint, newest bigint, pair_batch bigint"
 
 
-def tumbling_metrics(
-    pairs: DataFrame,
-    bp: Blueprint,
-    root: str,
-    lateness: timedelta = timedelta(0),
-    mode: str = "tail",
-    poll_ms: int = 5000,
-):
-    """Bucket rows of a pair stream, each bucket once, when the watermark has passed its end.
+def _latency_schema(bp: Blueprint) -> str:
+    dims = "".join(f", `{c}` string" for c in bp.dimension_columns)
+    return f"bucket_start timestamp{dims}, latency_ms bigint, n bigint, success_count bigint, error_count bigint"
+
 
-    The state counts pairs per (bucket, dimensions, latency), combined map-side, rather than
-    keeping them; a closed bucket's counts arrive in one batch and give its exact percentiles.
+def advance_buckets(
+    spark: SparkSession, bp: Blueprint, root: str, pairs: DataFrame | None, step: int, lateness: timedelta = timedelta(0)
+) -> None:
+    """One step of the tumbling buckets: take in `pairs`, or (None) close all that is open.
+
+    The state counts pairs per (bucket, dimensions, latency) of the open buckets. A bucket is closed,
+    and written, when the newest response is more than `lateness` past its end. A pair of a bucket that
+    is closed already adds a row of its own with `late` set. What a step writes replaces itself if the
+    step is repeated; the watermark, written last, makes it count.
     """
-    length = f"{bp.bucket_seconds} seconds"
     groups = ["bucket_start", *bp.dimension_columns]
-    counts = (
-        pairs.withWatermark("response_ts", f"{int(lateness.total_seconds())} seconds")
-        .filter(F.col("latency_ms") >= 0)
-        .groupBy(F.window("response_ts", length).alias("w"), *bp.dimension_columns, "latency_ms")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum((F.col("outcome") == "SUCCESS").cast("bigint")).alias("success_count"),
-            F.sum((F.col("outcome") == "ERROR").cast("bigint")).alias("error_count"),
-        )
-        .select(F.col("w.start").alias("bucket_start"), *bp.dimension_columns, "latency_ms", "n", "success_count", "error_count")
-    )
+    path = f"{root}/watermarks"
+    marks = read_batches(spark, path, MARKS)
+    last = next(iter(marks.filter(F.col("batch_id") == step - 1).collect()), None)
+    closed_until, newest, taken = (last.closed_until, last.newest, last.pair_batch) if last else (None, None, -1)
+    counts = read_batches(spark, f"{root}/open_counts", _latency_schema(bp)).filter(F.col("batch_id") == step - 1).drop("batch_id")
+    end = F.unix_micros("bucket_start") + F.lit(bp.bucket_seconds * 1_000_000)
+    late = None
+    if pairs is not None:
+        timed = cut_lineage(latency_counts(bucket_time(pairs, bp), groups))
+        seen = pairs.agg(F.max(F.unix_micros("response_ts")).alias("ts"), F.max("batch_id").alias("batch")).first()
+        taken = max(taken, seen.batch if seen.batch is not None else -1)
+        newest = max([t for t in (newest, seen.ts) if t is not None], default=None)
+        was_closed = F.coalesce(end <= F.lit(closed_until), F.lit(False))
+        late = timed.filter(was_closed)
+        counts = counts.unionByName(timed.filter(~was_closed).select(*counts.columns))
+        sums = [F.sum(c).alias(c) for c in ("n", "success_count", "error_count")]
+        counts = counts.groupBy(*groups, "latency_ms").agg(*sums)
+        until = None if newest is None else newest - lateness // timedelta(microseconds=1)
+    else:
+        until = counts.agg(F.max(end)).first()[0]
+    closed_until = max([t for t in (closed_until, until) if t is not None], default=None)
+    closing = F.coalesce(end <= F.lit(closed_until), F.lit(False))
+    # The counts feed several branches of the percentile plan; they are written once.
+    counts = cut_lineage(counts)
+    rows = buckets_from_counts(counts.filter(closing), groups, bp).withColumn("late", F.lit(False))
+    if late is not None:
+        rows = rows.unionByName(buckets_from_counts(late, groups, bp).withColumn("late", F.lit(True)))
+    write_batch(rows, f"{root}/buckets", step)
+    write_batch(counts.filter(~closing), f"{root}/open_counts", step)
+    mark = spark.createDataFrame([(closed_until, newest, taken)], MARKS)
+    write_batch(mark, path, step)
+    drop_batches(spark, f"{root}/open_counts", step)
 
-    def close(closed: DataFrame, batch_id: int) -> None:
-        # The counts feed several branches of the percentile plan; write them once.
-        write_batch(closed, f"{root}/closed_counts", batch_id)
-        spark = closed.sparkSession
-        stored = spark.read.schema(closed.schema).parquet(f"{root}/closed_counts/batch_id={batch_id}")
-        write_batch(buckets_from_counts(stored, groups, bp), f"{root}/buckets", batch_id)
 
-    writer = counts.writeStream.outputMode("append").foreachBatch(close)
-    writer = writer.option("checkpointLocation", f"{root}/_progress/buckets")
-    return _triggered(writer, mode, poll_ms).start()
+def tumbling_metrics(
+    spark: SparkSession, bp: Blueprint, root: str, lateness: timedelta = timedelta(0), mode: str = "tail"
+) -> int:
+    """Bucket rows of the pair table's batches that no step has taken in; returns their number.
+
+    Only batches that were written completely count, each once, in order. `batch` closes all buckets
+    at the end; `tail` leaves those behind the watermark open for the next call.
+    """
+    if mode not in ("batch", "tail"):
+        raise ValueError("mode must be batch or tail")
+    path = f"{root}/watermarks"
+    step = max(batch_ids(spark, path), default=-1) + 1
+    marks = read_batches(spark, path, MARKS)
+    taken = marks.agg(F.max("pair_batch")).first()[0]
+    new = [b for b in batch_ids(spark, f"{root}/pairs") if taken is None or b > taken]
+    for batch in new:
+        pairs = read_batches(spark, f"{root}/pairs", pair_schema(bp)).filter(F.col("batch_id") == batch)
+        with temporary_stages(spark):
+            advance_buckets(spark, bp, root, pairs, step, lateness)
+        step += 1
+    if mode == "batch":
+        with temporary_stages(spark):
+            advance_buckets(spark, bp, root, None, step, lateness)
+    return len(new)
 
 
 def bucket_schema(bp: Blueprint) -> str:
@@ -147,7 +185,7 @@ def bucket_schema(bp: Blueprint) -> str:
     return (
         f"bucket_start timestamp, bucket_seconds bigint{dims}, count bigint, success_count bigint, error_count bigint, "
         "min_latency_ms bigint, max_latency_ms bigint, avg_latency_ms double, p95_latency_ms bigint, "
-        "p99_latency_ms bigint, success_rate double, error_rate double, throughput double"
+        "p99_latency_ms bigint, success_rate double, error_rate double, throughput double, late boolean"
     )
 
 

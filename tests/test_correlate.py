@@ -113,3 +113,23 @@ def test_empty(spark):
 def test_single_exchange(spark):
     plan = correlate(events_df(spark, [("k", 1, 0, 1)]), BP, hot_rows=None)._jdf.queryExecution().toString()
     assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+
+
+def test_source_is_evaluated_once(spark):
+    """At its defaults `correlate` counts events per key and matches them, from one evaluation."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    events = spark.sql(
+        """SELECT CAST(id AS BIGINT) event_id, CAST(id DIV 2 AS STRING) correlation_key, IF(id % 2 = 0, 'request', 'response') role,
+        timestamp_seconds(id) event_ts, 'x' channel, '000' status FROM range(1000)"""
+    )
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    from replylens.plans.inputs import CLICKS
+
+    assert correlate(events.mapInArrow(counted, columns), CLICKS).count() == 500
+    assert seen.value == 1000

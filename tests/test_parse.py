@@ -101,3 +101,28 @@ def test_instants(spark):
     got = [r[0] for r in texts(spark, *good, *bad).select(strict_instant(F.col("value"))).collect()]
     assert [str(g) for g in got[:3]] == ["2026-10-01 10:00:00", "2026-10-01 10:00:00.125000", "2026-10-01 10:00:00.123456"]
     assert got[3:] == [None] * len(bad)
+
+
+BAD_AND_ODD = [
+    '{"a":"\\ud800"}', '{"a":"x\\udc00y"}', '{"a":"\\ud83d\\ude00"}', '{"a":NaN}', '{"a":Infinity}', '{"a":-Infinity}', '{"a":1.5}',
+    '{"a":1,"a":2}', '{"a":{"b":"n"},"a.b":"d"}', '{"a":"{x"}', '{"a":"{}"}', '{"a":{}}', '{"a":[1,{"c":2.0}]}', '{"a":null}', '{"a":true}',
+    '{"a":1} trailing', '{"a":1}{"a":2}', "[1]", "null", "1", '"a"', "", " ", '{"a"', "{a:1}", "{'a':1}", '{"a":01}', '{"a":1,}', "{}", '{"b":1}',
+    '{"a":' + "[" * 50 + "]" * 50 + "}", None,
+]
+
+
+def test_both_parsers_agree_on_bad_and_odd_records(spark):
+    """Neither ends the job, and both take and refuse the same records."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(BAD_AND_ODD)], "i int, value string")
+    named = {r["i"]: r for r in P.parse_json_fields(df, ["a", "a.b"]).collect()}
+    whole = {r["i"]: r["fields"] for r in P.parse_json(df).collect()}
+    for i, text in enumerate(BAD_AND_ODD):
+        assert named[i]["is_object"] == (whole[i] is not None), text
+        flat = whole[i] or {}
+        assert (named[i]["a"], named[i]["a.b"]) == (flat.get("a"), flat.get("a.b")), text
+
+
+def test_block_lines_take_their_first_match(spark):
+    block = "Pid: 1 Pid: 2\nMessageId: 1200 MessageId: 1210\n"
+    row = P.parse_payment_block(spark.createDataFrame([(block,)], "value string")).first()
+    assert (row["pid"], row["message_id"]) == (1, "1200")

@@ -24,7 +24,7 @@ def write(tmp_path, name, text):
 
 
 def events_of(blocks_df):
-    parsed = P.parse_payment_block(blocks_df.withColumn("event_id", F.col("position")))
+    parsed = P.parse_payment_block(blocks_df.withColumn("event_id", files.arrival()))
     return matchable(P.normalise_payment(parsed), BP)
 
 
@@ -81,7 +81,7 @@ def legacy_events(blocks_df):
     parsed = P.parse_payment_block(blocks_df)
     role = F.when(F.col("message_id") == "1200", "request").when(F.col("message_id") == "1210", "response")
     return parsed.select(
-        F.col("position").alias("event_id"), F.concat_ws("|", "pan", "stan").alias("correlation_key"), role.alias("role"),
+        files.arrival().alias("event_id"), F.concat_ws("|", "pan", "stan").alias("correlation_key"), role.alias("role"),
         F.col("ts").alias("event_ts"), "stan", "pan", "channel", "response_code",
     ).filter("role IS NOT NULL")
 
@@ -140,9 +140,35 @@ def test_ranges_own_each_block_once(monkeypatch):
         assert sorted(got) == reference_blocks(data)
 
 
+def test_memory_of_the_separator_scan_is_bounded(monkeypatch):
+    """A file without separators, and a line longer than any separator."""
+    monkeypatch.setattr(blocks, "CHUNK", 1000)
+    monkeypatch.setattr(blocks, "LINE", 5000)
+
+    class Watched(io.BytesIO):
+        most = 0
+
+        def read(self, n):
+            Watched.most = max(Watched.most, n)
+            return super().read(n)
+
+    assert list(blocks.blocks_in_range(Watched(b"text\n" * 50_000), 0, 250_000)) == []
+    assert Watched.most == 1000
+    data = b"x" * 60_000 + b"<=====>\n"
+    got = list(blocks.blocks_in_range(io.BytesIO(b"y\n<=====>\n" + data + b"<=====>\nrest"), 0, 10))
+    assert got == [(0, b"y\n"), (10, data)]
+
+
+def test_nested_folders(spark, tmp_path, caplog):
+    (tmp_path / "day=1" / "h=1").mkdir(parents=True)
+    write(tmp_path / "day=1" / "h=1", "a.log", "one\n")
+    assert files.list_files(spark, [str(tmp_path)]) == [] and "day=1" in caplog.text
+    assert len(files.list_files(spark, [str(tmp_path)], "*.log", recursive=True)) == 1
+
+
 def test_small_files_share_a_partition():
     plan = blocks.plan_ranges([("a", 10), ("b", 10), ("c", 100), ("d", 0)], 50)
-    assert [[(p[1], p[2], p[3]) for p in r.parts] for r in plan] == [
+    assert [list(r.parts) for r in plan] == [
         [("a", 0, 10), ("b", 0, 10)],
         [("c", 0, 50)],
         [("c", 50, 100)],

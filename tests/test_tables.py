@@ -146,7 +146,7 @@ def test_identity_ignores_field_order(spark):
         UNION ALL SELECT 'b','k','t',timestamp'2026-10-01',3L,map('a','1','b','3')
         UNION ALL SELECT 'c','k','t',timestamp'2026-10-01',4L,map('a','1','b','2')"""
     )
-    hashed = D.with_event_hash(df, F.col("f")).drop("f")
+    hashed = D.with_event_hash(df, D.payload(F.col("f"))).drop("f")
     assert sorted(r["event_id"] for r in D.dedup_events(hashed).collect()) == [1, 3, 4]
 
 
@@ -247,13 +247,92 @@ def test_tumbling_equals_batch(spark, tmp_path):
         rows = [line(f"k{part}-{i}", "begin", f"{i:02d}", operation="x") + line(f"k{part}-{i}", "finish", f"{i:02d}.{i * 7:03d}", operation="x", status="ok") for i in range(20)]
         deliver(folder, f"{part}.jsonl", "".join(rows).replace("T10:00", f"T10:0{part}"))
     run(spark, folder, root)
-    query = S.tumbling_metrics(S.stream_pairs(spark, BP, root, max_files=1), BP, root, mode="batch")
-    query.awaitTermination()
-    closed = {tuple(r) for r in S.stored_buckets(spark, BP, root).collect()}
-    every = bucket_metrics(stored_pairs(spark, root), BP)
-    # The last minute stays open until a later pair arrives.
-    assert closed == {tuple(r) for r in every.filter("bucket_start < timestamp'2026-10-01 10:02:00'").collect()}
-    assert len(closed) == 2
+    every = {tuple(r) for r in bucket_metrics(stored_pairs(spark, root), BP).collect()}
+    assert S.tumbling_metrics(spark, BP, root) == 3
+    closed = S.stored_buckets(spark, BP, root).drop("late")
+    # The last minute stays open until a later pair arrives, or the run ends.
+    assert {tuple(r) for r in closed.collect()} == {r for r in every if r[0].minute < 2}
+    assert S.tumbling_metrics(spark, BP, root, mode="batch") == 0
+    assert {tuple(r) for r in S.stored_buckets(spark, BP, root).drop("late").collect()} == every
+    deliver(folder, "late.jsonl", line("late", "begin", "30") + line("late", "finish", "31"))
+    run(spark, folder, root)
+    assert S.tumbling_metrics(spark, BP, root) == 1
+    (late,) = S.stored_buckets(spark, BP, root).filter("late").collect()
+    assert (late["count"], late["max_latency_ms"], late["bucket_start"].minute) == (1, 1000, 0)
+
+
+def test_unfinished_batches_are_not_followed(spark, tmp_path):
+    root, folder = str(tmp_path / "t"), tmp_path / "in"
+    deliver(folder, "1.jsonl", line("a", "begin", "00") + line("a", "finish", "01"))
+    run(spark, folder, root)
+    stored_pairs(spark, root).write.parquet(f"{root}/pairs/batch_id=1")
+    os.remove(f"{root}/pairs/batch_id=1/_SUCCESS")
+    assert S.tumbling_metrics(spark, BP, root, mode="batch") == 1
+    assert [r["count"] for r in S.stored_buckets(spark, BP, root).collect()] == [1]
+
+
+def test_events_that_differ_in_an_unnamed_field(spark, tmp_path):
+    """Four records of one key, read twice, as file and as stream: four events and two pairs."""
+    text = "".join(
+        line("k", kind, at, amount=amount)
+        for kind, at, amount in [("begin", "00", 1), ("begin", "00", 2), ("finish", "01", 1), ("finish", "01", 2)]
+    )
+    whole = lambda lines: P.fields_as_columns(P.parse_json(P.not_blank(lines)).withColumn("f", F.col("fields")), BP.source_fields).withColumnRenamed("f", "fields")
+    root, folder = str(tmp_path / "t"), tmp_path / "in"
+    for name in ("1.jsonl", "2.jsonl"):
+        deliver(folder, name, text)
+    tables.read_once(spark, BP, root, [str(folder)], lambda paths: whole(files.read_lines(spark, paths)))
+    tables.correlate_pending(spark, BP, root)
+    assert stored_events(spark, root).count() == 4 and stored_pairs(spark, root).count() == 2
+    assert {r[0] for r in stored_events(spark, root).select(F.get_json_object("payload", "$.amount")).collect()} == {"1", "2"}
+    root = str(tmp_path / "stream")
+    lines = files.stream_lines(spark, str(folder), max_files=1)
+    S.tail(lines, BP, root, whole, mode="batch").awaitTermination()
+    assert stored_events(spark, root).count() == 4 and stored_pairs(spark, root).count() == 2
+
+
+def test_ids_have_no_bounds_and_follow_the_input(spark, tmp_path):
+    from replylens.operators.events import normalise
+
+    root = str(tmp_path / "t")
+    rows = [(f"k{i}", "begin", "2026-10-01T10:00:00Z", None, None) for i in range(500)]
+    records = spark.createDataFrame(rows, "request_id string, kind string, occurred_at string, operation string, status string")
+    for batch in (1 << 21, 1 << 40):
+        part = normalise(records.withColumn("request_id", F.concat("request_id", F.lit(f"-{batch}"))), BP)
+        tables.store_events(part, BP, root, batch)
+    got = [r["correlation_key"] for r in stored_events(spark, root).orderBy("event_id").collect()]
+    assert got == [f"k{i}-{b}" for b in (1 << 21, 1 << 40) for i in range(500)]
+
+
+def test_pass_reads_and_writes_changed_keys_only(spark, tmp_path):
+    root, source = str(tmp_path / "t"), tmp_path / "events.jsonl"
+    touch(source, "".join(line(f"k{i}", "begin", "00") for i in range(20)))
+    assert tables.read_once(spark, BP, root, [str(source)], reader(spark)) == 0
+    touch(source, line("k3", "finish", "01") + line("new", "begin", "02"))
+    assert tables.read_once(spark, BP, root, [str(source)], reader(spark)) == 1
+    pending = tables.read_batches(spark, f"{root}/pending", tables.event_schema(BP))
+    assert tables.batch_ids(spark, f"{root}/pending") == [1] and pending.count() == 20
+    assert tables.correlate_pending(spark, BP, root) == 0
+    # Nothing is new, and no key had a pair in the pass before: nothing is written.
+    assert tables.correlate_pending(spark, BP, root) == 0
+    passes = tables.batch_ids(spark, f"{root}/passes")
+    assert tables.correlate_pending(spark, BP, root) == 0 and tables.batch_ids(spark, f"{root}/passes") == passes
+
+
+def test_drain_retries_and_gives_up(spark, tmp_path):
+    root, source = str(tmp_path / "t"), tmp_path / "events.jsonl"
+    touch(source, "".join(line(f"k{i}", "begin", f"{i:02d}") + line(f"k{i}", "finish", f"{i:02d}.100") for i in range(5)))
+    tables.read_once(spark, BP, root, [str(source)], reader(spark))
+    calls = []
+
+    def deliver(buckets):
+        calls.append(1)
+        if len(calls) < 3:
+            raise IOError("503")
+
+    with pytest.raises(IOError):
+        tables.drain_exports(spark, BP, root, deliver, limit=2, attempts=2)
+    assert tables.drain_exports(spark, BP, root, deliver, limit=2, attempts=2) == 5
 
 
 def test_modes(spark, tmp_path):
