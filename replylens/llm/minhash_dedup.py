@@ -11,11 +11,13 @@ out, HASHES keys in all; all pairs within DISTANCE share a key. A pair of simila
 DISTANCE with probability P(Binomial(64, 0.15) > 25) < 1e-6. What is linked is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets are one node. In a bucket all members are first
-compared with one of them; links found are contracted to components, and in later rounds only
-buckets that still hold several components compare members across components, with another member
-each round. What is left after ROUNDS rounds is compared across components completely, by a join
-whose condition is the signature distance. So every pair within DISTANCE is either compared or
-already in one component. Hot buckets are skewed join keys, which the adaptive execution splits.
+compared with one of them, which then leaves the bucket; links found are contracted to components,
+and in later rounds only buckets that still hold several components compare another member with
+those of other components. What is left after ROUNDS rounds may be near misses in great number, such
+as texts around one long passage; there the members of all such buckets are compared across
+components under a prefix filter (see `all_across`), which loses no similar pair. So every pair
+within DISTANCE that can be linked is either compared or already in one component. Hot buckets are
+skewed join keys, which the adaptive execution splits.
 
 Defined cases: words are what is between ASCII white space, A-Z lower-cased; fewer words than WIDTH make
 one shingle of the whole sequence; null and blank texts have an empty set and no links; rows that
@@ -40,7 +42,7 @@ WIDTH = 5
 HASHES, BITS = 64, 16
 CHUNKS, DISTANCE = 13, 25
 LEAST_PERCENT = 85
-ROUNDS = 3
+ROUNDS = 2
 ROWS = 4096
 
 
@@ -193,6 +195,40 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least_percent: int) -> DataFram
     return joined.select("a", "b", (100 * common >= least_percent * union).alias("linked"))
 
 
+def links_of(tested: DataFrame) -> DataFrame:
+    return tested.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def all_across(members: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
+    """(a, b): all pairs of `members` (node, component) in different components that can be similar enough.
+
+    With shingles in one order, rarest first, the first one that two similar sets share stands early in
+    both: at most size - overlap others come before it. So each set enters under its first shingles
+    only, and a pair comes out only if the place of a shared one leaves room for the overlap it needs.
+    Texts that share a long passage meet in buckets, but what is rare in each of them is its own.
+    """
+    left = cut_lineage(members.select("node", "component").distinct())
+    postings = sets.join(left.select("node"), "node").select("node", F.explode("shingles").alias("shingle"))
+    rarity = cut_lineage(postings.groupBy("shingle").agg(F.count("*").alias("sets")))
+    ordered = (
+        postings.join(rarity.hint("merge"), "shingle")
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("sets", "shingle"))).alias("ordered"))
+        .withColumn("size", F.size("ordered"))
+    )
+    first = F.expr(f"slice(ordered, 1, CAST(size - ceil({least_percent} * size / 100) + 1 AS INT))")
+    prefixes = cut_lineage(
+        ordered.join(left, "node")
+        .select("node", "component", "size", F.posexplode(first).alias("place", "one"))
+        .select("node", "component", "size", "place", F.col("one.shingle").alias("shingle"))
+    )
+    side = lambda name: prefixes.select("shingle", *[F.col(c).alias(f"{c}_{name}") for c in ("node", "component", "size", "place")])
+    overlap = F.expr(f"ceil({least_percent} * (size_a + size_b) / {100 + least_percent})")
+    fits = (F.col("place_a") + overlap <= F.col("size_a")) & (F.col("place_b") + overlap <= F.col("size_b"))
+    across = side("a").join(side("b").hint("merge"), "shingle").filter("component_a < component_b").filter(fits)
+    return across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_key of every row."""
     sketched = cut_lineage(sketches(docs))
@@ -204,41 +240,43 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
     )
     signatures = nodes.select("node", "planes")
     keys = bucket_keys(nodes)
-    centers = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1").drop("n")
+    centers = cut_lineage(
+        keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1").drop("n")
+    )
     shared = cut_lineage(keys.join(centers.hint("merge"), "key"))
-    pairs = shared.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    tested = cut_lineage(near(pairs, signatures))
-    # Only nodes with a neighbour within DISTANCE, in any bucket, can ever be asked for their sets.
+    # Only nodes that share a bucket can ever be asked for their sets.
     sets = cut_lineage(shingle_sets(texts_of(docs, nodes, shared)))
-    tested = cut_lineage(confirmed(tested, sets, least_percent))
-    links = tested.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    stars = components(links)
-    members = shared.select("key", "node")
-    for turn in range(1, rounds + 2):
+    others = shared.filter("node <> center")
+    pairs = others.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    tested = cut_lineage(confirmed(near(pairs, signatures), sets, least_percent))
+    stars = components(links_of(tested))
+    # A member that was compared with all others of its bucket leaves it.
+    members = others.select("key", "node")
+    for turn in range(rounds + 1):
         placed = members.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-        members = cut_lineage(placed.join(mixed.select("key"), "key"))
-        if members.isEmpty():
+        turned = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
+        mixed = cut_lineage(
+            placed.groupBy("key")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(turned).alias("c"))
+            .filter("low <> high")
+            .select("key", F.col("c.node").alias("center"), F.col("c.component").alias("center_component"))
+        )
+        if mixed.isEmpty():
             break
-        if turn <= rounds:
-            turned = F.xxhash64("node", F.lit(turn))
-            chosen = members.groupBy("key").agg(F.min(F.struct(turned, "node", "component")).alias("c"))
-            across = members.join(chosen, "key").filter("component <> c.component")
-            pairs = across.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-            found = near(pairs.distinct(), signatures)
+        members = cut_lineage(placed.join(mixed.hint("merge"), "key"))
+        if turn < rounds:
+            across = members.filter("component <> center_component")
+            found = across.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
         else:
-            signed = members.join(signatures, "node")
-            one = signed.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "planes")])
-            two = signed.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "planes")])
-            across = one.join(two, "key").filter("component_a < component_b").filter(distance("planes_a", "planes_b") <= DISTANCE)
-            found = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+            found = all_across(members, sets, least_percent)
         known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = cut_lineage(confirmed(cut_lineage(found.join(known, ["a", "b"], "left_anti")), sets, least_percent))
+        fresh = found.join(known.hint("merge"), ["a", "b"], "left_anti")
+        fresh = cut_lineage(confirmed(near(fresh, signatures), sets, least_percent))
         tested = tested.unionByName(fresh)
-        more = fresh.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        more = links_of(fresh)
         if not more.isEmpty():
             stars = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-        members = members.drop("component")
+        members = members.filter("node <> center").select("key", "node")
     placed = nodes.select("digest", "node").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least_id = (
         nodes.select("node", "least_id").join(placed.select("node", "component"), "node")
