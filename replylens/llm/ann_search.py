@@ -213,7 +213,9 @@ def search(
                     names=["shard", "block", "question", "vec", "cells"],
                 )
 
-    spread = questions.select("question", "vec").mapInArrow(
+    # A traversal is work for a task, however few bytes the questions have.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = questions.select("question", "vec").repartition(parts, "question").mapInArrow(
         to_shards, "shard int, block int, question long, vec array<double>, cells array<int>"
     )
 
