@@ -78,9 +78,10 @@ def systematic_copies(
     """`sized` (doc_id, source, size) with source_size, target and copies, one row per input row."""
     spark = sized.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written before it is range partitioned, which reads its input twice, to sample and to deal it.
+    narrow = cut_lineage(sized.select("doc_id", "source", "size"))
     dealt = cut_lineage(
-        sized.select("doc_id", "source", "size")
-        .repartitionByRange(parts, "source", "size", "doc_id")
+        narrow.repartitionByRange(parts, "source", "size", "doc_id")
         .withColumn("part", F.spark_partition_id())
     )
     targets = source_targets(dealt, weights, share, max_repeats)
