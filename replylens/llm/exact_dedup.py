@@ -82,8 +82,11 @@ def exact_groups(docs: DataFrame, first: int = FIRST_DIGIT, growth: int = GROWTH
     same = ended[0]
     for part in ended[1:]:
         same = same.unionByName(part)
-    stays = same.groupBy("depth", "group").agg(
-        F.max(F.struct("doc_id", "row_id")).alias("stays"), F.count("*").alias("group_size")
+    # Written, so that both sides of the join are plain exchanges and a hot group can be split.
+    stays = cut_lineage(
+        same.groupBy("depth", "group").agg(
+            F.max(F.struct("doc_id", "row_id")).alias("stays"), F.count("*").alias("group_size")
+        )
     )
     out = ("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"), "text_key")
     result = (
