@@ -11,7 +11,7 @@ out, HASHES keys in all; all pairs within DISTANCE share a key. A pair of simila
 DISTANCE with probability P(Binomial(64, 0.15) > 25) < 1e-6. What is linked is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets are one node. In a bucket all members are first
-compared with one of them, which then leaves the bucket; links found are contracted to components,
+compared with the one that meets most others, which then leaves the bucket; links found are contracted to components,
 and in later rounds only buckets that still hold several components compare another member with
 those of other components. What is left after ROUNDS rounds may be near misses in great number, such
 as texts around one long passage; there the members of all such buckets are compared across
@@ -42,7 +42,7 @@ WIDTH = 5
 HASHES, BITS = 64, 16
 CHUNKS, DISTANCE = 13, 25
 LEAST_PERCENT = 85
-ROUNDS = 2
+ROUNDS = 1
 ROWS = 4096
 
 
@@ -240,10 +240,13 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
     )
     signatures = nodes.select("node", "planes")
     keys = bucket_keys(nodes)
-    centers = cut_lineage(
-        keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1").drop("n")
-    )
-    shared = cut_lineage(keys.join(centers.hint("merge"), "key"))
+    buckets = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    met = cut_lineage(keys.join(buckets.hint("merge"), "key"))
+    # The node that meets most others, the original of many copies, is compared with them first.
+    meetings = met.groupBy("node").agg(F.sum("n").alias("meetings"))
+    ranked = met.join(meetings, "node").select("key", "node", F.struct("meetings", "node").alias("rank"))
+    centers = cut_lineage(ranked.groupBy("key").agg(F.max("rank").alias("first")).select("key", F.col("first.node").alias("center")))
+    shared = cut_lineage(ranked.join(centers.hint("merge"), "key"))
     # Only nodes that share a bucket can ever be asked for their sets.
     sets = cut_lineage(shingle_sets(texts_of(docs, nodes, shared)))
     others = shared.filter("node <> center")
@@ -251,15 +254,15 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
     tested = cut_lineage(confirmed(near(pairs, signatures), sets, least_percent))
     stars = components(links_of(tested))
     # A member that was compared with all others of its bucket leaves it.
-    members = others.select("key", "node")
+    members = others.select("key", "node", "rank")
     for turn in range(rounds + 1):
         placed = members.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        turned = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
+        next_one = F.max(F.struct("rank", "component"))
         mixed = cut_lineage(
             placed.groupBy("key")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(turned).alias("c"))
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), next_one.alias("c"))
             .filter("low <> high")
-            .select("key", F.col("c.node").alias("center"), F.col("c.component").alias("center_component"))
+            .select("key", F.col("c.rank.node").alias("center"), F.col("c.component").alias("center_component"))
         )
         if mixed.isEmpty():
             break
@@ -276,7 +279,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
         more = links_of(fresh)
         if not more.isEmpty():
             stars = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-        members = members.filter("node <> center").select("key", "node")
+        members = members.filter("node <> center").select("key", "node", "rank")
     placed = nodes.select("digest", "node").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least_id = (
         nodes.select("node", "least_id").join(placed.select("node", "component"), "node")
