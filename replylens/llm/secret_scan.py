@@ -5,6 +5,9 @@ short. The novelty scan looks at strings that follow a sensitive word closely. I
 primed with a dictionary of common identifiers; the marginal size of a string is what the text
 around it costs with the string less what it costs without. Ordinary names repeat the dictionary or
 the surrounding code and cost little; keys cost about a byte a character and are reported as `novel`.
+Long strings are measured in short parts against the text around the whole string: in a long run of
+one alphabet the compressor learns the alphabet, and random characters cost no more than its bits
+(0.75 bytes in base64, 0.5 in hex).
 
 Offsets are code points, ends exclusive. Defined cases: null text is empty and has no spans; rows are
 independent, so repeated rows, empty tables and other columns make no difference; a text of any
@@ -46,7 +49,7 @@ IDENTIFIERS = (
     "utility validation value variable vector version virtual void webhook window writer your_api_key_here "
     "your_secret_token_here changeme xxxxxxxxxxxxxxxx 0123456789abcdef ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 )
-NEAR, AROUND, LEAST_NOVEL, MOST_NOVEL, NOVELTY = 32, 256, 16, 4096, 0.8
+NEAR, AROUND, LEAST_NOVEL, PART, NOVELTY = 32, 256, 16, 32, 0.8
 
 
 class SecretScanner:
@@ -76,12 +79,20 @@ class SecretScanner:
             found += [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
         return sorted(found)
 
-    def marginal(self, text: str, start: int, end: int) -> float:
-        """Compressed bytes that text[start:end] adds to its surroundings, per byte."""
-        before, after = text[max(0, start - self.around) : start], text[end : end + self.around]
+    def marginal(self, text: str, start: int, end: int, within: tuple[int, int] | None = None) -> float:
+        """Compressed bytes that text[start:end] adds to the surroundings of `within`, itself by default, per byte."""
+        first, last = within or (start, end)
+        before, after = text[max(0, first - self.around) : first], text[last : last + self.around]
         size = lambda s: len(self.compress(s.encode("utf-8", "surrogatepass")))
         return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
 
+    def is_novel(self, text: str, start: int, end: int) -> bool:
+        """Whether text[start:end] is new to its surroundings; one of its parts, of even lengths, is enough."""
+        n = -((start - end) // PART)
+        edges = [start + (end - start) * i // n for i in range(n + 1)]
+        parts = zip(edges, edges[1:], strict=False)
+        return any(self.marginal(text, a, b, (start, end)) >= self.novelty for a, b in parts)
+
     def novel(self, text: str, lowered: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Strings close behind a sensitive word that no fixed form overlaps."""
         if not any(word in lowered for word in SENSITIVE):
@@ -98,9 +109,7 @@ class SecretScanner:
                     at += 1
                 if any(b[2] > start for b in itertools.takewhile(lambda b: b[0] < end, base[at:])):
                     continue
-                # A very long run is judged by parts; one part is enough.
-                parts = range(start, end, MOST_NOVEL)
-                if any(self.marginal(text, p, min(p + MOST_NOVEL, end)) >= self.novelty for p in parts):
+                if self.is_novel(text, start, end):
                     found.append((start, 3, end))
                 break
         return found
