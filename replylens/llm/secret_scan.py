@@ -1,13 +1,15 @@
 """Secret scans: fixed forms, and strings that zstandard cannot explain from their surroundings.
 
 Fixed forms are found in the whole text, leftmost and non-overlapping per kind, and dropped if too
-short. The novelty scan looks at strings that follow a sensitive word closely. Its compressor is
-primed with a dictionary of common identifiers; the marginal size of a string is what the text
-around it costs with the string less what it costs without. Ordinary names repeat the dictionary or
-the surrounding code and cost little; keys cost about a byte a character and are reported as `novel`.
-Long strings are measured in short parts against the text around the whole string: in a long run of
-one alphabet the compressor learns the alphabet, and random characters cost no more than its bits
-(0.75 bytes in base64, 0.5 in hex).
+short. The novelty scan measures every string in the context of a sensitive word: the rest of the
+identifier that holds the word, and what starts within NEAR characters behind it or, behind an
+assignment, up to the end of the next line. Every string found there extends the context, so lists
+of keys are followed to their end. The compressor is primed with a dictionary of common identifiers;
+the marginal size of a string is what the text around it costs with the string less what it costs
+without. Ordinary names repeat the dictionary or the surrounding code and cost little; keys cost about
+a byte a character and are reported as `novel`. Long strings are measured in short parts against the
+text around the whole string: in a long run of one alphabet the compressor learns the alphabet, and
+random characters cost no more than its bits (0.75 bytes in base64, 0.5 in hex).
 
 Offsets are code points, ends exclusive. Defined cases: null text is empty and has no spans; rows are
 independent, so repeated rows, empty tables and other columns make no difference; a text of any
@@ -29,8 +31,8 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 # Words that make a string near them sensitive, and words that code is full of.
 SENSITIVE = (
-    "auth bearer credential passphrase passcode pwd private secret access_key accesskey client_id signing "
-    "signature session cookie jwt ssh-rsa ssh-ed25519 oauth encryption webhook connectionstring"
+    "auth bearer credential passphrase passcode password passwd pwd private secret token api_key api-key apikey "
+    "access_key accesskey client_id signing signature session cookie jwt ssh-rsa ssh-ed25519 oauth encryption webhook connectionstring"
 ).split()
 IDENTIFIERS = (
     "abstract account address application argument array async authentication authorization await base bearer "
@@ -49,7 +51,7 @@ IDENTIFIERS = (
     "utility validation value variable vector version virtual void webhook window writer your_api_key_here "
     "your_secret_token_here changeme xxxxxxxxxxxxxxxx 0123456789abcdef ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 )
-NEAR, AROUND, LEAST_NOVEL, PART, NOVELTY = 32, 256, 16, 32, 0.8
+NEAR, AROUND, LEAST_NOVEL, PART, NOVELTY = 128, 256, 16, 32, 0.8
 
 
 class SecretScanner:
@@ -64,7 +66,10 @@ class SecretScanner:
         self.access = re.compile(rf"AKIA[A-Z0-9]{{{LEAST_ACCESS - 4},}}")
         self.hex = re.compile(rf"[0-9a-f]{{{LEAST_HEX},}}")
         self.sensitive = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
-        self.string = re.compile(r"[A-Za-z0-9+/_=~.-]+")
+        # What assigns does not belong to a string; what pads it does.
+        self.string = re.compile(r"[A-Za-z0-9+/_~.-]+=*")
+        self.identifier = re.compile(r"[A-Za-z0-9_-]*")
+        self.assigns = re.compile(r"[:=]")
         self.is_hex = bytes(0x31 if chr(c) in "0123456789abcdef" else 0x30 for c in range(256))
         self.hex_run = b"1" * LEAST_HEX
 
@@ -94,24 +99,34 @@ class SecretScanner:
         return any(self.marginal(text, a, b, (start, end)) >= self.novelty for a, b in parts)
 
     def novel(self, text: str, lowered: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """Strings close behind a sensitive word that no fixed form overlaps."""
+        """Strings in the context of a sensitive word that no fixed form overlaps."""
         if not any(word in lowered for word in SENSITIVE):
             return []
-        found, last, at = [], 0, 0
+        found, last, at, line, next_line = [], 0, 0, -1, -1
         for word in self.sensitive.finditer(text):
-            for m in self.string.finditer(text, max(word.end(), last), word.end() + NEAR):
-                whole = self.string.match(text, m.start())
-                start, end = whole.span()
-                last = max(last, end)
+            named = self.identifier.match(text, word.end()).end()
+            reach = named + NEAR
+            if named > line:
+                line = text.find("\n", named) % (len(text) + 1)
+                next_line = text.find("\n", line + 1) % (len(text) + 1)
+            if self.assigns.search(text, named, min(reach, line)):
+                reach = max(reach, next_line)
+            last = max(last, word.end())
+            while m := self.string.search(text, last):
+                start, end = m.span()
+                if start >= reach:
+                    break
+                # The rest of the word's identifier is a string of its own.
+                last = end = named if start < named < end else end
                 if end - start < LEAST_NOVEL:
                     continue
+                reach = max(reach, end + NEAR)
                 while at < len(base) and base[at][2] <= start:
                     at += 1
                 if any(b[2] > start for b in itertools.takewhile(lambda b: b[0] < end, base[at:])):
                     continue
                 if self.is_novel(text, start, end):
                     found.append((start, 3, end))
-                break
         return found
 
     def scan(self, text: str) -> tuple[list, list]:
