@@ -8,8 +8,8 @@ of a host that have an element,
     presentation importance  entropy of the styles of the parent, in units of ln(pages)
     importance               GAMMA * content + (1 - GAMMA) * presentation
 
-so what a site repeats on its pages is unimportant, and what one page has alone is important. Blocks
-below `LEAST` are removed. Markup that says what a branch is overrules the numbers: menus, headers,
+so what a site repeats on its pages is unimportant, and what one page has alone is important. Pages of
+a host with the same blocks in the same elements are copies and count as one page. Blocks below `LEAST` are removed. Markup that says what a branch is overrules the numbers: menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and the like go, and where a page has
 an article or main element, its blocks stay, however often a passage is repeated, and others go.
 
@@ -180,6 +180,10 @@ class Page:
             text for i, (_, main, text) in enumerate(self.blocks) if (main if has_main else i not in low)
         )
 
+    def digest(self) -> bytes:
+        """Equal for pages with the same blocks in the same elements."""
+        return digest_of("\0".join(f"{element.path}\0{text}" for element, _, text in self.blocks))
+
     def tree_rows(self):
         """(number, element, style of its parent, content, first of the style, first of the content, open)."""
         has_main = any(main for _, main, _ in self.blocks)
@@ -203,7 +207,7 @@ def digest_of(source: str) -> bytes:
 
 
 TREE = (
-    "host string, page binary, number int, path long, style long, content long, "
+    "host string, page binary, body binary, number int, path long, style long, content long, "
     "first_path boolean, first_style boolean, first_content boolean, open boolean"
 )
 
@@ -215,7 +219,7 @@ def tree_rows(pages: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         schema = pa.schema(
-            [("host", pa.string()), ("page", pa.binary()), ("number", pa.int32())]
+            [("host", pa.string()), ("page", pa.binary()), ("body", pa.binary()), ("number", pa.int32())]
             + [(n, pa.int64()) for n in ("path", "style", "content")]
             + [(n, pa.bool_()) for n in ("first_path", "first_style", "first_content", "open")]
         )
@@ -224,7 +228,9 @@ def tree_rows(pages: DataFrame) -> DataFrame:
             for url, source in zip(batch.column(0), batch.column(1), strict=True):
                 source = source.as_py() or ""
                 host, page = host_of(url.as_py()), digest_of(source)
-                rows += [(host, page, *row) for row in Page(source).tree_rows()]
+                parsed = Page(source)
+                body = parsed.digest()
+                rows += [(host, page, body, *row) for row in parsed.tree_rows()]
             columns = list(zip(*rows, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -232,12 +238,16 @@ def tree_rows(pages: DataFrame) -> DataFrame:
 
 
 def importances(rows: DataFrame, gamma: float = GAMMA) -> DataFrame:
-    """`rows` with content, presentation and composite importance."""
+    """`rows` with content, presentation and composite importance.
+
+    Pages with the same blocks count once, so that copies do not make their own text look repeated.
+    """
     ones = lambda flag: F.sum(F.col(flag).cast("long"))
-    elements = rows.groupBy("host", "path").agg(ones("first_path").alias("pages"))
-    contents = rows.groupBy("host", "path", "content").agg(ones("first_content").alias("with_text"))
+    counted = cut_lineage(rows.drop("page").dropDuplicates(["host", "body", "number"]))
+    elements = counted.groupBy("host", "path").agg(ones("first_path").alias("pages"))
+    contents = counted.groupBy("host", "path", "content").agg(ones("first_content").alias("with_text"))
     styles = (
-        rows.groupBy("host", "path", "style")
+        counted.groupBy("host", "path", "style")
         .agg(ones("first_style").alias("n"))
         .groupBy("host", "path")
         .agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("n_log_n"))
