@@ -13,6 +13,11 @@ a host with the same blocks in the same elements are copies and count as one pag
 footers, sidebars, notices, adverts, forms, comments, scripts and the like go, and where a page has
 an article or main element, its blocks stay, however often a passage is repeated, and others go.
 
+Names count on containers only, never on headings, paragraphs or inline elements, and only if all words
+of a class or id tell the same (`cookie-notice`, but not `form-validation`). In an article or main
+element ids say nothing, and a class removes a branch by itself only if it is one of `CERTAIN`; blocks
+of the other names go where the tree finds them unimportant, too.
+
 The pages are parsed twice, once for narrow rows of the tree and once for the text, which costs less
 than moving texts. Counts combine before they are shuffled, so a host with a third of all pages is
 no task of its own.
@@ -53,6 +58,14 @@ NAMES = frozenset(
     "breadcrumb breadcrumbs header masthead footer comment comments disqus replies respond share sharing social related "
     "recommended login signup search pagination pager toolbar widget skip form".split()
 )
+# Names that remove a branch of an article without the tree, and words that only place a name.
+CERTAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies gdpr sidebar nav navbar "
+    "breadcrumb breadcrumbs comment comments disqus replies share sharing newsletter pagination pager".split()
+)
+PLACES = frozenset("site top bottom left right global".split())
+ARTICLE_NOISE = frozenset("comment comments reply ad sponsored".split())
+NAMED = frozenset("div section ul ol li dl table tr td details center header hgroup figure fieldset".split())
 CLOSES_P = BLOCK - {"br", "body", "html"}
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
@@ -60,19 +73,26 @@ TAG = re.compile(
     r"<(?:!--(?:.*?-->|.*)|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>|[^>]*>?))",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
+# Whole attributes, so that neither the end of a name nor the inside of a value is taken for one.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 NAME_PARTS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
+def tells(name: str, words: frozenset) -> bool:
+    """Whether a class or id consists of `words`, and words that place them."""
+    parts = {part.lower() for part in NAME_PARTS.split(name) if part}
+    return not parts.isdisjoint(words) and parts <= words | PLACES
+
+
 def short_hash(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "children", "parent")
+    __slots__ = ("tag", "path", "noise", "main", "doubtful", "children", "parent")
 
-    def __init__(self, tag, path, noise, main, parent):
-        self.tag, self.path, self.noise, self.main, self.parent = tag, path, noise, main, parent
+    def __init__(self, tag, path, noise, main, doubtful, parent):
+        self.tag, self.path, self.noise, self.main, self.doubtful, self.parent = tag, path, noise, main, doubtful, parent
         self.children: list[str] = []
 
 
@@ -82,7 +102,7 @@ class Page:
     def __init__(self, source: str):
         self.source = source
         self.blocks: list[tuple[Element, bool, str]] = []
-        self.stack = [Element("", "", False, False, None)]
+        self.stack = [Element("", "", False, False, False, None)]
         self.text: list[str] = []
         self.owner = self.stack[0]
         self.parse()
@@ -133,22 +153,27 @@ class Page:
             for sibling in SIBLINGS[tag]:
                 self.close(sibling, within=HOLDS[tag])
         parent = self.stack[-1]
-        names, role, is_body = self.names_of(rest)
-        label = ".".join([tag, *names])
+        classes, ids, role, is_body = self.names_of(rest)
+        label = ".".join([tag, *classes, *ids])
         parent.children.append(label)
         if tag in VOID:
             return
         noise = parent.noise or tag in BOILERPLATE or role in ROLES
         noise = noise or (tag == "header" and not parent.main)
-        if not noise and tag not in ("html", "body", "main", "article"):
-            noise = any(part.lower() in NAMES for name in names for part in NAME_PARTS.split(name))
-        elif tag == "article":
-            noise = noise or any(part.lower() in ("comment", "comments", "reply", "ad", "sponsored") for name in names for part in NAME_PARTS.split(name))
+        doubtful = parent.doubtful
+        if not noise and tag == "article":
+            noise = any(tells(name, ARTICLE_NOISE) for name in classes + ids)
+        elif not noise and tag in NAMED:
+            if parent.main:
+                noise = any(tells(name, CERTAIN) for name in classes)
+                doubtful = doubtful or any(tells(name, NAMES) for name in classes)
+            else:
+                noise = any(tells(name, NAMES) for name in classes + ids)
         main = parent.main or tag in ("article", "main") or role in ("main", "article") or is_body
-        self.stack.append(Element(tag, f"{parent.path}/{label}", noise, main and not noise, parent))
+        self.stack.append(Element(tag, f"{parent.path}/{label}", noise, main and not noise, doubtful, parent))
 
     def names_of(self, rest: str):
-        names, role, is_body = [], "", False
+        classes, ids, role, is_body = [], [], "", False
         if "=" in rest:
             for m in ATTRIBUTE.finditer(rest):
                 value = m[2] or m[3] or m[4] or ""
@@ -157,9 +182,11 @@ class Page:
                     role = value.strip().lower()
                 elif kind == "itemprop":
                     is_body = value.strip() == "articleBody"
-                else:
-                    names += value.split()
-        return names, role, is_body
+                elif kind == "class":
+                    classes += value.split()
+                elif kind == "id":
+                    ids += value.split()
+        return classes, ids, role, is_body
 
     def close(self, tag: str, within=()):
         """Close the nearest open `tag` and what is open in it; a tag in `within` stops the search."""
@@ -177,7 +204,7 @@ class Page:
         has_main = any(main for _, main, _ in self.blocks)
         low = set(low)
         return " ".join(
-            text for i, (_, main, text) in enumerate(self.blocks) if (main if has_main else i not in low)
+            text for i, (_, main, text) in enumerate(self.blocks) if (main or not has_main) and i not in low
         )
 
     def digest(self) -> bytes:
@@ -188,13 +215,13 @@ class Page:
         """(number, element, style of its parent, content, first of the style, first of the content, open)."""
         has_main = any(main for _, main, _ in self.blocks)
         seen = set()
-        for i, (element, _, text) in enumerate(self.blocks):
+        for i, (element, main, text) in enumerate(self.blocks):
             path, above = short_hash(element.path), element.parent or element
             style = short_hash(above.path + " > " + " ".join(above.children))
             content = short_hash(text)
             first_path, first_style, first_content = path not in seen, (path, style) not in seen, (path, content, 0) not in seen
             seen |= {path, (path, style), (path, content, 0)}
-            yield i, path, style, content, first_path, first_style, first_content, not has_main
+            yield i, path, style, content, first_path, first_style, first_content, not has_main or (main and element.doubtful)
 
 
 def host_of(url: str | None) -> str:
@@ -267,7 +294,7 @@ def importances(rows: DataFrame, gamma: float = GAMMA) -> DataFrame:
 
 
 def low_blocks(pages: DataFrame, least: float = LEAST, gamma: float = GAMMA) -> DataFrame:
-    """(host, page, low): the numbers of the unimportant blocks of pages without an article or main element."""
+    """(host, page, low): the numbers of the unimportant blocks that the markup leaves to the tree."""
     rows = cut_lineage(tree_rows(pages))
     low = importances(rows, gamma).filter(F.col("open") & (F.col("importance") < least))
     return low.groupBy("host", "page").agg(F.sort_array(F.collect_set("number")).alias("low"))

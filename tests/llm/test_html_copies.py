@@ -24,3 +24,32 @@ def test_copies_keep_their_text(spark):
     assert got[0] == got[1] == "Told twice and again"
     assert {got[10 + i] for i in range(30)} == {"the copied story More of the copied story"}
     assert [got[50 + i] for i in range(3)] == [f"story {i} More of story {i}" for i in range(3)]
+
+
+def text_of(source):
+    return html_extract.Page(source).kept()
+
+
+def test_names_do_not_take_article_text():
+    for source in (
+        '<article><h2 id="related-work">Kept</h2></article>', '<article><h1 class="article-header">Kept</h1></article>',
+        '<article><section id="form-validation"><p>Kept</p></section></article>', '<article><p class="notice">Kept</p></article>',
+        '<article><p><span class="hljs-comment">Kept</span></p></article>', '<article><div data-id="ad-12">Kept</div></article>',
+        '<article><div title="x class=ad">Kept</div></article>', '<main><div class="menu">Kept</div></main>',
+        '<main><section id="comments">Kept</section></main>', '<article class="comment-policy">Kept</article>',
+        '<div id="form-validation"><h2 class="header">Kept</h2></div>', '<div class="with-sidebar"><p id="search">Kept</p></div>',
+    ):
+        assert text_of(source) == "Kept", source
+    for name in ("ad", "ad ad-12", "top-ad", "comments", "shareSharing"):
+        assert text_of(f'<article><p>Kept</p><div class="{name}">Gone</div></article>') == "Kept", name
+    for name in ("cookie-notice", "site-header", "sidebar", "navMenu"):
+        assert text_of(f'<p>Kept</p><div id="{name}">Gone</div>') == "Kept", name
+
+
+def test_the_tree_confirms_names_in_articles(spark):
+    page = '<article><div class="notice"><p>{}</p></div><p>Story {}</p></article>'
+    rows = [(i, "http://same/", page.format("Read our terms", i)) for i in range(6)]
+    rows += [(10 + i, "http://own/", page.format(f"Mind step {i}", i)) for i in range(6)]
+    got = texts(spark, rows)
+    assert [got[i] for i in range(6)] == [f"Story {i}" for i in range(6)]
+    assert [got[10 + i] for i in range(6)] == [f"Mind step {i} Story {i}" for i in range(6)]
