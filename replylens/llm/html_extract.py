@@ -18,6 +18,11 @@ of a class or id tell the same (`cookie-notice`, but not `form-validation`). In
 element ids say nothing, and a class removes a branch by itself only if it is one of `CERTAIN`; blocks
 of the other names go where the tree finds them unimportant, too.
 
+In an article or main element the tree also takes blocks without such a name that are mostly links, such
+as menus, linked adverts and sidebars: they go if they are unimportant and at least `RECUR_PAGES` pages
+and half of those with the element have their text. Headings and prose stay, because a passage that
+articles repeat cannot be told from their text.
+
 The pages are parsed twice, once for narrow rows of the tree and once for the text, which costs less
 than moving texts. Counts combine before they are shuffled, so a host with a third of all pages is
 no task of its own.
@@ -40,6 +45,9 @@ from pyspark.sql import functions as F
 from replylens.session import cut_lineage
 
 GAMMA, LEAST = 0.9, 0.4
+RECUR_PAGES = 3
+# What the tree may do with a block: nothing, remove it if it is low, or only if it recurs on most pages, too.
+CLOSED, OPEN, RECURRING = 0, 1, 2
 
 # How HTML elements behave, and words that tell what a branch is.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +74,7 @@ CERTAIN = frozenset(
 PLACES = frozenset("site top bottom left right global".split())
 ARTICLE_NOISE = frozenset("comment comments reply ad sponsored".split())
 NAMED = frozenset("div section ul ol li dl table tr td details center header hgroup figure fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - {"br", "body", "html"}
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
@@ -89,21 +98,25 @@ def short_hash(value: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "doubtful", "children", "parent")
+    __slots__ = ("tag", "path", "noise", "main", "doubtful", "linked", "heading", "children", "parent")
 
     def __init__(self, tag, path, noise, main, doubtful, parent):
         self.tag, self.path, self.noise, self.main, self.doubtful, self.parent = tag, path, noise, main, doubtful, parent
+        self.linked = tag == "a" or (parent is not None and parent.linked)
+        self.heading = tag in HEADINGS or (parent is not None and parent.heading)
         self.children: list[str] = []
 
 
 class Page:
-    """Blocks of a page in order: (element, is main, text). Noise is left out."""
+    """Blocks of a page in order: (element, is main, text), and whether each is mostly links. Noise is left out."""
 
     def __init__(self, source: str):
         self.source = source
         self.blocks: list[tuple[Element, bool, str]] = []
+        self.links: list[bool] = []
         self.stack = [Element("", "", False, False, False, None)]
         self.text: list[str] = []
+        self.linked = 0
         self.owner = self.stack[0]
         self.parse()
 
@@ -133,13 +146,16 @@ class Page:
             if not self.text:
                 self.owner = self.stack[-1]
             self.text.append(entities.unescape(text) if "&" in text else text)
+            if self.stack[-1].linked:
+                self.linked += sum(map(len, self.text[-1].split()))
 
     def flush(self):
         """End the current block."""
         if self.text:
-            words = "".join(self.text).split()
-            self.text = []
+            words, linked = "".join(self.text).split(), self.linked
+            self.text, self.linked = [], 0
             if words:
+                self.links.append(2 * linked > sum(map(len, words)))
                 self.blocks.append((self.owner, self.owner.main, " ".join(words)))
 
     def open(self, tag: str, rest: str):
@@ -212,16 +228,20 @@ class Page:
         return digest_of("\0".join(f"{element.path}\0{text}" for element, _, text in self.blocks))
 
     def tree_rows(self):
-        """(number, element, style of its parent, content, first of the style, first of the content, open)."""
+        """(number, element, style of its parent, content, first of the style, first of the content, what the tree may do)."""
         has_main = any(main for _, main, _ in self.blocks)
         seen = set()
-        for i, (element, main, text) in enumerate(self.blocks):
+        for i, ((element, main, text), links) in enumerate(zip(self.blocks, self.links, strict=True)):
             path, above = short_hash(element.path), element.parent or element
             style = short_hash(above.path + " > " + " ".join(above.children))
             content = short_hash(text)
             first_path, first_style, first_content = path not in seen, (path, style) not in seen, (path, content, 0) not in seen
             seen |= {path, (path, style), (path, content, 0)}
-            yield i, path, style, content, first_path, first_style, first_content, not has_main or (main and element.doubtful)
+            if has_main and not (main and (element.doubtful or (links and not element.heading))):
+                may = CLOSED
+            else:
+                may = RECURRING if has_main and not element.doubtful else OPEN
+            yield i, path, style, content, first_path, first_style, first_content, may
 
 
 def host_of(url: str | None) -> str:
@@ -235,7 +255,7 @@ def digest_of(source: str) -> bytes:
 
 TREE = (
     "host string, page binary, body binary, number int, path long, style long, content long, "
-    "first_path boolean, first_style boolean, first_content boolean, open boolean"
+    "first_path boolean, first_style boolean, first_content boolean, may int"
 )
 
 
@@ -248,7 +268,8 @@ def tree_rows(pages: DataFrame) -> DataFrame:
         schema = pa.schema(
             [("host", pa.string()), ("page", pa.binary()), ("body", pa.binary()), ("number", pa.int32())]
             + [(n, pa.int64()) for n in ("path", "style", "content")]
-            + [(n, pa.bool_()) for n in ("first_path", "first_style", "first_content", "open")]
+            + [(n, pa.bool_()) for n in ("first_path", "first_style", "first_content")]
+            + [("may", pa.int32())]
         )
         for batch in batches:
             rows = []
@@ -287,7 +308,7 @@ def importances(rows: DataFrame, gamma: float = GAMMA) -> DataFrame:
     )
     repeated = F.when(alone, 0.0).otherwise(F.log("with_text") / F.log("pages"))
     scored = contents.join(of_element, ["host", "path"]).select(
-        "host", "path", "content", "presentation", (1 - repeated).alias("novel")
+        "host", "path", "content", "presentation", "pages", "with_text", (1 - repeated).alias("novel")
     )
     importance = gamma * F.col("novel") + (1 - gamma) * F.col("presentation")
     return rows.join(scored, ["host", "path", "content"]).withColumn("importance", importance)
@@ -296,7 +317,9 @@ def importances(rows: DataFrame, gamma: float = GAMMA) -> DataFrame:
 def low_blocks(pages: DataFrame, least: float = LEAST, gamma: float = GAMMA) -> DataFrame:
     """(host, page, low): the numbers of the unimportant blocks that the markup leaves to the tree."""
     rows = cut_lineage(tree_rows(pages))
-    low = importances(rows, gamma).filter(F.col("open") & (F.col("importance") < least))
+    recurs = (F.col("with_text") >= RECUR_PAGES) & (2 * F.col("with_text") >= F.col("pages"))
+    removable = (F.col("may") == OPEN) | ((F.col("may") == RECURRING) & recurs)
+    low = importances(rows, gamma).filter(removable & (F.col("importance") < least))
     return low.groupBy("host", "page").agg(F.sort_array(F.collect_set("number")).alias("low"))
 
 

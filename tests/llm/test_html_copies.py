@@ -53,3 +53,16 @@ def test_the_tree_confirms_names_in_articles(spark):
     got = texts(spark, rows)
     assert [got[i] for i in range(6)] == [f"Story {i}" for i in range(6)]
     assert [got[10 + i] for i in range(6)] == [f"Mind step {i} Story {i}" for i in range(6)]
+
+
+def test_recurring_links_in_articles_go(spark):
+    menu = '<div class="x1"><ul><li><a href="/a">All topics</a></li><li><a href="/b">Archive</a></li></ul></div>'
+    page = '<main><h1><a href="#">Guide</a></h1>{}<p>Story {} with a <a href="/c">link</a></p><p>Free to share</p><p><a href="/{}">Source {}</a></p></main>'
+    rows = [(i, "http://site/", page.format(menu, i, i, i)) for i in range(8)]
+    # On two pages, or on a few of many, a line of links is no menu.
+    rows += [(10 + i, "http://two/", page.format(menu, i, i, i)) for i in range(2)]
+    rows += [(20 + i, "http://few/", page.format("<p><a>Official site</a></p>" if i < 4 else "", i, i, i)) for i in range(20)]
+    got = texts(spark, rows)
+    assert [got[i] for i in range(8)] == [f"Guide Story {i} with a link Free to share Source {i}" for i in range(8)]
+    assert [got[10 + i] for i in range(2)] == [f"Guide All topics Archive Story {i} with a link Free to share Source {i}" for i in range(2)]
+    assert all(("Official site" in got[20 + i]) == (i < 4) for i in range(20))
