@@ -8,7 +8,8 @@ Signatures are cut into `CHUNKS` chunks. Of two signatures with at most `DISTANC
 one chunk pair has at most DISTANCE // CHUNKS = 1 differences (pigeonhole), so both signatures agree in
 a chunk less one symbol. Each signature is entered under each chunk with each of its symbols left
 out, HASHES keys in all; all pairs within DISTANCE share a key. A pair of similarity 0.85 is beyond
-DISTANCE with probability P(Binomial(64, 0.15) > 25) < 1e-6. What is linked is confirmed on the full sets.
+DISTANCE with probability P(Binomial(64, 0.15) > 25) < 1e-6. For another least similarity `cuts` finds
+the chunks and the distance that keep this bound. What is linked is confirmed on the full sets.
 
 Groups are never expanded into all pairs. Equal sets are one node. In a bucket all members are first
 compared with the one that meets most others, which then leaves the bucket; links found are contracted to components,
@@ -28,6 +29,7 @@ component's id if all ids are null; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,10 +44,23 @@ WIDTH = 5
 HASHES, BITS = 64, 16
 CHUNKS, DISTANCE = 13, 25
 LEAST_PERCENT = 85
+# Share of similar pairs that may be beyond the distance.
+MISSED = 1e-6
 ROUNDS = 1
 ROWS = 4096
 
 
+def cuts(least_percent: int) -> tuple[int, int]:
+    """Fewest chunks, and their distance, that miss a pair of the least similarity with less than MISSED."""
+    differs = 1 - least_percent / 100
+    for chunks in range(1, HASHES // 2):
+        distance = 2 * chunks - 1
+        beyond = range(distance + 1, HASHES + 1)
+        if math.fsum(math.comb(HASHES, k) * differs**k * (1 - differs) ** (HASHES - k) for k in beyond) < MISSED:
+            return chunks, distance
+    return HASHES // 2, HASHES - 1
+
+
 def shingles_of(texts, width: int = WIDTH):
     """Yields the sorted distinct 64-bit shingle hashes of each text."""
     for _, ends, hashes in tokens.token_hashes(texts, tokens.WORDS):
@@ -96,16 +111,16 @@ def symbols_from(planes: np.ndarray) -> np.ndarray:
     return (bits << np.arange(BITS, dtype=np.uint16)[None, :, None]).sum(axis=1, dtype=np.uint16)
 
 
-def chunk_bounds() -> list[tuple[int, int]]:
-    edges = [HASHES * i // CHUNKS for i in range(CHUNKS + 1)]
+def chunk_bounds(chunks: int = CHUNKS) -> list[tuple[int, int]]:
+    edges = [HASHES * i // chunks for i in range(chunks + 1)]
     return list(zip(edges, edges[1:], strict=False))
 
 
-def keys_of(symbols: np.ndarray) -> np.ndarray:
+def keys_of(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """(rows, HASHES) keys: column i is the chunk of symbol i without symbol i."""
     keys = np.empty(symbols.shape, np.uint64)
     wide = symbols.astype(np.uint64)
-    for start, end in chunk_bounds():
+    for start, end in chunk_bounds(chunks):
         for left_out in range(start, end):
             key = np.full(len(symbols), left_out + 1, np.uint64)
             for i in range(start, end):
@@ -139,7 +154,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
 
-def bucket_keys(nodes: DataFrame) -> DataFrame:
+def bucket_keys(nodes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """(node, key): HASHES rows per node."""
 
     def run(batches):
@@ -148,7 +163,7 @@ def bucket_keys(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             planes = batch.column(1).flatten().to_numpy().reshape(-1, BITS)
             for at in range(0, len(planes), ROWS):
-                keys = keys_of(symbols_from(np.ascontiguousarray(planes[at : at + ROWS])))
+                keys = keys_of(symbols_from(np.ascontiguousarray(planes[at : at + ROWS])), chunks)
                 ids = np.repeat(batch.column(0).to_numpy()[at : at + ROWS], HASHES)
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.ravel())], names=["node", "key"])
 
@@ -179,11 +194,11 @@ def distance(a: str, b: str):
     return F.bit_count(different)
 
 
-def near(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """`pairs` (a, b) whose signatures are within DISTANCE."""
+def near(pairs: DataFrame, signatures: DataFrame, most: int = DISTANCE) -> DataFrame:
+    """`pairs` (a, b) whose signatures have at most `most` different symbols."""
     of = lambda name: signatures.select(F.col("node").alias(name), F.col("planes").alias(f"planes_{name}"))
     joined = pairs.join(of("b").hint("merge"), "b").join(of("a").hint("merge"), "a")
-    return joined.filter(distance("planes_a", "planes_b") <= DISTANCE).select("a", "b")
+    return joined.filter(distance("planes_a", "planes_b") <= most).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, least_percent: int) -> DataFrame:
@@ -231,6 +246,7 @@ def all_across(members: DataFrame, sets: DataFrame, least_percent: int) -> DataF
 
 def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and text_key of every row."""
+    chunks, most = cuts(least_percent)
     sketched = cut_lineage(sketches(docs))
     nodes = cut_lineage(
         sketched.filter("n_shingles > 0")
@@ -239,7 +255,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
         .withColumn("node", F.monotonically_increasing_id())
     )
     signatures = nodes.select("node", "planes")
-    keys = bucket_keys(nodes)
+    keys = bucket_keys(nodes, chunks)
     buckets = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     met = cut_lineage(keys.join(buckets.hint("merge"), "key"))
     # The node that meets most others, the original of many copies, is compared with them first.
@@ -251,7 +267,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
     sets = cut_lineage(shingle_sets(texts_of(docs, nodes, shared)))
     others = shared.filter("node <> center")
     pairs = others.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    tested = cut_lineage(confirmed(near(pairs, signatures), sets, least_percent))
+    tested = cut_lineage(confirmed(near(pairs, signatures, most), sets, least_percent))
     stars = components(links_of(tested))
     # A member that was compared with all others of its bucket leaves it.
     members = others.select("key", "node", "rank")
@@ -274,7 +290,7 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
             found = all_across(members, sets, least_percent)
         known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         fresh = found.join(known.hint("merge"), ["a", "b"], "left_anti")
-        fresh = cut_lineage(confirmed(near(fresh, signatures), sets, least_percent))
+        fresh = cut_lineage(confirmed(near(fresh, signatures, most), sets, least_percent))
         tested = tested.unionByName(fresh)
         more = links_of(fresh)
         if not more.isEmpty():
