@@ -244,14 +244,19 @@ def all_across(members: DataFrame, sets: DataFrame, least_percent: int) -> DataF
     return across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and text_key of every row."""
+def grouped(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, text_key, `kept`, and `first` of every row.
+
+    `kept` holds for all rows with the least id of their component, `first` for one text of that id only.
+    """
     chunks, most = cuts(least_percent)
     sketched = cut_lineage(sketches(docs))
+    # Null ids come last.
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     nodes = cut_lineage(
         sketched.filter("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("planes").alias("planes"), F.min(F.struct("doc_id", "text_key")).alias("one"), F.min("doc_id").alias("least_id"))
+        .agg(F.min("planes").alias("planes"), F.min(least).alias("least"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     signatures = nodes.select("node", "planes")
@@ -297,26 +302,33 @@ def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds:
             stars = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
         members = members.filter("node <> center").select("key", "node", "rank")
     placed = nodes.select("digest", "node").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least_id = (
-        nodes.select("node", "least_id").join(placed.select("node", "component"), "node")
-        .groupBy("component").agg(F.min("least_id").alias("component_id"))
+    first = (
+        nodes.select("node", "least").join(placed.select("node", "component"), "node")
+        .groupBy("component").agg(F.min("least").alias("first"))
     )
-    owners = placed.join(least_id, "component").select("digest", "component_id")
+    owners = placed.join(first, "component").select("digest", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("_key"))
     linked = sketched.select("doc_id", "text_key", "n_shingles", "digest").filter("n_shingles > 0").join(owners, "digest")
-    blank = sketched.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ("doc_id", "n_shingles", "component_id", "text_key")
+    blank = sketched.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "_key": F.col("text_key")})
+    columns = ("doc_id", "n_shingles", "component_id", "text_key", "_key")
     result = linked.select(*columns).unionByName(blank.select(*columns))
-    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_first_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return result.select("doc_id", "n_shingles", "component_id", "text_key", of_first_id.alias("kept"), (of_first_id & (F.col("text_key") == F.col("_key"))).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, least_percent: int = LEAST_PERCENT, rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and text_key of every row."""
+    return grouped(docs, least_percent, rounds).drop("first")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
     """(node, text) of the nodes that share a bucket: the text of one document each."""
-    wanted = shared.select("node").distinct().join(nodes.select("node", "one"), "node")
-    wanted = wanted.select("node", F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
+    wanted = shared.select("node").distinct().join(nodes.select("node", "least"), "node")
+    wanted = wanted.select("node", F.col("least.doc_id").alias("_id"), F.col("least.text_key").alias("_key"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     return docs.select("doc_id", "text").join(wanted.hint("merge"), same).dropDuplicates(["node"]).select("node", "text")
 
 
 def drop_near_copies(docs: DataFrame, least_percent: int = LEAST_PERCENT) -> DataFrame:
     """The rows of `docs` that stay, one document of each component, with its columns."""
-    return only_kept(docs, near_duplicates(docs, least_percent))
+    decided = grouped(docs, least_percent).select("doc_id", "text_key", F.col("first").alias("kept"))
+    return only_kept(docs, decided)

@@ -29,3 +29,15 @@ def test_near_duplicates_from_80_percent(spark):
     expected = near_duplicate_rows(list(enumerate(texts)), least=80)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(expected)
     assert expected != near_duplicate_rows(list(enumerate(texts)))
+
+
+def test_one_row_stays_of_a_component_with_repeated_or_null_ids(spark):
+    text = near_texts(families=2, size=1)[1]
+    rows = [(5, text), (5, text + " x"), (5, text + " x"), (9, text + " y"), (None, text + " z")]
+    other = " ".join(f"w{i}" for i in range(90))
+    rows += [(None, other), (None, other + " x"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in minhash_dedup.drop_near_copies(docs).collect()]
+    assert len(kept) == 3 and (None, None) in kept
+    assert [t.startswith(text) for i, t in kept if i == 5] == [True]
+    assert [t.startswith(other) for i, t in kept if i is None and t] == [True]
