@@ -15,7 +15,7 @@ The raw model counts all documents. The target model is fitted on one half of at
 labels, drawn by a hash of the id, and the threshold on the other half, whose weights are as little
 flattered as those of documents without a label. The labels are sent to the tasks, so no text is shuffled.
 Counts combine per task to one row per bucket. The models have `BUCKETS` numbers each and are sent to the tasks; the threshold comes from a histogram of
-fixed size. The k-th score is found by narrowing the range of scores in histograms of fixed size, so
+the labelled documents' weights in steps of fixed size, over their whole range. The k-th score is found by narrowing the range of scores in histograms of fixed size, so
 no task sorts all of them.
 
 Defined cases: null text counts as empty; documents without n-grams have weight 0; a document with
@@ -27,6 +27,8 @@ by `keep_target_like` and ignored otherwise.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ BUCKETS = 1 << 14
 GRAMS = 2
 SMOOTHING = 3.0
 LABELLED = 50_000
-# Log weights per document are compared in steps of STEP within +-SPAN.
-STEP, SPAN = 0.5, 200.0
+# Log weights per document are compared in steps of STEP.
+STEP = 0.5
 CELLS = 1024
 
 
@@ -136,9 +138,10 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, seed: int) -> DataFrame:
 def threshold(scored: DataFrame, sample: DataFrame) -> float | None:
     """The weight from which documents count as like the target; None without labels of both kinds.
 
-    One row per step of the histogram comes out of the aggregation, at most 2 * SPAN / STEP.
+    Minus infinity if taking all errs least. One row per step that labelled documents reach comes out of
+    the aggregation, so no more than there are labels in that half, if ids do not repeat.
     """
-    cell = F.floor(F.greatest(F.least("log_weight", F.lit(SPAN)), F.lit(-SPAN)) / STEP)
+    cell = F.floor(F.col("log_weight") / STEP)
     cells = (
         with_labels(scored, sample, False)
         .filter("good IS NOT NULL")
@@ -154,7 +157,8 @@ def threshold(scored: DataFrame, sample: DataFrame) -> float | None:
     # lowest: clean documents stay.
     lost = (np.cumsum(good) - good) / good.sum()
     taken = (poor.sum() - (np.cumsum(poor) - poor)) / poor.sum()
-    return float(cells["cell"].to_numpy()[np.argmin(lost + taken)] * STEP)
+    best = int(np.argmin(lost + taken))
+    return float(cells["cell"].to_numpy()[best] * STEP) if best else -math.inf
 
 
 def kth_largest(scored: DataFrame, k: int) -> float:
