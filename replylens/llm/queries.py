@@ -13,6 +13,7 @@ from replylens.llm import (
     exact_dedup,
     html_extract,
     minhash_dedup,
+    periodic_runs,
     quality_resample,
     secret_scan,
     source_mix,
@@ -77,6 +78,11 @@ def op10_html_extract(spark, sf_dir):
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return periodic_runs.runs_report(periodic_runs.with_planted_periods(documents))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,5 +96,6 @@ QUERIES = {
         op8_bpe_tree,
         op9_source_mix,
         op10_html_extract,
+        op13_periodic_runs,
     )
 }

@@ -71,8 +71,59 @@ WITH {mix_sql()}
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM mixed
 """
 
+
+def crc32_sql(value: str) -> str:
+    """crc32 of the decimal form of `value`, bit by bit."""
+    codes = f"list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    bits = "lambda r, u: xor(r >> 1, 3988292384 * (r & 1))"
+    byte = f"lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {bits}, xor(c, b))"
+    return f"xor(4294967295::BIGINT, list_reduce({codes}, {byte}, 4294967295::BIGINT))"
+
+
+OP13_PERIODIC_RUNS = rf"""
+WITH given AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+        coalesce({crc32_sql('doc_id')}, 1) AS h
+    FROM documents
+), chosen AS (
+    SELECT row, doc_id, words, len(words) AS n, h % 10 = 0 AND len(words) > 0 AS planted,
+        CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a, 3 + (h // 10) % 8 AS times
+    FROM given
+), texts AS MATERIALIZED (
+    SELECT row, doc_id, n, CASE WHEN planted
+        THEN list_transform(range(n), lambda i: words[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // times) END + 1])
+        ELSE words END AS words
+    FROM chosen
+), numbered AS MATERIALIZED (
+    SELECT row, n, unnest(words) AS word, unnest(range(n)) AS i FROM texts
+), agreeing AS (
+    -- words that recur at a distance of which a run can hold four
+    SELECT x.row, y.i - x.i AS period, x.i FROM numbered x JOIN numbered y ON x.row = y.row AND x.word = y.word AND y.i > x.i
+        AND 4 * (y.i - x.i) <= x.n
+), stretches AS (
+    SELECT row, period, i, i - row_number() OVER (PARTITION BY row, period ORDER BY i) AS stretch FROM agreeing
+), repeats AS (
+    SELECT row, min(i) AS start, count(*) + period AS length, period FROM stretches GROUP BY row, period, stretch
+), runs AS MATERIALIZED (
+    SELECT row, start, length, min(period) AS period FROM repeats WHERE length >= greatest(6, 4 * period) GROUP BY row, start, length
+), listed AS (
+    SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY row
+), best AS (
+    SELECT * FROM runs r QUALIFY row_number() OVER (PARTITION BY row ORDER BY length / period DESC, start, period) = 1
+), dropped AS (
+    SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+    SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM numbered ANTI JOIN dropped USING (row, i) GROUP BY row
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+    CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (row) LEFT JOIN best USING (row) LEFT JOIN kept USING (row)
+"""
+
 ORACLES = {
     "op2_chat_format": OP2_CHAT_FORMAT,
     "op6_exact_dedup": OP6_EXACT_DEDUP,
     "op9_source_mix": OP9_SOURCE_MIX,
+    "op13_periodic_runs": OP13_PERIODIC_RUNS,
 }
