@@ -14,6 +14,7 @@ from replylens.llm import (
     html_extract,
     minhash_dedup,
     periodic_runs,
+    prefix_trie,
     quality_resample,
     secret_scan,
     source_mix,
@@ -78,6 +79,11 @@ def op10_html_extract(spark, sf_dir):
     return html_extract.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
+
+
 def op13_periodic_runs(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return periodic_runs.runs_report(periodic_runs.with_planted_periods(documents))
@@ -96,6 +102,7 @@ QUERIES = {
         op8_bpe_tree,
         op9_source_mix,
         op10_html_extract,
+        op11_prefix_trie,
         op13_periodic_runs,
     )
 }

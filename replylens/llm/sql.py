@@ -80,6 +80,37 @@ def crc32_sql(value: str) -> str:
     return f"xor(4294967295::BIGINT, list_reduce({codes}, {byte}, 4294967295::BIGINT))"
 
 
+OP11_PREFIX_TRIE = f"""
+WITH ordered AS (
+    SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT conv_id, turns, conv_id - conv_id % 5 AS head_id, {crc32_sql("conv_id")} % 9 AS h FROM ordered
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(o.turns, [])[1 : h], c.turns[h + 1 :]) AS turns
+    FROM heads c LEFT JOIN ordered o ON o.conv_id = head_id
+), prefixes AS (
+    SELECT conv_id, len(turns) AS n, d, turns[1 : d] AS prefix FROM rebuilt, LATERAL unnest(range(len(turns) + 1)) u(d)
+), members AS MATERIALIZED (
+    -- a node is its depth and its smallest member
+    SELECT conv_id, n, d, min(conv_id) OVER (PARTITION BY d, prefix) AS node, prefix[d].text AS last_text FROM prefixes
+), nodes AS MATERIALIZED (
+    SELECT node, d, count(*) AS n_convs, (count(*) - 1) * coalesce(strlen(any_value(last_text)), 0) AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM members GROUP BY node, d
+), above AS (
+    SELECT t.node, t.d, m.node AS parent FROM nodes t JOIN members m ON m.conv_id = t.node AND m.d = t.d - 1
+), children AS (
+    SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM above GROUP BY ALL
+), subtrees AS (
+    SELECT m.node, m.d, count(*) FILTER (n_children IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+    FROM nodes t LEFT JOIN children USING (node, d) JOIN members m ON m.conv_id = t.node AND m.d <= t.d GROUP BY ALL
+)
+SELECT node AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes LEFT JOIN above USING (node, d) LEFT JOIN children USING (node, d) JOIN subtrees USING (node, d)
+"""
+
 OP13_PERIODIC_RUNS = rf"""
 WITH given AS MATERIALIZED (
     SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -125,5 +156,6 @@ ORACLES = {
     "op2_chat_format": OP2_CHAT_FORMAT,
     "op6_exact_dedup": OP6_EXACT_DEDUP,
     "op9_source_mix": OP9_SOURCE_MIX,
+    "op11_prefix_trie": OP11_PREFIX_TRIE,
     "op13_periodic_runs": OP13_PERIODIC_RUNS,
 }
