@@ -18,6 +18,7 @@ from replylens.llm import (
     quality_resample,
     secret_scan,
     source_mix,
+    tile_dedup,
     token_count,
 )
 from replylens.session import scratch_path
@@ -84,6 +85,10 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
 
 
+def op12_tile_dedup(spark, sf_dir):
+    return tile_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return periodic_runs.runs_report(periodic_runs.with_planted_periods(documents))
@@ -103,6 +108,7 @@ QUERIES = {
         op9_source_mix,
         op10_html_extract,
         op11_prefix_trie,
+        op12_tile_dedup,
         op13_periodic_runs,
     )
 }

@@ -111,6 +111,26 @@ SELECT node AS conv_id, d AS depth, parent AS parent_conv_id, n_convs, coalesce(
 FROM nodes LEFT JOIN above USING (node, d) LEFT JOIN children USING (node, d) JOIN subtrees USING (node, d)
 """
 
+OP12_TILE_DEDUP = """
+WITH RECURSIVE given AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
+), usable AS MATERIALIZED (
+    SELECT * FROM given WHERE len(list_filter(vec, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(vec, lambda x: x <> 0)) > 0
+), linked AS MATERIALIZED (
+    SELECT a.row, b.row AS other FROM usable a JOIN usable b ON a.row <> b.row AND len(a.vec) = len(b.vec)
+    WHERE list_dot_product(a.vec, b.vec) / (sqrt(list_dot_product(a.vec, a.vec)) * sqrt(list_dot_product(b.vec, b.vec))) >= 0.9
+), reached AS (
+    SELECT row, row AS other FROM given
+    UNION SELECT r.row, l.other FROM reached r JOIN linked l ON l.row = r.other
+), least AS (
+    SELECT r.row, min(g.vec_id) AS component_id FROM reached r JOIN given g ON g.row = r.other GROUP BY r.row
+), counts AS (
+    SELECT row, count(*) AS n_links FROM linked GROUP BY row
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM given JOIN least USING (row) LEFT JOIN counts USING (row)
+"""
+
 OP13_PERIODIC_RUNS = rf"""
 WITH given AS MATERIALIZED (
     SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
@@ -157,5 +177,6 @@ ORACLES = {
     "op6_exact_dedup": OP6_EXACT_DEDUP,
     "op9_source_mix": OP9_SOURCE_MIX,
     "op11_prefix_trie": OP11_PREFIX_TRIE,
+    "op12_tile_dedup": OP12_TILE_DEDUP,
     "op13_periodic_runs": OP13_PERIODIC_RUNS,
 }
