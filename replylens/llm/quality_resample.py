@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replylens.llm import tokens
+from replylens.llm.keeping import as_rows
 from replylens.session import cut_lineage
 
 BUCKETS = 1 << 14
@@ -195,6 +196,6 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
 
 def keep_target_like(docs: DataFrame, labels: DataFrame, seed: int = 0) -> DataFrame:
     """The rows of `docs` that are taken, with its columns."""
-    rejected = resample(docs, labels, seed).filter("NOT taken").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return docs.join(rejected.distinct().hint("merge"), same, "left_anti")
+    rejected = resample(docs, labels, seed).filter("NOT taken").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("key"))
+    return as_rows(docs).join(rejected.distinct().hint("merge"), same, "left_anti").select("row.*")

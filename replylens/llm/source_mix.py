@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from replylens.llm.keeping import as_rows
 from replylens.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -140,25 +141,23 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
         .groupBy(*keys)
         .agg(F.count("*").alias("rows"), F.sum("copies").alias("copies"))
         .filter("copies > 0")
-        .select(*[F.col(k).alias(f"_mix_{k}") for k in keys], F.col("rows").alias("_mix_rows"), F.col("copies").alias("_mix_copies"))
     )
+    # One column holds a given row, so that its columns may have any names.
+    rows = as_rows(docs).withColumn("words", word_count(F.col("row.text")))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_mix_source"))
-        & (F.col("_mix_of") == F.col("_mix_size"))
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("row.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size"))
     )
-    rows = docs.withColumn("_mix_of", word_count(F.col("text"))).join(plan, same)
-    once = rows.filter("_mix_rows = 1").withColumn("_mix_n", F.col("_mix_copies"))
-    number = F.row_number().over(Window.partitionBy("doc_id", "source", "_mix_of").orderBy("text"))
+    joined = rows.join(plan, same)
+    once = joined.filter("rows = 1").withColumn("times", F.col("copies"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("row.text"))
     shared = (
-        rows.filter("_mix_rows > 1")
-        .withColumn("_mix_at", number)
-        .withColumn("_mix_n", F.expr("_mix_copies div _mix_rows + int(_mix_at <= _mix_copies % _mix_rows)"))
-        .drop("_mix_at")
-        .filter("_mix_n > 0")
-    )
-    return (
-        once.unionByName(shared)
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_n"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        joined.filter("rows > 1")
+        .withColumn("number", number)
+        .withColumn("times", F.expr("copies div rows + int(number <= copies % rows)"))
+        .drop("number")
+        .filter("times > 0")
     )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
+    return once.unionByName(shared).withColumn("copy", each).select("row.*")
