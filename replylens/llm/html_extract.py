@@ -98,14 +98,25 @@ def short_hash(value: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "doubtful", "linked", "heading", "children", "parent")
+    """An element of a page; its path is a running hash, so that depth costs nothing."""
 
-    def __init__(self, tag, path, noise, main, doubtful, parent):
-        self.tag, self.path, self.noise, self.main, self.doubtful, self.parent = tag, path, noise, main, doubtful, parent
+    __slots__ = ("tag", "path", "noise", "main", "doubtful", "linked", "heading", "children", "parent", "known_style")
+
+    def __init__(self, tag, label, noise, main, doubtful, parent):
+        self.tag, self.noise, self.main, self.doubtful, self.parent = tag, noise, main, doubtful, parent
+        self.path = short_hash(f"{parent.path}/{label}") if parent else 0
+        self.known_style: int | None = None
         self.linked = tag == "a" or (parent is not None and parent.linked)
         self.heading = tag in HEADINGS or (parent is not None and parent.heading)
         self.children: list[str] = []
 
+    @property
+    def style(self) -> int:
+        """Hash of the path and of the sequence of children, taken once, when all children are known."""
+        if self.known_style is None:
+            self.known_style = short_hash(f"{self.path} > " + " ".join(self.children))
+        return self.known_style
+
 
 class Page:
     """Blocks of a page in order: (element, is main, text), and whether each is mostly links. Noise is left out."""
@@ -115,6 +126,7 @@ class Page:
         self.blocks: list[tuple[Element, bool, str]] = []
         self.links: list[bool] = []
         self.stack = [Element("", "", False, False, False, None)]
+        self.places: dict[str, list[int]] = {}  # of the open elements of a tag on the stack
         self.text: list[str] = []
         self.linked = 0
         self.owner = self.stack[0]
@@ -186,7 +198,8 @@ class Page:
             else:
                 noise = any(tells(name, NAMES) for name in classes + ids)
         main = parent.main or tag in ("article", "main") or role in ("main", "article") or is_body
-        self.stack.append(Element(tag, f"{parent.path}/{label}", noise, main and not noise, doubtful, parent))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Element(tag, label, noise, main and not noise, doubtful, parent))
 
     def names_of(self, rest: str):
         classes, ids, role, is_body = [], [], "", False
@@ -206,14 +219,15 @@ class Page:
 
     def close(self, tag: str, within=()):
         """Close the nearest open `tag` and what is open in it; a tag in `within` stops the search."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                if tag in BLOCK or any(e.tag in BLOCK for e in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
-            if self.stack[i].tag in within:
-                return
+        open_ = self.places.get(tag)
+        if not open_ or any(self.places.get(w) and self.places[w][-1] > open_[-1] for w in within):
+            return
+        at = open_[-1]
+        if tag in BLOCK or any(e.tag in BLOCK for e in self.stack[at:]):
+            self.flush()
+        for element in self.stack[at:]:
+            self.places[element.tag].pop()
+        del self.stack[at:]
 
     def kept(self, low=()) -> str:
         """The text without the blocks numbered in `low`."""
@@ -232,8 +246,7 @@ class Page:
         has_main = any(main for _, main, _ in self.blocks)
         seen = set()
         for i, ((element, main, text), links) in enumerate(zip(self.blocks, self.links, strict=True)):
-            path, above = short_hash(element.path), element.parent or element
-            style = short_hash(above.path + " > " + " ".join(above.children))
+            path, style = element.path, (element.parent or element).style
             content = short_hash(text)
             first_path, first_style, first_content = path not in seen, (path, style) not in seen, (path, content, 0) not in seen
             seen |= {path, (path, style), (path, content, 0)}

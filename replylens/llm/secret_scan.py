@@ -19,7 +19,6 @@ length is scanned whole.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import re
 
 from pyspark.sql import DataFrame
@@ -52,6 +51,7 @@ IDENTIFIERS = (
     "your_secret_token_here changeme xxxxxxxxxxxxxxxx 0123456789abcdef ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 )
 NEAR, AROUND, LEAST_NOVEL, PART, NOVELTY = 128, 256, 16, 32, 0.8
+DIGITS_SHARE = 0.7  # log2(10) / log2(26)
 
 
 class SecretScanner:
@@ -84,27 +84,49 @@ class SecretScanner:
             found += [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
         return sorted(found)
 
+    def cost(self, text: str) -> int:
+        return len(self.compress(text.encode("utf-8", "surrogatepass")))
+
     def marginal(self, text: str, start: int, end: int, within: tuple[int, int] | None = None) -> float:
         """Compressed bytes that text[start:end] adds to the surroundings of `within`, itself by default, per byte."""
         first, last = within or (start, end)
         before, after = text[max(0, first - self.around) : first], text[last : last + self.around]
-        size = lambda s: len(self.compress(s.encode("utf-8", "surrogatepass")))
-        return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
+        return (self.cost(before + text[start:end] + after) - self.cost(before + after)) / (end - start)
+
+    def limit(self, string: str) -> float:
+        """Bytes a character from which on `string` is new: `novelty`, less where its alphabet is only digits.
+
+        Random digits carry log2(10) bits each and can't cost what letters do.
+        """
+        return self.novelty * DIGITS_SHARE if string.isdigit() else self.novelty
 
     def is_novel(self, text: str, start: int, end: int) -> bool:
         """Whether text[start:end] is new to its surroundings; one of its parts, of even lengths, is enough."""
+        before, after = text[max(0, start - self.around) : start], text[end : end + self.around]
+        plain, limit = self.cost(before + after), self.limit(text[start:end])
         n = -((start - end) // PART)
         edges = [start + (end - start) * i // n for i in range(n + 1)]
         parts = zip(edges, edges[1:], strict=False)
-        return any(self.marginal(text, a, b, (start, end)) >= self.novelty for a, b in parts)
+        return any(self.cost(before + text[a:b] + after) - plain >= limit * (b - a) for a, b in parts)
+
+    @staticmethod
+    def overlaps(base: list[tuple[int, int, int]], at: int, start: int, end: int) -> bool:
+        """Whether one of the spans from number `at` on meets start:end; at most three kinds meet at a place."""
+        while at < len(base) and base[at][0] < end:
+            if base[at][2] > start:
+                return True
+            at += 1
+        return False
 
     def novel(self, text: str, lowered: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Strings in the context of a sensitive word that no fixed form overlaps."""
         if not any(word in lowered for word in SENSITIVE):
             return []
-        found, last, at, line, next_line = [], 0, 0, -1, -1
+        found, last, at, line, next_line, named = [], 0, 0, -1, -1, -1
         for word in self.sensitive.finditer(text):
-            named = self.identifier.match(text, word.end()).end()
+            # Words inside of one identifier share its end.
+            if word.end() > named:
+                named = self.identifier.match(text, word.end()).end()
             reach = named + NEAR
             if named > line:
                 line = text.find("\n", named) % (len(text) + 1)
@@ -123,7 +145,7 @@ class SecretScanner:
                 reach = max(reach, end + NEAR)
                 while at < len(base) and base[at][2] <= start:
                     at += 1
-                if any(b[2] > start for b in itertools.takewhile(lambda b: b[0] < end, base[at:])):
+                if self.overlaps(base, at, start, end):
                     continue
                 if self.is_novel(text, start, end):
                     found.append((start, 3, end))
