@@ -15,8 +15,8 @@ in shards of about `SHARD` vectors, cells that are larger over several; a query
 cells, in blocks of about `QUERIES` queries. So a group is bounded by SHARD and QUERIES. The driver
 holds the codebooks and one number per cell, at most CENTROIDS ** 2.
 
-Defined cases: vectors that are null or zero, hold null or non-finite components, or have another
-length than most (ties: the longer) take no part, and neither do null ids; repeated ids are separate
+Defined cases: vectors that are null or zero or hold null or non-finite components take no part, and neither
+do null ids; vectors of different lengths are not compared; repeated ids are separate
 candidates, but a query never finds its own id; without vectors the result is empty; other columns
 are ignored.
 """
@@ -24,6 +24,7 @@ are ignored.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,6 +37,7 @@ SAMPLE, RECALL = 20_000, 0.96
 CENTROIDS, PER_CELL = 256, 16
 SHARD, QUERIES = 8192, 4096
 ROUNDS, TRIALS = 12, 400
+OUT = "query_id long, rank int, vec_id long, score double"
 
 
 class MultiIndex:
@@ -114,8 +116,6 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     rows = rows.filter(F.col("vec_id").isNotNull() & vec.isNotNull()).filter(F.coalesce(finite, F.lit(False)))
     # x + 0.0 makes a negative zero positive, so that equal vectors are equal as bytes too.
     rows = rows.filter(F.exists(vec, lambda x: x != 0)).withColumn("vec", F.transform(vec, lambda x: x + F.lit(0.0)))
-    sizes = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    rows = rows.filter(F.size("vec") == (sizes.n if sizes else 0))
     return rows.withColumn("vec_hash", F.xxhash64("vec"))
 
 
@@ -157,16 +157,28 @@ def search(
     vectors: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
     sample: int = SAMPLE, recall: float = RECALL, shard: int = SHARD, per_block: int = QUERIES,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: for rows with `is_query` the k nearest of all other rows."""
-    spark = vectors.sparkSession
-    rows = usable(vectors.withColumn("_is_query", is_query), id_column, vector_column)
-    points = cut_lineage(distinct_points(rows, k + 1))
+    """query_id, rank, vec_id, score: for rows with `is_query` the k nearest of all other rows.
+
+    Vectors of different lengths have no inner product: every length has an index of its own. One row
+    per length comes to the driver.
+    """
+    points = cut_lineage(distinct_points(usable(vectors, id_column, vector_column), k + 1))
     asked = usable(vectors.filter(is_query), id_column, vector_column)
-    out = "query_id long, rank int, vec_id long, score double"
+    lengths = [r.n for r in asked.groupBy(F.size("vec").alias("n")).agg(F.lit(1)).orderBy("n").collect()]
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], OUT)
+    parts = []
+    for length in lengths:
+        of_length = F.size("vec") == length
+        parts.append(_search(points.filter(of_length), asked.filter(of_length), k, sample, recall, shard, per_block))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _search(points: DataFrame, asked: DataFrame, k: int, sample: int, recall: float, shard: int, per_block: int) -> DataFrame:
+    """`search` among `points` for `asked`, all of one length."""
+    spark = points.sparkSession
     # Spark keeps `sample` rows only; their order is a hash of the vector.
     drawn = points.orderBy(F.xxhash64("vec"), "point").limit(sample).select("vec").toArrow().column(0)
-    if not len(drawn):
-        return spark.createDataFrame([], out)
     index = MultiIndex(_matrix(drawn.combine_chunks()), points.count(), k, recall=recall)
     shared = spark.sparkContext.broadcast(index)
 
@@ -188,15 +200,33 @@ def search(
     questions = cut_lineage(
         asked.groupBy("vec_hash", "vec").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("question"), "vec_hash", "vec")
     )
-    blocks = max(1, -(-questions.count() // per_block))
+
+    def first_cells(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [shared.value.visit(vec, layout.value[0], 1)[0] for vec in _matrix(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], names=["question", "vec", "first_cell"])
+
+    # A traversal is work for a task, however few bytes the questions have.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    opened = cut_lineage(
+        questions.select("question", "vec").repartition(tasks, "question").mapInArrow(first_cells, "question long, vec array<double>, first_cell int")
+    )
+    # Questions that begin in the same cells visit the same shards, so they share a block.
+    per_cell = opened.groupBy("first_cell").count().toPandas()
+    begun = np.zeros(len(occupied), np.int64)
+    begun[per_cell["first_cell"]] = per_cell["count"]
+    blocks = spark.sparkContext.broadcast(_layout(begun, per_block))
 
     def to_shards(batches):
         import pyarrow as pa
 
         occupied, first, pieces = layout.value
+        block, of_cell = blocks.value
         for batch in batches:
-            vecs, numbers = _matrix(batch.column(1)), batch.column(0).to_pylist()
-            for number, vec, item in zip(numbers, vecs, range(batch.num_rows), strict=True):
+            vecs, numbers, cells = _matrix(batch.column(1)), batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for number, vec, begin, item in zip(numbers, vecs, cells, range(batch.num_rows), strict=True):
                 by_shard: dict[int, list[int]] = {}
                 for cell in shared.value.visit(vec, occupied, wanted):
                     for piece in range(int(pieces[cell])):
@@ -205,7 +235,7 @@ def search(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shards, pa.int32()),
-                        pa.array([number % blocks] * len(shards), pa.int32()),
+                        pa.array([int(block[begin]) + number % int(of_cell[begin])] * len(shards), pa.int32()),
                         pa.array([number] * len(shards), pa.int64()),
                         batch.column(1).take(pa.array([item] * len(shards), pa.int32())),
                         pa.array([by_shard[s] for s in shards], pa.list_(pa.int32())),
@@ -213,10 +243,8 @@ def search(
                     names=["shard", "block", "question", "vec", "cells"],
                 )
 
-    # A traversal is work for a task, however few bytes the questions have.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = questions.select("question", "vec").repartition(parts, "question").mapInArrow(
-        to_shards, "shard int, block int, question long, vec array<double>, cells array<int>"
+    spread = cut_lineage(
+        opened.repartition(tasks, "question").mapInArrow(to_shards, "shard int, block int, question long, vec array<double>, cells array<int>")
     )
 
     def place(batches):
@@ -228,9 +256,9 @@ def search(
             shards = first[cell] + point % pieces[cell]
             yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), *batch.columns], names=["shard", "point", "vec", "ids", "cell"])
 
-    entries = indexed.mapInArrow(place, "shard int, point long, vec array<double>, ids array<long>, cell int").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
+    placed = indexed.mapInArrow(place, "shard int, point long, vec array<double>, ids array<long>, cell int")
+    # A shard goes only to the blocks with a question that visits it.
+    entries = placed.join(spread.select("shard", "block").distinct().toDF("shard", "block"), "shard")
 
     def rerank(asking, held):
         import pandas as pd

@@ -15,6 +15,8 @@ its bytes, so the tokens outside are final.
 
 Decoding joins the bytes of tokens up the same kind of tree.
 
+Another pattern than `CUT_PATTERN` has no known safe cuts: a text longer than a leaf is refused with it.
+
 Defined cases: null text counts as empty and has no tokens; special tokens are ordinary text; rows
 are independent, so repeated rows, empty tables and other columns make no difference.
 """
@@ -28,6 +30,8 @@ from pyspark.sql import DataFrame
 
 LEAF = 4096
 PIECE = 4096
+# Fixed value: the pattern for which SAFE_CUT holds.
+CUT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SAFE_CUT = (
     r"(?<=\p{L})(?=[\x00-\x40\x5b-\x60\x7b-\x7f])|(?<=\p{N})(?=[\x00-\x2f\x3a-\x7f])"
     r"|(?<=[!-&(-/:-@\[-`{-~])(?=[A-Za-z0-9 \t\r\n])|(?<=')(?=[ \t\r\n])"
@@ -50,11 +54,14 @@ class TreeBpe:
         encoding = lambda split: tiktoken.Encoding("ranks", pat_str=split, mergeable_ranks=ranks, special_tokens={})
         self.leaf, self.unsplit = encoding(pattern), encoding(r"[\s\S]+")
         self.matches, self.cut = regex.compile(pattern), regex.compile(SAFE_CUT)
+        self.can_cut = pattern == CUT_PATTERN
         self.compatible_pairs: dict[tuple[int, int], bool] = {}
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= self.leaf_size:
             return self.leaf.encode_ordinary(text)
+        if not self.can_cut:
+            raise ValueError("no safe cuts are known for this pattern; texts over a leaf need CUT_PATTERN")
         middle = len(text) // 2
         return self.join(text, middle, self.encode(text[:middle]), self.encode(text[middle:]))
 

@@ -1,7 +1,7 @@
 """Exact dedup by distributed MSD radix partitioning; no digest decides about equality.
 
 The first digit of a text is its length in bytes with its first bytes, the next digits are runs of
-the bytes that follow, each run longer than the last. A level counts rows per (group, digit), which
+the bytes that follow, each run longer than the last up to `WIDEST` bytes. A level counts rows per (group, digit), which
 combines before the shuffle; groups of one row are done, groups whose bytes are used up are groups of
 equal texts, and only the rest goes to the next level with the bytes that are left. Rows join their
 group on (group, digit): a group with a third of all rows is a skewed join, which the adaptive
@@ -24,6 +24,7 @@ from replylens.session import cut_lineage
 
 FIRST_DIGIT = 64
 GROWTH = 16
+WIDEST = 1 << 18  # bytes of a digit, so of a grouping key
 
 
 def ascii_lower(text: Column) -> Column:
@@ -67,7 +68,7 @@ def exact_groups(docs: DataFrame, first: int = FIRST_DIGIT, growth: int = GROWTH
     )
     levels = [state]
     while not state.filter("group IS NOT NULL AND NOT ended").isEmpty():
-        width *= growth
+        width = min(width * growth, WIDEST)
         state = cut_lineage(
             _level(
                 state.filter("group IS NOT NULL AND NOT ended").withColumnRenamed("group", "before"),

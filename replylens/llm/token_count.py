@@ -5,8 +5,10 @@ and digested; the tokenizer's file has a digest of its own, its version. Distinc
 cache has no count for are encoded once and appended to it; counts are then joined by digest.
 
 The cache is a Parquet table (version, digest, n_tokens) in a folder that all executors reach, and
-may be kept from run to run. Distinct contents are found by an aggregation that combines copies
-before the shuffle; the final join by digest is over narrow rows, and splits hot digests.
+may be kept from run to run. Only digests meet the cache: they are aggregated, which combines copies before
+the shuffle, and joined to the stored ones; one row per missing digest is chosen, and only these rows' texts are
+fetched. With a full cache no text is shuffled at all. The final join by digest is over narrow rows, and splits hot
+digests.
 
 The tokenizer removes white space and matches within words only, so in a task counts are kept per
 word, and the library encodes the words that the task has not seen.
@@ -22,6 +24,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from replylens.session import cut_lineage
+
 CACHE = "version string, digest binary, n_tokens long"
 WORDS_KEPT = 500_000
 SLICE = 1 << 20
@@ -89,18 +93,24 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, limit: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
     spark.createDataFrame([], CACHE).write.mode("ignore").parquet(cache)
-    digested = docs.select(
-        "doc_id",
-        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
-        normalised(F.col("text")).alias("content"),
-    ).withColumn("digest", F.unhex(F.sha2(F.col("content").cast("binary"), 256)))
+    content = normalised(F.col("text"))
+    texts = docs.select("doc_id", content.alias("content"), F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest"))
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    narrow = cut_lineage(docs.select("doc_id", n_bytes.alias("n_bytes"), F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest")))
     stored = lambda: spark.read.schema(CACHE).parquet(cache).filter(F.col("version") == version)
-    distinct = digested.groupBy("digest").agg(F.first("content").alias("content"))
-    misses = distinct.join(stored().select("digest"), "digest", "left_anti")
-    counted = misses.select("digest", "content").mapInArrow(encode, "digest binary, n_tokens long")
-    counted.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
+    # One row per content that has no count yet; rows of equal digest and id have equal contents.
+    found = narrow.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("row"))
+    missing = cut_lineage(
+        found.join(stored().select("digest"), "digest", "left_anti").select(F.col("digest").alias("missing"), F.col("row.doc_id").alias("found_in"), "row.n")
+    )
+    if not missing.isEmpty():
+        same = (F.col("digest") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("found_in"))
+        fetched = texts.join(missing, same).select("digest", "content", "n")
+        # Only where a row repeats with its id can a content come more than once.
+        if not missing.filter("n > 1").isEmpty():
+            fetched = fetched.filter("n = 1").unionByName(fetched.filter("n > 1").dropDuplicates(["digest"]))
+        counted = fetched.select("digest", "content").mapInArrow(encode, "digest binary, n_tokens long")
+        counted.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
     # Two runs at once may both have stored a content.
     counts = stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return digested.drop("content").join(counts, "digest").select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
-    )
+    return narrow.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
