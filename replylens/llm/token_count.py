@@ -70,6 +70,24 @@ class WordCounter:
         return sum(map(known.__getitem__, words))
 
 
+def _missing_contents(texts: DataFrame, narrow: DataFrame, stored: DataFrame) -> DataFrame | None:
+    """(digest, content) once for each digest of `narrow` that is not `stored`; None if there is none.
+
+    One row per missing digest is chosen; rows of equal digest and id have equal contents.
+    """
+    found = narrow.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("row"))
+    missing = found.join(stored.select("digest"), "digest", "left_anti")
+    missing = cut_lineage(missing.select(F.col("digest").alias("missing"), F.col("row.doc_id").alias("found_in"), "row.n"))
+    if missing.isEmpty():
+        return None
+    same = (F.col("digest") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("found_in"))
+    fetched = texts.join(missing, same).select("digest", "content", "n")
+    # Only where a row repeats with its id can a content come more than once.
+    if missing.filter("n > 1").isEmpty():
+        return fetched
+    return fetched.filter("n = 1").unionByName(fetched.filter("n > 1").dropDuplicates(["digest"]))
+
+
 def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row; appends new contents to `cache`.
 
@@ -98,18 +116,13 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, limit: int =
     n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
     narrow = cut_lineage(docs.select("doc_id", n_bytes.alias("n_bytes"), F.unhex(F.sha2(content.cast("binary"), 256)).alias("digest")))
     stored = lambda: spark.read.schema(CACHE).parquet(cache).filter(F.col("version") == version)
-    # One row per content that has no count yet; rows of equal digest and id have equal contents.
-    found = narrow.groupBy("digest", "doc_id").agg(F.count("*").alias("n")).groupBy("digest").agg(F.min(F.struct("doc_id", "n")).alias("row"))
-    missing = cut_lineage(
-        found.join(stored().select("digest"), "digest", "left_anti").select(F.col("digest").alias("missing"), F.col("row.doc_id").alias("found_in"), "row.n")
-    )
-    if not missing.isEmpty():
-        same = (F.col("digest") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("found_in"))
-        fetched = texts.join(missing, same).select("digest", "content", "n")
-        # Only where a row repeats with its id can a content come more than once.
-        if not missing.filter("n > 1").isEmpty():
-            fetched = fetched.filter("n = 1").unionByName(fetched.filter("n > 1").dropDuplicates(["digest"]))
-        counted = fetched.select("digest", "content").mapInArrow(encode, "digest binary, n_tokens long")
+    if stored().isEmpty():
+        # Nothing to join: copies are combined before the shuffle, and each content is encoded.
+        missing = texts.groupBy("digest").agg(F.first("content").alias("content"))
+    else:
+        missing = _missing_contents(texts, narrow, stored())
+    if missing is not None:
+        counted = missing.select("digest", "content").mapInArrow(encode, "digest binary, n_tokens long")
         counted.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
     # Two runs at once may both have stored a content.
     counts = stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
