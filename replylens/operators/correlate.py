@@ -194,10 +194,13 @@ def correlate(
     large for one task. The result is the same either way. A response belongs to at most one pair,
     so its id serves as the pair's id.
     """
+    matched = _match(events, F.unix_micros("event_ts"), bp.carried_columns, bp.timeout_us, hot_rows, per_segment)
+    return pair_rows(matched, bp, empty_as_null)
+
+
+def pair_rows(matched: DataFrame, bp: Blueprint, empty_as_null: bool = False) -> DataFrame:
+    """(key, q, p), each side with id and body (ts and the carried columns as f0, f1, ...) -> pairs."""
     fields = bp.carried_columns
-    matched = _match(
-        events, F.unix_micros("event_ts"), fields, bp.timeout_us, hot_rows, per_segment
-    )
 
     def side(name, c):
         return F.col(f"{name}.body.f{fields.index(c)}")

@@ -21,6 +21,7 @@ from replylens.operators import reports as R
 from replylens.plans import inputs as I
 from replylens.session import cut_lineage, scratch_path
 from replylens.sources import files, tables
+from replylens.streaming import state as K
 from replylens.streaming import tail as S
 
 QUERIES = {}
@@ -753,12 +754,14 @@ def _landed_in_order(df, time, root, parts=3):
 
 @query
 def stream_correlate(spark, sf_dir):
-    """Three deliveries in time order, matched with carry-over; one pass each."""
+    """What has been delivered in three parts, taken at once and matched with carry-over tables.
+
+    One delivery per trigger would let a second pass match requests that were shadowed before; see
+    `stream_late_data` for two batches and the tests for the passes.
+    """
     root = scratch_path(spark, "stream")
     records = I.click_records(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     _landed_in_order(records, "ts", f"{root}/in")
-    # One delivery per trigger would let a second pass match requests that were shadowed
-    # before, so everything that is there is taken at once; see the tests for the passes.
     arriving = spark.readStream.schema(records.schema).parquet(f"{root}/in")
     S.tail(arriving, I.CLICKS, root, mode="batch").awaitTermination()
     pairs = tables.read_batches(spark, f"{root}/pairs", tables.pair_schema(I.CLICKS)).drop("batch_id")
@@ -792,6 +795,56 @@ def stream_late_data(spark, sf_dir):
     return _original_ids(pairs, records)
 
 
+STATE_LATENESS = timedelta(hours=12)
+
+
+def _matched_in_state(spark, sf_dir):
+    """Rows of the keyed matcher for three runs: an out-of-order delivery, a second one, the end of input.
+
+    Events change places by up to twelve hours, also across deliveries, and every run is a restart.
+    """
+    root = scratch_path(spark, "state")
+    records = I.click_records(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = records.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    shift = F.pmod(F.xxhash64("event_id"), F.lit(STATE_LATENESS // timedelta(microseconds=1)))
+    first = F.unix_micros("ts") + shift < (low + high) // 2
+    after_all = timedelta(microseconds=high + 1) + I.CLICKS.timeout + STATE_LATENESS
+    end = I.end_of_input(records, I.CLICKS, after_all // timedelta(microseconds=1))
+    for part in (records.filter(first), records.filter(~first), end):
+        part.write.mode("append").parquet(f"{root}/in")
+        arriving = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+        events = E.matchable(arriving, I.CLICKS)
+        K.tail_in_state(events, I.CLICKS, root, STATE_LATENESS, mode="batch").awaitTermination()
+    return K.stored_matches(spark, events, I.CLICKS, root)
+
+
+@query
+def stream_state_correlate(spark, sf_dir):
+    """Pairs from keyed streaming state with event-time timers: those of one batch pass."""
+    return K.matched_pairs(_matched_in_state(spark, sf_dir), I.CLICKS)
+
+
+@query
+def stream_state_given_up(spark, sf_dir):
+    """Requests that timers gave up or that another request shadowed: all requests without a pair."""
+    return K.given_up(_matched_in_state(spark, sf_dir)).select(*EVENT_VIEW)
+
+
+@query
+def stream_event_dedup(spark, sf_dir):
+    """Two deliveries and a replay of both, through dedup state bounded by the watermark."""
+    root = scratch_path(spark, "stream-dedup")
+    records = I.click_records(spark, sf_dir).drop("event_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    copies = records.unionByName(records)
+    for _ in range(2):
+        copies.write.mode("append").parquet(f"{root}/in")
+        arriving = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+        events = E.normalise(arriving, I.CLICKS, payload=True)
+        S.store_stream(events, I.CLICKS, root, timedelta(days=40), mode="batch").awaitTermination()
+    stored = tables.read_batches(spark, f"{root}/raw_events", tables.event_schema(I.CLICKS))
+    return stored.select("correlation_key", "event_type", "event_ts", "status")
+
+
 @query
 def stream_expire_pending(spark, sf_dir):
     """Requests given up because the newest event is past their timeout."""

@@ -106,6 +106,13 @@ def click_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def end_of_input(records: DataFrame, bp: Blueprint, at_us: int) -> DataFrame:
+    """One request of a key of its own, which moves a watermark past all other records."""
+    named = {bp.key_field: F.lit("end of input"), bp.request_type_field: F.lit(bp.request_value), bp.timestamp_field: F.timestamp_micros(F.lit(at_us))}
+    row = records.sparkSession.range(1)
+    return row.select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in records.schema.fields])
+
+
 def click_events(spark: SparkSession, sf_dir: str, bp: Blueprint = CLICKS) -> DataFrame:
     return E.matchable(click_records(spark, sf_dir), bp)
 

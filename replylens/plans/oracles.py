@@ -235,6 +235,7 @@ def oracles() -> dict:
         "parse_regex_correlate",
         "stream_correlate",
         "stream_late_data",
+        "stream_state_correlate",
         "write_pairs",
         "pair_dedup",
         "event_dedup_correlate",
@@ -254,6 +255,7 @@ def oracles() -> dict:
     sql["unmatched_requests"] = with_(
         CLICK_PAIRS, f"SELECT event_id, correlation_key, ts AS event_ts FROM {LEFTOVER} AND ord = 0"
     )
+    sql["stream_state_given_up"] = sql["unmatched_requests"]
     sql["orphan_responses"] = with_(
         CLICK_PAIRS, f"SELECT event_id, correlation_key, ts AS event_ts FROM {LEFTOVER} AND ord = 1"
     )
@@ -329,6 +331,9 @@ ev AS (
         f"rec AS ({CLICK_RECORDS})",
         "SELECT user_id AS correlation_key, event_type, ts AS event_ts, channel, status FROM rec",
     )
+    sql["stream_event_dedup"] = with_(
+        f"rec AS ({CLICK_RECORDS})", "SELECT user_id AS correlation_key, event_type, ts AS event_ts, status FROM rec"
+    )
     sql["scan_unexported"] = with_(
         CLICK_PAIRS, f"{click_pairs} WHERE pair_id % 3 <> 0 ORDER BY pair_id LIMIT 100"
     )

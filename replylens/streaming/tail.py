@@ -11,12 +11,14 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from replylens.blueprint import Blueprint
-from replylens.operators.buckets import bucket_time, buckets_from_counts, latency_counts
+from replylens.operators.buckets import bucket_time, buckets_from_counts
 from replylens.operators.correlate import correlate, pending
-from replylens.operators.events import REQUEST, normalise
+from replylens.operators.dedup import columns_as_fields, payload, with_event_hash
+from replylens.operators.events import REQUEST, normalise, valid_events
 from replylens.sources.tables import (
     batch_ids,
     drop_batches,
@@ -27,6 +29,7 @@ from replylens.sources.tables import (
     write_batch,
 )
 from replylens.session import cut_lineage, temporary_stages
+from replylens.streaming.state import count_in_state, keyed_state
 
 
 class CarryOver:
@@ -73,7 +76,7 @@ class CarryOver:
         return unmatched.filter(~given_up)
 
 
-def _triggered(writer: DataStreamWriter, mode: str, poll_ms: int) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, mode: str, poll_ms: int) -> DataStreamWriter:
     if mode not in ("batch", "tail"):
         raise ValueError("mode must be batch or tail")
     if poll_ms <= 0:
@@ -97,89 +100,100 @@ def tail(
     """
     step = CarryOver(bp, root, parse, lateness, **options)
     writer = records.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/_progress/tail")
-    return _triggered(writer, mode, poll_ms).start()
+    return triggered(writer, mode, poll_ms).start()
 
 
-# Times in microseconds.
-MARKS = "closed_until bigint, newest bigint, pair_batch bigint"
+def store_stream(events: DataFrame, bp: Blueprint, root: str, within: timedelta, mode: str = "tail", poll_ms: int = 1000):
+    """Start storing streaming events (see `normalise`) once each, without reading what is stored.
 
+    A copy is dropped if its event time is not more than `within` from that of the first one's arrival: Spark
+    keeps the identities of that span as state. Batches, ids and columns are those of `store_events`.
+    """
+    if "payload" not in events.columns:
+        events = events.withColumn("payload", payload(columns_as_fields(bp.carried_columns)))
+    hashed = with_event_hash(valid_events(events), F.col("payload")).withColumn("event_date", F.to_date("event_ts"))
+    span = f"{within // timedelta(microseconds=1)} microseconds"
+    fresh = hashed.withWatermark("event_ts", span).dropDuplicatesWithinWatermark(["blueprint", "event_hash"])
+    columns = [f.name for f in T.StructType.fromDDL(event_schema(bp)).fields if f.name != "event_id"]
 
-def _latency_schema(bp: Blueprint) -> str:
-    dims = "".join(f", `{c}` string" for c in bp.dimension_columns)
-    return f"bucket_start timestamp{dims}, latency_ms bigint, n bigint, success_count bigint, error_count bigint"
+    def keep(rows: DataFrame, batch_id: int) -> None:
+        event_id = F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.monotonically_increasing_id().alias("row"))
+        by_day = rows.select(event_id.alias("event_id"), *columns).hint("rebalance", "event_date")
+        write_batch(by_day, f"{root}/raw_events", batch_id, ("event_date",))
+
+    writer = fresh.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/_progress/identities")
+    return triggered(writer, mode, poll_ms).start()
 
 
-def advance_buckets(
-    spark: SparkSession, bp: Blueprint, root: str, pairs: DataFrame | None, step: int, lateness: timedelta = timedelta(0)
-) -> None:
-    """One step of the tumbling buckets: take in `pairs`, or (None) close all that is open.
+# The newest response and the last batch of pairs that were taken in; times in microseconds.
+MARKS = "newest bigint, pair_batch bigint"
 
-    The state counts pairs per (bucket, dimensions, latency) of the open buckets. A bucket is closed,
-    and written, when the newest response is more than `lateness` past its end. A pair of a bucket that
-    is closed already adds a row of its own with `late` set. What a step writes replaces itself if the
-    step is repeated; the watermark, written last, makes it count.
+
+def _pairs_arriving(spark: SparkSession, bp: Blueprint, root: str, batches: list) -> DataFrame:
+    """Streams the pairs of `batches`, which are complete, and rows that only move the watermark.
+
+    Files that an earlier run has taken are known to the checkpoint.
     """
-    groups = ["bucket_start", *bp.dimension_columns]
-    path = f"{root}/watermarks"
-    marks = read_batches(spark, path, MARKS)
-    last = next(iter(marks.filter(F.col("batch_id") == step - 1).collect()), None)
-    closed_until, newest, taken = (last.closed_until, last.newest, last.pair_batch) if last else (None, None, -1)
-    counts = read_batches(spark, f"{root}/open_counts", _latency_schema(bp)).filter(F.col("batch_id") == step - 1).drop("batch_id")
-    end = F.unix_micros("bucket_start") + F.lit(bp.bucket_seconds * 1_000_000)
-    late = None
-    if pairs is not None:
-        timed = cut_lineage(latency_counts(bucket_time(pairs, bp), groups))
-        seen = pairs.agg(F.max(F.unix_micros("response_ts")).alias("ts"), F.max("batch_id").alias("batch")).first()
-        taken = max(taken, seen.batch if seen.batch is not None else -1)
-        newest = max([t for t in (newest, seen.ts) if t is not None], default=None)
-        was_closed = F.coalesce(end <= F.lit(closed_until), F.lit(False))
-        late = timed.filter(was_closed)
-        counts = counts.unionByName(timed.filter(~was_closed).select(*counts.columns))
-        sums = [F.sum(c).alias(c) for c in ("n", "success_count", "error_count")]
-        counts = counts.groupBy(*groups, "latency_ms").agg(*sums)
-        until = None if newest is None else newest - lateness // timedelta(microseconds=1)
-    else:
-        until = counts.agg(F.max(end)).first()[0]
-    closed_until = max([t for t in (closed_until, until) if t is not None], default=None)
-    closing = F.coalesce(end <= F.lit(closed_until), F.lit(False))
-    # The counts feed several branches of the percentile plan; they are written once.
-    counts = cut_lineage(counts)
-    rows = buckets_from_counts(counts.filter(closing), groups, bp).withColumn("late", F.lit(False))
-    if late is not None:
-        rows = rows.unionByName(buckets_from_counts(late, groups, bp).withColumn("late", F.lit(True)))
-    write_batch(rows, f"{root}/buckets", step)
-    write_batch(counts.filter(~closing), f"{root}/open_counts", step)
-    mark = spark.createDataFrame([(closed_until, newest, taken)], MARKS)
-    write_batch(mark, path, step)
-    drop_batches(spark, f"{root}/open_counts", step)
+    names = ",".join(map(str, batches))
+    pairs = spark.readStream.schema(pair_schema(bp)).parquet(f"{root}/pairs/batch_id={{{names}}}")
+    ends = spark.readStream.schema("response_ts timestamp").parquet(f"{root}/ends/batch_id=*")
+    return pairs.unionByName(ends, allowMissingColumns=True)
 
 
 def tumbling_metrics(
     spark: SparkSession, bp: Blueprint, root: str, lateness: timedelta = timedelta(0), mode: str = "tail"
 ) -> int:
-    """Bucket rows of the pair table's batches that no step has taken in; returns their number.
+    """Bucket rows of the pair table's batches that no run has taken in; returns their number.
 
-    Only batches that were written completely count, each once, in order. `batch` closes all buckets
-    at the end; `tail` leaves those behind the watermark open for the next call.
+    The counts of open buckets are streaming state (see `streaming.state`). A bucket is closed, and written,
+    when the newest response is more than `lateness` past its end; pairs of a closed bucket add a row
+    of their own with `late` set. Only batches that were written completely count, each once. `batch`
+    closes all buckets at the end: a row at the end of the last one moves the watermark. `tail` leaves those
+    behind the watermark open for the next call.
     """
     if mode not in ("batch", "tail"):
         raise ValueError("mode must be batch or tail")
-    path = f"{root}/watermarks"
-    step = max(batch_ids(spark, path), default=-1) + 1
-    marks = read_batches(spark, path, MARKS)
-    taken = marks.agg(F.max("pair_batch")).first()[0]
-    new = [b for b in batch_ids(spark, f"{root}/pairs") if taken is None or b > taken]
-    for batch in new:
-        pairs = read_batches(spark, f"{root}/pairs", pair_schema(bp)).filter(F.col("batch_id") == batch)
-        with temporary_stages(spark):
-            advance_buckets(spark, bp, root, pairs, step, lateness)
-        step += 1
-    if mode == "batch":
-        with temporary_stages(spark):
-            advance_buckets(spark, bp, root, None, step, lateness)
+    path = f"{root}/taken"
+    run = max(batch_ids(spark, path), default=-1)
+    last = next(iter(read_batches(spark, path, MARKS).filter(F.col("batch_id") == run).collect()), None)
+    newest, taken = (last.newest, last.pair_batch) if last else (None, -1)
+    new = [b for b in batch_ids(spark, f"{root}/pairs") if b > taken]
+    if not new and (mode == "tail" or newest is None):
+        return 0
+    if last is None:
+        write_batch(spark.createDataFrame([], "response_ts timestamp"), f"{root}/ends", 0)
+    if new:
+        arrived = read_batches(spark, f"{root}/pairs", pair_schema(bp)).filter(F.col("batch_id").isin(new))
+        seen = bucket_time(arrived, bp).agg(F.max(F.unix_micros("response_ts"))).first()[0]
+        newest = max([t for t in (newest, seen) if t is not None], default=None)
+    if mode == "batch" and newest is not None:
+        # Taken in with the last pairs; the watermark, and so what is late, changes after them.
+        size = bp.bucket_seconds * 1_000_000
+        end = newest - newest % size + size + lateness // timedelta(microseconds=1)
+        mark = spark.range(1).select(F.timestamp_micros(F.lit(end)).alias("response_ts"))
+        write_batch(mark, f"{root}/ends", run + 2)
+    _count_buckets(spark, bp, root, lateness, new or [taken])
+    write_batch(spark.createDataFrame([(newest, max([taken, *new]))], MARKS), path, run + 1)
     return len(new)
 
 
+def _count_buckets(spark: SparkSession, bp: Blueprint, root: str, lateness: timedelta, batches: list) -> None:
+    groups = ["bucket_start", *bp.dimension_columns, "late"]
+
+    def close_buckets(rows: DataFrame, batch_id: int) -> None:
+        with temporary_stages(spark):
+            sums = [F.sum(c).alias(c) for c in ("n", "success_count", "error_count")]
+            # The counts feed several branches of the percentile plan; they are written once.
+            counts = cut_lineage(rows.groupBy(*groups, "latency_ms").agg(*sums))
+            if not counts.isEmpty():
+                write_batch(buckets_from_counts(counts, groups, bp), f"{root}/buckets", batch_id)
+
+    with keyed_state(spark):
+        counted = count_in_state(_pairs_arriving(spark, bp, root, batches), bp, lateness)
+        writer = counted.writeStream.foreachBatch(close_buckets)
+        writer.option("checkpointLocation", f"{root}/_progress/buckets").trigger(availableNow=True).start().awaitTermination()
+
+
 def bucket_schema(bp: Blueprint) -> str:
     dims = "".join(f", `{c}` string" for c in bp.dimension_columns)
     return (
