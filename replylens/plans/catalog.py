@@ -21,6 +21,7 @@ from replylens.operators import reports as R
 from replylens.plans import inputs as I
 from replylens.session import cut_lineage, scratch_path
 from replylens.sources import files, tables
+from replylens.streaming import export as X
 from replylens.streaming import state as K
 from replylens.streaming import tail as S
 
@@ -607,6 +608,20 @@ def read_blocks(spark, sf_dir):
     return _parsed_blocks(files.read_blocks(spark, root, split_bytes=50_000))
 
 
+@query
+def stream_blocks(spark, sf_dir):
+    """Three deliveries of block files, followed by a stream with a restart after each."""
+    root = scratch_path(spark, "block-stream")
+    text = _block_text(spark, sf_dir)
+    ended = F.concat("value", F.lit("\n\n<=====>"))
+    for part in range(3):
+        text.filter(F.col("event_id") % 3 == part).select(ended.alias("value")).write.mode("append").text(f"{root}/in")
+        blocks = files.stream_growing(spark, f"{root}/in", split_bytes=50_000)
+        writer = blocks.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/progress")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return _parsed_blocks(spark.read.schema("source string, offset bigint, value string").parquet(f"{root}/out"))
+
+
 @query
 def read_blocks_whole_files(spark, sf_dir):
     root = _block_files(spark, sf_dir, "  <=====>\t")
@@ -889,6 +904,28 @@ def stream_late_pairs(spark, sf_dir):
     return S.stored_buckets(spark, I.CLICKS, root)
 
 
+@query
+def export_poll(spark, sf_dir):
+    """Three polls, a batch of pairs before each. Two deliveries fail, and one run crashes after its delivery:
+    the receiver keeps what came last under a number, so each pair counts once."""
+    root = scratch_path(spark, "poll")
+    trouble = ["before", "before", "after"]
+
+    def deliver(buckets, number):
+        if trouble and trouble[-1 if number else 0] == "before":
+            trouble.pop(0)
+            raise IOError("503")
+        tables.write_batch(buckets, f"{root}/delivered", number)
+        if trouble and number:
+            raise IOError(trouble.pop())
+
+    third = F.col("response_id.row") % 3
+    for batch in range(3):
+        _pair_batches(spark, sf_dir, root, [third == i for i in range(batch + 1)])
+        X.export_poll(spark, I.CLICKS, root, deliver, polls=1, wait=lambda seconds: None)
+    return spark.read.parquet(f"{root}/delivered").withColumnRenamed("batch_id", "batch").withColumn("batch", F.col("batch").cast("bigint"))
+
+
 @query
 def ingest_identity(spark, sf_dir):
     """Records that differ only in a field the blueprint does not name are events of their own;

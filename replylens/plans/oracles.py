@@ -297,6 +297,7 @@ def oracles() -> dict:
     sql["bucket_metrics_per_batch"] = with_(
         CLICK_PAIRS, buckets(86400, CLICK_DIMS, extra="batch", source="(SELECT *, pair_id % 3 AS batch FROM pairs)")
     )
+    sql["export_poll"] = sql["bucket_metrics_per_batch"]
     sql["bucket_time_fallback"] = with_(
         CLICK_PAIRS,
         f"SELECT {bucket('CASE WHEN pair_id % 2 = 0 THEN request_ts ELSE response_ts END', 86400)} AS bucket_start, "
@@ -431,6 +432,7 @@ ev AS (
     )
     sql["parse_blocks"] = with_(f"rec AS ({CLICK_RECORDS})", block)
     sql["read_blocks"] = sql["parse_blocks"]
+    sql["stream_blocks"] = sql["parse_blocks"]
     sql["read_blocks_whole_files"] = sql["parse_blocks"]
     sql["read_blocks_legacy"] = sql["parse_blocks"]
     sql["normalise_payment"] = with_(

@@ -69,8 +69,14 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_lines(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
-    """(source, value): one record per line of UTF-8 text. Large files are split."""
+def read_lines(spark: SparkSession, paths, glob: str | None = None, unfinished: bool = True) -> DataFrame:
+    """(source, value): one record per line of UTF-8 text. Large files are split.
+
+    A last line without a line break counts, unless `unfinished` is False: then it is left for a later
+    read, when its writer has finished it.
+    """
+    if not unfinished:
+        return _ranges(spark, paths, glob, 128 << 20, False, "lines").select("source", "value")
     files = _paths(spark, paths, glob)
     if not files:
         return _empty(spark, "source string, value string")
@@ -97,15 +103,30 @@ def read_blocks(
     A block ends with a separator line; blank blocks and an unfinished last block are left
     out. `offset` is the block's place in its file; see `arrival`.
     """
+    return _ranges(spark, paths, glob, split_bytes, recursive, "blocks")
+
+
+def _ranges(spark, paths, glob, split_bytes, recursive, unit) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = list_files(spark, paths, glob, recursive)
     spark.dataSource.register(BlockSource)
-    return (
-        spark.read.format(BlockSource.name())
-        .option("files", json.dumps(files))
-        .option("splitBytes", split_bytes)
-        .load()
-    )
+    reader = spark.read.format(BlockSource.name()).option("unit", unit)
+    return reader.option("files", json.dumps(files)).option("splitBytes", split_bytes).load()
+
+
+def stream_growing(
+    spark: SparkSession, path: str, unit: str = "blocks", glob: str | None = None, split_bytes: int = 128 << 20
+) -> DataFrame:
+    """(source, offset, value): message blocks, or lines, of the files of a folder as they are written.
+
+    Files may grow: what is appended is read once, and a block or line without an end waits until it has
+    one. A file that became smaller is read again from its start; a rewrite of equal size is not noticed.
+    """
+    if unit not in ("blocks", "lines"):
+        raise ValueError("unit must be blocks or lines")
+    spark.dataSource.register(BlockSource)
+    reader = spark.readStream.format(BlockSource.name()).option("unit", unit).option("splitBytes", split_bytes)
+    return (reader.option("glob", glob) if glob else reader).load(path)
 
 
 def arrival() -> Column:
