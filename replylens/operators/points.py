@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replylens.blueprint import Blueprint, Metric, MetricSource, MetricType, column_of
+from replylens.session import cut_lineage
 
 PREFIX = "replylens."
 SERVICE = "replylens"
 DELTA = 1  # Fixed value: delta temporality in the metric document.
 NANOS = 1_000_000_000
+# Size of a packed document, and of the points that one task numbers.
+MOST_BYTES, PART_BYTES = 1 << 20, 256 << 20
 
 _COLUMN = {
     MetricSource.LATENCY_MS: "avg_latency_ms",
@@ -80,7 +85,9 @@ def metric_points(buckets: DataFrame, bp: Blueprint, prefix: str = PREFIX) -> Da
     ).select("start_ns", "end_ns", *bp.dimension_columns, "p.*")
 
 
-def _document_metric(metric: Metric, bp: Blueprint, prefix: str) -> Column:
+def _document_point(metric: Metric, bp: Blueprint) -> Column:
+    """JSON text of a bucket's point of a metric."""
+
     def text(c):
         return c.cast("string")
 
@@ -95,28 +102,33 @@ def _document_metric(metric: Metric, bp: Blueprint, prefix: str) -> Column:
     ]
     value = F.col(_COLUMN[metric.source])
     if metric.type is MetricType.HISTOGRAM:
-        point = F.struct(
-            *common,
+        own = [
             text(F.col("count")).alias("count"),
             (F.col("avg_latency_ms") * F.col("count")).alias("sum"),
             F.array(text(F.col("count"))).alias("bucketCounts"),
             F.array().cast("array<double>").alias("explicitBounds"),
-        )
-        body = F.struct(F.array(point).alias("dataPoints"), F.lit(DELTA).alias("aggregationTemporality"))
-        kind = "histogram"
+        ]
     elif metric.type is MetricType.COUNTER:
-        point = F.struct(*common, text(value.cast("bigint")).alias("asInt"))
-        body = F.struct(
-            F.array(point).alias("dataPoints"),
-            F.lit(DELTA).alias("aggregationTemporality"),
-            F.lit(True).alias("isMonotonic"),
-        )
-        kind = "sum"
+        own = [text(value.cast("bigint")).alias("asInt")]
     else:
-        point = F.struct(*common, value.cast("double").alias("asDouble"))
-        body = F.struct(F.array(point).alias("dataPoints"))
-        kind = "gauge"
-    return F.to_json(F.struct(F.lit(metric_name(metric.name, prefix)).alias("name"), body.alias(kind)))
+        own = [value.cast("double").alias("asDouble")]
+    return F.to_json(F.struct(*common, *own))
+
+
+# The form of a metric in a document, and what follows its points.
+_FORMS = {
+    MetricType.HISTOGRAM: ("histogram", f',"aggregationTemporality":{DELTA}'),
+    MetricType.COUNTER: ("sum", f',"aggregationTemporality":{DELTA},"isMonotonic":true'),
+    MetricType.GAUGE: ("gauge", ""),
+    MetricType.RATE: ("gauge", ""),
+}
+
+
+def _document_metric(metric: Metric, points: Column, prefix: str) -> Column:
+    """JSON text of a metric with `points`, JSON texts joined by commas."""
+    kind, more = _FORMS[metric.type]
+    name = json.dumps(metric_name(metric.name, prefix), ensure_ascii=False)
+    return F.concat(F.lit(f'{{"name":{name},"{kind}":{{"dataPoints":['), points, F.lit(f"]{more}}}}}"))
 
 
 def metric_documents(
@@ -127,7 +139,11 @@ def metric_documents(
     A document has as many metrics as the blueprint, so its size does not depend on the data
     and no rows have to be gathered.
     """
-    metrics = F.concat_ws(",", *[_document_metric(m, bp, prefix) for m in bp.metrics])
+    metrics = F.concat_ws(",", *[_document_metric(m, _document_point(m, bp), prefix) for m in bp.metrics])
+    return buckets.select("bucket_start", *bp.dimension_columns, _document(metrics, service).alias("document"))
+
+
+def _document(metrics: Column, service: str) -> Column:
     name = F.to_json(F.struct(F.lit(service).alias("stringValue")))
     head = F.concat(
         F.lit('{"resourceMetrics":[{"resource":{"attributes":[{"key":"service.name","value":'),
@@ -136,8 +152,35 @@ def metric_documents(
         F.to_json(F.struct(F.lit(service).alias("name"))),
         F.lit(',"metrics":['),
     )
-    document = F.concat(head, metrics, F.lit("]}]}]}"))
-    return buckets.select("bucket_start", *bp.dimension_columns, document.alias("document"))
+    return F.concat(head, metrics, F.lit("]}]}]}"))
+
+
+def packed_documents(
+    buckets: DataFrame, bp: Blueprint, prefix: str = PREFIX, service: str = SERVICE, most_bytes: int = MOST_BYTES
+) -> DataFrame:
+    """(part, pack, buckets, document): export documents of many buckets, each below `most_bytes`.
+
+    Every metric of a document has the points of all its buckets, each point once. Buckets are spread over
+    parts by a hash, numbered by running size inside a part, and a pack is closed at half of `most_bytes`,
+    so that its last bucket fits. A bucket that needs more than that half by itself may exceed the limit.
+    """
+    keys = ["bucket_start", *bp.dimension_columns]
+    texts = {f"p{i}": _document_point(m, bp) for i, m in enumerate(bp.metrics)}
+    rows = buckets.select(*keys, *[text.alias(name) for name, text in texts.items()])
+    rows = cut_lineage(rows.withColumn("bytes", F.octet_length(F.concat_ws(",", *texts)).cast("bigint")))
+    parts = max(1, -(-(rows.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES))
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).alias("part")
+    before = Window.partitionBy("part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    packs = (
+        rows.select("*", part)
+        .withColumn("pack", F.floor(filled / F.lit(most_bytes // 2)))
+        .groupBy("part", "pack")
+        .agg(F.count(F.lit(1)).alias("buckets"), F.sort_array(F.collect_list(F.struct(*keys, *texts))).alias("rows"))
+    )
+    joined = [F.array_join(F.col("rows")[name], ",") for name in texts]
+    metrics = F.concat_ws(",", *[_document_metric(m, points, prefix) for m, points in zip(bp.metrics, joined, strict=True)])
+    return packs.select("part", "pack", "buckets", _document(metrics, service).alias("document"))
 
 
 def timeout_points(transactions: DataFrame, granularity_seconds: int) -> DataFrame:

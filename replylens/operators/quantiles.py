@@ -1,9 +1,9 @@
 """Exact quantiles per group, without sorting a group's rows in one task.
 
 Rows are first counted per (group, value), which combines map-side. A group then has at most
-as many rows as distinct values. If that number may be too large for one task, values are also
-counted per cell of CELL_WIDTH values, the cell that holds the wanted rank is found from the
-cell counts, and only the values of that cell are ranked.
+as many rows as distinct values. If that number is too large for one task, ranks are found by radix
+selection: a level of DIGIT cells at a time, each counted map-side, and only the cells that hold a wanted
+rank are opened. So no task handles more than a fixed number of rows of a group.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from replylens.session import cut_lineage
 
 # Distinct values per group that one task may rank.
-MAX_VALUES = 4_000_000
-CELL_WIDTH = 4096
+MAX_VALUES = 65_536
+DIGIT = 4096
 
 
 def nearest_rank(q: float):
@@ -73,30 +73,48 @@ def summarise(
         hits = [F.max(F.when(_hit(rank), F.col(value))).alias(name) for name, rank in ranks.items()]
         return ranked.groupBy(*groups).agg(*stats, *hits)
 
-    rows = rows.withColumn("cell", F.col(value) - F.pmod(F.col(value), F.lit(CELL_WIDTH).cast("bigint")))
-    cells = rows.groupBy(*groups, "cell").agg(*stats)
-    placed = _ranked(cells, groups, "cell")
-    keys = [*groups, "cell"]
-    wanted = placed.filter(_any([_hit(rank) for rank in ranks.values()])).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], F.col("before").alias("offset"), "size"
-    )
-    # Each cell holds at most CELL_WIDTH distinct values, each group at most len(ranks) such cells.
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    near = rows.join(wanted, same).drop(*[f"_{k}" for k in keys])
-    inner = Window.partitionBy(*groups, "cell").orderBy(value)
-    near = near.withColumn(
-        "before",
-        F.col("offset")
-        + F.coalesce(F.sum("n").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    picks = near.select(
-        *groups, *[F.when(_hit(rank), F.col(value)).alias(name) for name, rank in ranks.items()]
-    )
-    return (
-        cells.unionByName(picks, allowMissingColumns=True)
-        .groupBy(*groups)
-        .agg(*stats, *[F.max(name).alias(name) for name in ranks])
-    )
+    whole = rows.groupBy(*groups).agg(*stats)
+    picked = _by_digits(counts, whole.select(*groups, "n", "low", "high"), groups, value, ranks)
+    # Without groups, both sides are one row.
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups] or [F.col("n").isNotNull() == F.col("_one")]
+    renamed = picked.select(*[F.col(g).alias(f"_{g}") for g in groups], *ranks, F.lit(True).alias("_one"))
+    return whole.join(renamed, same, "left").drop("_one", *[f"_{g}" for g in groups])
+
+
+def _by_digits(counts: DataFrame, whole: DataFrame, groups: list, value: str, ranks: dict) -> DataFrame:
+    """(groups, one column per rank): radix selection, a digit of DIGIT values per level.
+
+    A level counts rows per (group, cell so far, digit), which combines map-side, finds the digit that holds
+    each wanted rank from these at most DIGIT counts, and goes on with the values of those cells only.
+    """
+    low, high = whole.agg(F.min("low"), F.max("high")).first()
+    if low is None:
+        low = high = 0
+    width, levels = 1, 1
+    while width * DIGIT <= high - low:
+        width, levels = width * DIGIT, levels + 1
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("bigint").alias("rank")) for name, rank in ranks.items()]))
+    wanted = whole.select(*[F.col(g).alias(f"_{g}") for g in groups], each.alias("w"), F.lit(0).cast("bigint").alias("_cell"))
+    wanted = wanted.select(*[f"_{g}" for g in groups], "w.name", "w.rank", "_cell")
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups] + [F.col("cell") == F.col("_cell")]
+    place = f"(`{value}` - ({low}L))"
+    for level in range(levels):
+        cell = F.expr(f"{place} div {width * DIGIT}L") if level else F.lit(0).cast("bigint")
+        cells = counts.select(*groups, "n", cell.alias("cell"), F.expr(f"{place} div {width}L").alias("next"))
+        open_ = wanted.select(*[f"_{g}" for g in groups], "_cell").distinct()
+        inside = cells.join(open_, same, "left_semi").groupBy(*groups, "cell", "next").agg(F.sum("n").alias("n"))
+        before = Window.partitionBy(*groups, "cell").orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
+        placed = inside.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        hit = (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n"))
+        # Written, so that a level starts from what the last one found.
+        wanted = cut_lineage(
+            placed.join(wanted, same)
+            .filter(hit)
+            .select(*[f"_{g}" for g in groups], "name", (F.col("rank") - F.col("before")).alias("rank"), F.col("next").alias("_cell"))
+        )
+        width //= DIGIT
+    found = [F.max(F.when(F.col("name") == name, F.col("_cell") + F.lit(low).cast("bigint"))).alias(name) for name in ranks]
+    return wanted.groupBy(*[F.col(f"_{g}").alias(g) for g in groups]).agg(*found)
 
 
 def _ranked(rows: DataFrame, groups: list, value: str) -> DataFrame:
@@ -112,10 +130,3 @@ def _ranked(rows: DataFrame, groups: list, value: str) -> DataFrame:
 def _hit(rank) -> Column:
     wanted = rank(F.col("size"))
     return (F.col("before") < wanted) & (wanted <= F.col("before") + F.col("n"))
-
-
-def _any(conditions: list) -> Column:
-    result = F.lit(False)
-    for c in conditions:
-        result = result | c
-    return result

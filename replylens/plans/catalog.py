@@ -18,6 +18,7 @@ from replylens.operators import legacy as L
 from replylens.operators import parse as P
 from replylens.operators import points as M
 from replylens.operators import reports as R
+from replylens.operators import sketches as Z
 from replylens.plans import inputs as I
 from replylens.session import cut_lineage, scratch_path
 from replylens.sources import files, tables
@@ -312,7 +313,18 @@ def gauge_points(spark, sf_dir):
 
 @query
 def metric_documents(spark, sf_dir):
-    """The export documents, read back point by point."""
+    """The export documents, one per bucket row, read back point by point."""
+    return _read_points(M.metric_documents(_click_buckets(spark, sf_dir), I.CLICKS))
+
+
+@query
+def packed_documents(spark, sf_dir):
+    """Export documents of many buckets, below 16 KiB each, read back point by point."""
+    documents = M.packed_documents(_click_buckets(spark, sf_dir), I.CLICKS, most_bytes=16_384)
+    return _read_points(documents.filter(F.octet_length("document") < 16_384))
+
+
+def _read_points(documents):
     point = (
         "startTimeUnixNano string, timeUnixNano string, attributes array<struct<key string, value "
         "struct<stringValue string>>>, count string, sum double, asInt string, asDouble double"
@@ -323,14 +335,13 @@ def metric_documents(spark, sf_dir):
         "resourceMetrics array<struct<scopeMetrics: array<struct<metrics: array<struct<name: string, "
         f"histogram: {body}, sum: {body}, gauge: {body}>>>>>>"
     )
-    documents = M.metric_documents(_click_buckets(spark, sf_dir), I.CLICKS)
     metric = documents.select(F.from_json("document", schema).alias("d")).select(
         F.explode(F.col("d.resourceMetrics")[0]["scopeMetrics"][0]["metrics"]).alias("m")
     )
     kinds = {m.name: m.type.value for m in I.CLICKS.metrics}
     kind = F.element_at(F.create_map(*[F.lit(x) for n, t in kinds.items() for x in (M.metric_name(n), t)]), F.col("m.name"))
-    only = F.coalesce("m.histogram", "m.sum", "m.gauge")["dataPoints"][0]
-    return metric.select(F.col("m.name").alias("metric"), kind.alias("type"), only.alias("p")).select(
+    points = F.explode(F.coalesce("m.histogram", "m.sum", "m.gauge")["dataPoints"])
+    return metric.select(F.col("m.name").alias("metric"), kind.alias("type"), points.alias("p")).select(
         F.col("p.attributes")[0]["value"]["stringValue"].alias("channel"),
         "metric",
         "type",
@@ -374,6 +385,44 @@ def rollup_by_server(spark, sf_dir):
     return _rounded(R.rollup_by(B.bucket_metrics(pairs, I.CLICKS, per=["server"]), ["server", "channel"]))
 
 
+@query
+def rollup_sketches(spark, sf_dir):
+    """Sketches of three deltas of every bucket, merged to channels; p95 and distinct keys against exact ones."""
+    pairs = cut_lineage(_click_pairs(spark, sf_dir).withColumn("delta", F.col("pair_id") % 3))
+    merged = Z.merge_sketches(Z.bucket_sketches(pairs, I.CLICKS, per=["delta"]), ["channel"])
+    merged = merged.select(
+        "channel", "count", Z.latency_at(0.95).alias("p95"), Z.distinct_keys().alias("keys"),
+        F.round("mean", 4).alias("mean_ms"), F.round(F.sqrt(F.col("m2") / (F.col("count") - 1)), 4).alias("deviation_ms"),
+    )
+    named = merged.select(F.col("channel").alias("of"), "p95")
+    exact = (
+        pairs.join(named, F.col("channel") == F.col("of"))
+        .groupBy("of")
+        .agg(
+            F.avg((F.col("latency_ms") < F.col("p95")).cast("int")).alias("below"),
+            F.avg((F.col("latency_ms") <= F.col("p95")).cast("int")).alias("up_to"),
+            F.count_distinct("correlation_key").alias("distinct"),
+        )
+    )
+    ranked = (F.col("below") <= 0.95 + 2 * Z.KLL_RANK_ERROR) & (F.col("up_to") >= 0.95 - 2 * Z.KLL_RANK_ERROR)
+    close = F.abs(F.col("keys") - F.col("distinct")) <= 5 * Z.HLL_ERROR * F.col("distinct")
+    return merged.join(exact, F.col("channel") == F.col("of")).select(
+        "channel", "count", "mean_ms", "deviation_ms", ranked.alias("p95_within_error"), close.alias("keys_within_error")
+    )
+
+
+@query
+def outliers_per_batch(spark, sf_dir):
+    """Outliers of the last of three batches, by the merged moments of all; earlier batches are not read again."""
+    root = scratch_path(spark, "moments")
+    done = cut_lineage(_transactions(spark, sf_dir))
+    batches = [done.filter(F.col("pair_id") % 3 == i) for i in range(3)]
+    for number in range(2):
+        Z.store_moments(batches[number], "tat_millis", root, number)
+    late = Z.outliers_of_batch(spark, batches[2], "tat_millis", root, 2)
+    return late.select("pair_id", "stan", "tat_millis", "channel", "response_code")
+
+
 @query
 def cardinality(spark, sf_dir):
     return R.cardinality(_click_buckets(spark, sf_dir), ["channel"])

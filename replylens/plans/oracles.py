@@ -384,6 +384,12 @@ ev AS (
         "SELECT channel, metric, type, CAST(start_ns AS VARCHAR) AS start_ns, CAST(end_ns AS VARCHAR) AS end_ns, "
         f"CAST(coalesce(point_count, as_int) AS VARCHAR) AS whole, coalesce(point_sum, as_double) AS real FROM ({points()})",
     )
+    sql["packed_documents"] = sql["metric_documents"]
+    sql["rollup_sketches"] = with_(
+        CLICK_PAIRS,
+        "SELECT d1 AS channel, count(*) AS count, round(avg(latency_ms), 4) AS mean_ms, "
+        "round(stddev_samp(latency_ms), 4) AS deviation_ms, true AS p95_within_error, true AS keys_within_error FROM pairs GROUP BY d1",
+    )
     sql["histogram_points"] = with_(CLICK_BUCKETS, f"SELECT * FROM ({points()}) WHERE type = 'HISTOGRAM'")
     sql["counter_points"] = with_(CLICK_BUCKETS, f"SELECT * FROM ({points()}) WHERE type = 'COUNTER'")
     sql["gauge_points"] = with_(CLICK_BUCKETS, f"SELECT * FROM ({points()}) WHERE type IN ('GAUGE', 'RATE')")
@@ -605,6 +611,11 @@ ev AS (
         "SELECT pair_id, stan, tat_millis, channel, response_code FROM tx "
         "WHERE tat_millis > (SELECT avg(tat_millis) + 2.0 * stddev_samp(tat_millis) FROM tx)",
     )
+    sql["outliers_per_batch"] = with_(
+        CARD,
+        "SELECT pair_id, stan, tat_millis, channel, response_code FROM tx "
+        "WHERE pair_id % 3 = 2 AND tat_millis > (SELECT avg(tat_millis) + 2.0 * stddev_samp(tat_millis) FROM tx)",
+    )
     sql["p95_rank"] = with_(
         CARD, f"{percentiles(['channel', 'response_code'], (95,), 'tx')} ORDER BY p95 DESC, channel, response_code"
     )
