@@ -570,7 +570,7 @@ def read_json_lines_correlate(spark, sf_dir):
     root = scratch_path(spark, "lines")
     _json_lines(spark, sf_dir).select("value").write.text(root)
     records = _parse_nested(files.read_lines(spark, root))
-    return _as_clicks(C.correlate(E.matchable(records, NESTED), NESTED))
+    return _as_clicks(C.correlate(E.matchable(records, NESTED), NESTED, parsed_once=True))
 
 
 TEXT_PATTERN = r"id=(\d+) user=(\S+) type=(\w+)(?: status=(\w+))?"
@@ -601,7 +601,7 @@ def parse_regex_correlate(spark, sf_dir):
     pattern = r"(\S+) id=(\S+) (\S+) (\S+) (\S+) (\S+)"
     parsed = P.parse_regex(once(records, [text.alias("value")]).select("value"), pattern, groups)
     parsed = parsed.withColumn("event_id", F.col("event_id").cast("bigint"))
-    return C.correlate(E.matchable(parsed, I.CLICKS), I.CLICKS)
+    return C.correlate(E.matchable(parsed, I.CLICKS), I.CLICKS, parsed_once=True)
 
 
 def _block_text(spark, sf_dir):
@@ -706,7 +706,7 @@ def read_blocks_correlate(spark, sf_dir):
     pattern = r"(\S+)\nid=(\S+)\n(\S+)\n(\S+)\n(\S+)\n(\S+)"
     parsed = P.parse_regex(files.read_blocks(spark, root, split_bytes=50_000), pattern, groups)
     parsed = parsed.withColumn("event_id", F.col("event_id").cast("bigint"))
-    return C.correlate(E.matchable(parsed, I.CLICKS), I.CLICKS)
+    return C.correlate(E.matchable(parsed, I.CLICKS), I.CLICKS, parsed_once=True)
 
 
 @query

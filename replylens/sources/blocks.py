@@ -8,12 +8,11 @@ block) and reads past its end to finish the last one. So no block has to be shuf
 
 from __future__ import annotations
 
-import json
 import math
 import re
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 SEPARATOR = re.compile(rb"^[^\S\n]*<={5,}>[^\S\n]*\n", re.MULTILINE)
 CHUNK = 4 << 20
@@ -170,7 +169,7 @@ def lines_ending_in(stream, start: int, end: int):
         known = len(buffer)
 
 
-def _rows(partition, read):
+def _rows(ranges, read):
     """Record batches (source, offset, value) of what `read(stream, start, end)` finds in the ranges."""
     import pyarrow as pa
 
@@ -182,7 +181,7 @@ def _rows(partition, read):
         columns = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    for path, start, end in partition.parts:
+    for path, start, end in ranges:
         with open_file(path) as stream:
             for offset, raw in read(stream, start, end):
                 rows.append((path, offset, raw.decode("utf-8", "replace")))
@@ -212,6 +211,11 @@ UNITS = {
 }
 
 
+def read_ranges(ranges, unit: str):
+    """Record batches of the blocks that begin, or the lines that end, in ranges (path, start, end) of whole files."""
+    return _rows(ranges, (lambda *where: _filled(blocks_in_range(*where))) if unit == "blocks" else UNITS[unit])
+
+
 def files_in(path: str, glob: str | None) -> dict[str, int]:
     """{file: size} of a folder; hidden files and folders in it are left out."""
     from fnmatch import fnmatch
@@ -227,19 +231,6 @@ def files_in(path: str, glob: str | None) -> dict[str, int]:
     return found
 
 
-class BlockReader(DataSourceReader):
-    def __init__(self, options):
-        self.files = json.loads(options["files"])
-        self.split_bytes = int(options.get("splitBytes", 128 << 20))
-        self.unit = options.get("unit", "blocks")
-
-    def partitions(self):
-        return plan_ranges(self.files, self.split_bytes) or [Ranges([])]
-
-    def read(self, partition):
-        return _rows(partition, lambda *where: _filled(blocks_in_range(*where)) if self.unit == "blocks" else UNITS[self.unit](*where))
-
-
 class GrowingFiles(DataSourceStreamReader):
     """Offsets are sizes by file; see the top of this module."""
 
@@ -263,7 +254,7 @@ class GrowingFiles(DataSourceStreamReader):
         return plan_ranges(grown, self.split_bytes) or [Ranges([])]
 
     def read(self, partition):
-        return _rows(partition, UNITS[self.unit])
+        return _rows(partition.parts, UNITS[self.unit])
 
 
 class BlockSource(DataSource):
@@ -274,8 +265,5 @@ class BlockSource(DataSource):
     def schema(self):
         return "source string, offset bigint, value string"
 
-    def reader(self, schema):
-        return BlockReader(self.options)
-
     def streamReader(self, schema):
         return GrowingFiles(self.options)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import logging
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replylens.sources.blocks import BlockSource
+from replylens.sources.blocks import BlockSource, read_ranges
 
 log = logging.getLogger(__name__)
 
@@ -51,9 +51,27 @@ def list_files(spark: SparkSession, paths: list, glob: str | None = None, recurs
     return sorted(found.items())
 
 
-def _paths(spark, paths, glob) -> list:
+def _load(spark: SparkSession, paths, glob: str | None, schema: str, form: str, **options) -> DataFrame | None:
+    """`form` read from `paths`, listed by Spark; None if there is nothing to read.
+
+    Only where Spark refuses, because a given path is missing, or finds folders that look like partitions,
+    the files are listed here, with a warning for what is left out.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return [path for path, _ in list_files(spark, paths, glob)]
+    reader = spark.read.format(form).options(**options)
+    if paths:
+        try:
+            found = (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
+            if found.columns == schema.split():
+                return found
+        except PySparkException:
+            pass
+    files = [path for path, _ in list_files(spark, paths, glob)]
+    return spark.read.format(form).options(**options).load(files) if files else None
+
+
+def _text(spark: SparkSession, paths, glob: str | None, **options) -> DataFrame | None:
+    return _load(spark, paths, glob, "value", "text", **options)
 
 
 def _clean_lines(raw: DataFrame) -> DataFrame:
@@ -77,10 +95,8 @@ def read_lines(spark: SparkSession, paths, glob: str | None = None, unfinished:
     """
     if not unfinished:
         return _ranges(spark, paths, glob, 128 << 20, False, "lines").select("source", "value")
-    files = _paths(spark, paths, glob)
-    if not files:
-        return _empty(spark, "source string, value string")
-    return _clean_lines(spark.read.option("lineSep", "\n").text(files))
+    raw = _text(spark, paths, glob, lineSep="\n")
+    return _empty(spark, "source string, value string") if raw is None else _clean_lines(raw)
 
 
 def stream_lines(
@@ -107,11 +123,21 @@ def read_blocks(
 
 
 def _ranges(spark, paths, glob, split_bytes, recursive, unit) -> DataFrame:
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    files = list_files(spark, paths, glob, recursive)
-    spark.dataSource.register(BlockSource)
-    reader = spark.read.format(BlockSource.name()).option("unit", unit)
-    return reader.option("files", json.dumps(files)).option("splitBytes", split_bytes).load()
+    """Files are listed and cut into ranges by Spark; a task reads ranges of about `split_bytes`."""
+    schema = "source string, offset bigint, value string"
+    states = _states(spark, paths, glob, **({"recursiveFileLookup": "true"} if recursive else {}))
+    size = states.agg(F.sum("length")).first()[0] if states is not None else None
+    if not size:
+        return _empty(spark, schema)
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint")))
+    ranges = states.filter("length > 0").select("path", "length", starts.alias("start"))
+    ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, "length").alias("end"))
+
+    def read(batches):
+        for batch in batches:
+            yield from read_ranges(zip(*(c.to_pylist() for c in batch.columns), strict=True), unit)
+
+    return ranges.repartition(-(-size // split_bytes)).mapInArrow(read, schema)
 
 
 def stream_growing(
@@ -139,10 +165,9 @@ def read_blocks_whole_files(spark: SparkSession, paths, glob: str | None = None)
 
     Each file is one row at first, so this is for files well below the memory of a task.
     """
-    files = _paths(spark, paths, glob)
-    if not files:
+    whole = _text(spark, paths, glob, wholetext="true")
+    if whole is None:
         return _empty(spark, "source string, offset bigint, value string")
-    whole = spark.read.text(files, wholetext=True)
     text = F.regexp_replace("value", r"\r\n", "\n")
     # The piece after the last separator has no separator of its own and is dropped.
     pieces = F.split(text, SEPARATOR_LINE)
@@ -156,26 +181,26 @@ def read_blocks_whole_files(spark: SparkSession, paths, glob: str | None = None)
 
 def read_blocks_legacy(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """(source, value): text between literal `<=========>` marks; the last piece counts."""
-    files = _paths(spark, paths, glob)
-    if not files:
+    pieces = _text(spark, paths, glob, lineSep=LEGACY_SEPARATOR)
+    if pieces is None:
         return _empty(spark, "source string, value string")
     return (
-        spark.read.option("lineSep", LEGACY_SEPARATOR)
-        .text(files)
-        .select(F.col("_metadata.file_path").alias("source"), "value")
-        .filter(F.col("value").rlike(r"\S"))
+        pieces.select(F.col("_metadata.file_path").alias("source"), "value").filter(F.col("value").rlike(r"\S"))
     )
 
 
 def file_states(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """(path, length, modified) of the input files; their content is not read."""
-    files = _paths(spark, paths, glob)
-    if not files:
+    states = _states(spark, paths, glob)
+    if states is None:
         return _empty(spark, "path string, length bigint, modified timestamp")
-    states = spark.read.format("binaryFile").load(files)
     return states.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def _states(spark: SparkSession, paths, glob: str | None, **options) -> DataFrame | None:
+    return _load(spark, paths, glob, "path modificationTime length content", "binaryFile", **options)
+
+
 def changed_files(spark: SparkSession, paths, ledger: DataFrame, glob: str | None = None) -> DataFrame:
     """File states that the ledger does not hold: new, grown and rewritten files."""
     return file_states(spark, paths, glob).join(ledger, ["path", "length", "modified"], "left_anti")

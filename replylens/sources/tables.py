@@ -16,6 +16,7 @@ its place in that batch's input, so ids follow the input and have no bounds.
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from replylens.operators.events import split_rejects, valid_events
 from replylens.session import cut_lineage, temporary_stages
 
 EVENT_ID = "struct<batch:bigint,row:bigint>"
+FILES_AT_ONCE = 10_000
 
 
 def _cleaned(step):
@@ -57,12 +59,21 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple = (
 
 
 def read_batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
-    """The table's rows, or those of the batches before `before`; empty if there are none."""
+    """The table's rows, or those of the batches before `before`; empty if there are none.
+
+    The folder is read as one table, partitioned by batch_id; batches that were not written completely are
+    left out.
+    """
     ids = [b for b in batch_ids(spark, path) if before is None or b < before]
     if not ids:
         return spark.createDataFrame([], schema + ", batch_id bigint")
-    reader = spark.read.schema(schema + ", batch_id bigint").option("basePath", path)
-    return reader.parquet(*[f"{path}/batch_id={b}" for b in ids])
+    table = spark.read.schema(schema + ", batch_id bigint").parquet(path)
+    if before is not None:
+        table = table.filter(F.col("batch_id") < before)
+    where, fs = _folder(spark, f"{path}/batch_id=*")
+    begun = {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(where) or []}
+    unfinished = [b for b in begun - set(ids) if before is None or b < before]
+    return table.filter(~F.col("batch_id").isin(unfinished)) if unfinished else table
 
 
 def drop_batches(spark: SparkSession, path: str, before: int) -> None:
@@ -157,18 +168,38 @@ def export_once(spark: SparkSession, bp: Blueprint, root: str, deliver, limit: i
     from replylens.operators.buckets import bucket_metrics
 
     path = f"{root}/exports"
-    pairs = read_batches(spark, f"{root}/pairs", pair_schema(bp)).drop("batch_id")
-    done = read_batches(spark, path, f"pair_id {EVENT_ID}, exported_at timestamp")
+    pairs, done = _since_last_full(spark, root, "pairs", pair_schema(bp), "exports", f"pair_id {EVENT_ID}, exported_at timestamp")
+    newest = max(batch_ids(spark, f"{root}/pairs"), default=-1)
     taken = cut_lineage(unexported(pairs, done, limit))
     number = taken.count()
-    if not number:
-        return 0
-    deliver(bucket_metrics(taken, bp))
-    batch = max(batch_ids(spark, path), default=-1) + 1
-    write_batch(taken.select("pair_id", F.current_timestamp().alias("exported_at")), path, batch)
+    batch = max(batch_ids(spark, path), default=-1)
+    if number:
+        deliver(bucket_metrics(taken, bp))
+        batch += 1
+        write_batch(taken.select("pair_id", F.current_timestamp().alias("exported_at")), path, batch)
+        if limit is None or number < limit:
+            _mark_full(spark, root, "exports", newest, batch)
     return number
 
 
+FULL = "upto bigint, ledger bigint"
+
+
+def _since_last_full(spark: SparkSession, root: str, name: str, schema: str, ledger: str, ledger_schema: str) -> tuple:
+    """(rows, ledger entries) that the last export which left nothing has not seen: other batches are not read."""
+    marks = read_batches(spark, f"{root}/{ledger}_full", FULL)
+    last = marks.agg(F.max("upto").alias("upto"), F.max("ledger").alias("ledger")).first()
+    upto, seen = (-1 if v is None else v for v in last)
+    rows = read_batches(spark, f"{root}/{name}", schema).filter(F.col("batch_id") > upto).drop("batch_id")
+    return rows, read_batches(spark, f"{root}/{ledger}", ledger_schema).filter(F.col("batch_id") > seen)
+
+
+def _mark_full(spark: SparkSession, root: str, ledger: str, upto: int, batch: int) -> None:
+    path = f"{root}/{ledger}_full"
+    write_batch(spark.createDataFrame([(upto, batch)], FULL), path, batch)
+    drop_batches(spark, path, batch)
+
+
 def drain(export, attempts: int = 3) -> int:
     """Call `export()`, which returns how much it delivered, until that is nothing; returns the sum.
 
@@ -242,8 +273,8 @@ def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, g
     """Read new, grown and rewritten files whole; events already stored are dropped by identity.
 
     `read(paths)` gives flat records; a MAP column `fields`, as `parse_json` adds it, is taken as the
-    whole record, else all their columns are. Returns the number of files read. The file states are
-    recorded last, so a failed run is repeated.
+    whole record, else all their columns are. Returns the number of files read. Files are taken
+    in groups of `FILES_AT_ONCE`, a batch each; a group's states are recorded last, so a failed one is repeated.
     """
     from replylens.operators.events import normalise
     from replylens.sources.files import changed_files
@@ -252,12 +283,15 @@ def ingest_changed(spark: SparkSession, bp: Blueprint, root: str, paths, read, g
     schema = "path string, length bigint, modified timestamp"
     seen = read_batches(spark, path, schema).drop("batch_id")
     changed = cut_lineage(changed_files(spark, paths, seen, glob))
-    names = [r["path"] for r in changed.select("path").collect()]
-    if names:
+    total = 0
+    names = (r["path"] for r in changed.select("path").orderBy("path").toLocalIterator())
+    while group := list(itertools.islice(names, FILES_AT_ONCE)):
         batch = max(batch_ids(spark, f"{root}/raw_events"), default=-1) + 1
-        store_events(normalise(read(names), bp, keep=[], payload=True), bp, root, batch)
-        write_batch(changed, path, max(batch_ids(spark, path), default=-1) + 1)
-    return len(names)
+        store_events(normalise(read(group), bp, keep=[], payload=True), bp, root, batch)
+        taken = changed.filter(F.col("path").between(group[0], group[-1]))
+        write_batch(taken, path, max(batch_ids(spark, path), default=-1) + 1)
+        total += len(group)
+    return total
 
 
 @_cleaned
