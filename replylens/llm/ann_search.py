@@ -201,22 +201,18 @@ def _search(points: DataFrame, asked: DataFrame, k: int, sample: int, recall: fl
         asked.groupBy("vec_hash", "vec").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("question"), "vec_hash", "vec")
     )
 
-    def first_cells(batches):
+    def own_cells(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [shared.value.visit(vec, layout.value[0], 1)[0] for vec in _matrix(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], names=["question", "vec", "first_cell"])
+            cells = shared.value.cells(_matrix(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int32())], names=["question", "vec", "own_cell"])
 
-    # A traversal is work for a task, however few bytes the questions have.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    opened = cut_lineage(
-        questions.select("question", "vec").repartition(tasks, "question").mapInArrow(first_cells, "question long, vec array<double>, first_cell int")
-    )
-    # Questions that begin in the same cells visit the same shards, so they share a block.
-    per_cell = opened.groupBy("first_cell").count().toPandas()
+    opened = cut_lineage(questions.select("question", "vec").mapInArrow(own_cells, "question long, vec array<double>, own_cell int"))
+    # Questions of the same cells visit much the same shards, so they share a block.
+    per_cell = opened.groupBy("own_cell").count().toPandas()
     begun = np.zeros(len(occupied), np.int64)
-    begun[per_cell["first_cell"]] = per_cell["count"]
+    begun[per_cell["own_cell"]] = per_cell["count"]
     blocks = spark.sparkContext.broadcast(_layout(begun, per_block))
 
     def to_shards(batches):
@@ -243,6 +239,8 @@ def _search(points: DataFrame, asked: DataFrame, k: int, sample: int, recall: fl
                     names=["shard", "block", "question", "vec", "cells"],
                 )
 
+    # A traversal is work for a task, however few bytes the questions have.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = cut_lineage(
         opened.repartition(tasks, "question").mapInArrow(to_shards, "shard int, block int, question long, vec array<double>, cells array<int>")
     )

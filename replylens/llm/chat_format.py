@@ -8,7 +8,8 @@ conversation by the template
 
     ### {role}\n{text}</turn>\n
 
-and marks what the loss covers. `read_turns` reads turns, loss text and attachments back.
+and marks what the loss covers. `read_turns` reads turns and loss text back, `read_messages` typed parts with
+their attachments.
 
 Escaping: `\` becomes `\\`, a backslash goes after the first character of `</turn>`, after a `#`
 that two more follow, after the first `<|` character of a placeholder look-alike, and a line end in a
@@ -35,10 +36,21 @@ PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,se
 PATCH, FRAMES, PAGE = 14, 25, 512
 
 
+# A placeholder until the texts around it are escaped; texts have no backslash but in pairs by then.
+OPENED, CLOSED = "\\P{", "}"
+PLACEHOLDER = r"<\|[^|\\]*:\d+\|>"
+
+
+def doubled(text: Column) -> Column:
+    return F.replace(text, F.lit("\\"), F.lit("\\\\"))
+
+
+def broken(text: Column) -> Column:
+    return F.regexp_replace(text, r"<(?=/turn>)|#(?=##)|<(?=\|)", r"$0\\")
+
+
 def escape(text: Column) -> Column:
-    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    broken = F.regexp_replace(doubled, r"<(?=/turn>)|#(?=##)|<(?=\|)", r"$0\\")
-    return broken
+    return broken(doubled(text))
 
 
 def escape_role(role: Column) -> Column:
@@ -82,19 +94,22 @@ def flatten_parts(parts: Column) -> Column:
     number_of = F.map_from_arrays(
         F.transform(attachments, lambda a: a["position"]), F.transform(attachments, lambda a: a["number"])
     )
+    holder = lambda x: F.concat(
+        F.lit(OPENED),
+        F.regexp_replace(kind(x["part"]), r"[^A-Za-z0-9_-]", "_"),
+        F.lit(":"),
+        F.element_at(number_of, x["position"]).cast("string"),
+        F.lit(CLOSED),
+    )
+    # Control strings may lie across neighbouring text parts, so these are broken up after joining.
     texts = F.transform(
-        numbered,
-        lambda x: F.when(x["part"]["type"] == "text", escape(F.coalesce(x["part"]["text"], F.lit("")))).otherwise(
-            F.concat(
-                F.lit("<|"),
-                escape_role(kind(x["part"])),
-                F.lit(":"),
-                F.element_at(number_of, x["position"]).cast("string"),
-                F.lit("|>"),
-            )
-        ),
+        numbered, lambda x: F.when(x["part"]["type"] == "text", doubled(F.coalesce(x["part"]["text"], F.lit("")))).otherwise(holder(x))
     )
-    return F.struct(F.array_join(texts, "").alias("content"), attachments.alias("attachments"))
+    joined = broken(F.array_join(texts, ""))
+    opened = F.regexp_replace(joined, r"(?<!\\)((?:\\\\)*)\\P\{([A-Za-z0-9_-]+:\d+)\}", r"$1<|$2|>")
+    only = F.coalesce(parts[0]["text"], F.lit(""))
+    plain = (F.size(parts) == 1) & F.equal_null(parts[0]["type"], F.lit("text"))
+    return F.struct(F.when(plain, escape(only)).otherwise(opened).alias("content"), attachments.alias("attachments"))
 
 
 def text_parts(text: Column) -> Column:
@@ -176,6 +191,29 @@ def read_turns(formatted: DataFrame) -> DataFrame:
     )
 
 
+def read_messages(formatted: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, parts), one row per turn, read back from `formatted` and `attachments`.
+
+    parts are (type, text, ref): the texts between placeholders, empty ones left out and neighbouring
+    ones joined, and the attachments that the placeholders stand for.
+    """
+    pieces = F.split("formatted", END, -1)
+    turn = F.posexplode(F.slice(pieces, 1, F.size(pieces) - 1)).alias("turn", "segment")
+    rows = formatted.select("conv_id", turn, "attachments")
+    header_end = F.instr("segment", F.lit("\n"))
+    role = unescape(F.substr("segment", F.lit(5), header_end - 5))
+    texts = F.transform(
+        F.split(F.substr("segment", header_end + 1), PLACEHOLDER, -1),
+        lambda t: F.struct(F.lit("text").alias("type"), unescape(t).alias("text"), F.lit(None).cast("string").alias("ref")),
+    )
+    own = F.filter("attachments", lambda a: a["turn"] == F.col("turn"))
+    held = F.transform(
+        own, lambda a: F.struct(a["kind"].alias("type"), F.lit(None).cast("string").alias("text"), a["ref"].alias("ref"))
+    )
+    both = F.zip_with(texts, held, lambda t, a: F.array(F.when(t["text"] != "", t), a))
+    return rows.select("conv_id", "turn", role.alias("role"), F.filter(F.flatten(both), lambda p: p.isNotNull()).alias("parts"))
+
+
 def chat_report(conversations: DataFrame) -> DataFrame:
     """Per conversation, read back from the output: turns, loss text and lengths."""
     messages = conversations.select("conv_id", "turn", "role", text_parts(F.coalesce("text", F.lit(""))).alias("parts"))

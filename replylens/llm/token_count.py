@@ -124,6 +124,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, limit: int =
     if missing is not None:
         counted = missing.select("digest", "content").mapInArrow(encode, "digest binary, n_tokens long")
         counted.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    # Two runs at once may both have stored a content.
-    counts = stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return narrow.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Two runs at once may both have stored a content. Written, so that the join is one of plain exchanges,
+    # which the adaptive execution splits where a digest is hot.
+    counts = cut_lineage(stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    return narrow.join(counts.hint("merge"), "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
