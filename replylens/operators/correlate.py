@@ -167,12 +167,12 @@ def _last_in_chain(asked: DataFrame, timeout_us: int, per_segment: int) -> DataF
         hops = moved.unionByName(hops.filter(F.col("done")))
 
 
-def _match(events, position, fields, timeout_us, hot_rows, per_segment, parsed_once=False) -> DataFrame:
+def _match(events, position, fields, timeout_us, hot_rows, per_segment, parsed_once=None) -> DataFrame:
     steps = _steps(events, position, fields)
     if hot_rows is None:
         return _match_by_key(steps, timeout_us)
-    if parsed_once:
-        # Counted and matched from the narrow rows, so that a text source is read and parsed once.
+    if not skew.is_columnar_scan(steps) if parsed_once is None else parsed_once:
+        # Counted and matched from the narrow rows, so that a source is read and parsed once.
         steps = cut_lineage(steps)
     hot = skew.find_hot_keys(steps, KEY, hot_rows)
     if not hot.keys:
@@ -187,14 +187,14 @@ def correlate(
     empty_as_null: bool = False,
     hot_rows: int | None = HOT_ROWS,
     per_segment: int = skew.ROWS_PER_SEGMENT,
-    parsed_once: bool = False,
+    parsed_once: bool | None = None,
 ) -> DataFrame:
     """Events (event_id, correlation_key, role, event_ts, carried fields) -> pairs.
 
     Keys with more than `hot_rows` events are matched in segments; `None` skips the count of
-    events per key, which reads the key column once and is the only guard against a key that is too
-    large for one task. Set `parsed_once` for a source that is costly to read twice, such as text: the narrow
-    rows are then written first, and counted and matched from there. The result is the same either way. A response belongs to at most one pair,
+    events per key, which is the only guard against a key that is too large for one task. Filters and
+    projections of Parquet or ORC files are scanned for the keys alone; for any other source, or with `parsed_once`,
+    the narrow rows are written first, and counted and matched from there, so it is evaluated once. The result is the same either way. A response belongs to at most one pair,
     so its id serves as the pair's id.
     """
     matched = _match(events, F.unix_micros("event_ts"), bp.carried_columns, bp.timeout_us, hot_rows, per_segment, parsed_once)

@@ -9,6 +9,7 @@ carried through a small summary (one row per key and segment).
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +36,14 @@ class HotKeys:
         return F.broadcast(df) if self.keys <= BROADCAST_KEYS else df
 
 
+def is_columnar_scan(df: DataFrame) -> bool:
+    """Whether `df` only filters and projects columnar files, so that one of its columns is cheap to read again."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    nodes = [re.match(r"[\s:+\-]*(\w+)", line) for line in lines]
+    files = all(re.search(r"\] (parquet|orc)$", line) for line in lines if " Relation [" in f" {line.lstrip(' :+-')}")
+    return files and all(n and n[1] in ("Project", "Filter", "Union", "Relation") for n in nodes)
+
+
 def find_hot_keys(df: DataFrame, key: str, min_rows: int) -> HotKeys:
     """All keys with more than `min_rows` rows. The count is combined map-side and reads the key column only."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > min_rows)
