@@ -170,12 +170,51 @@ def _flat_map(texts: pd.Series) -> pd.Series:
 def parse_json(df: DataFrame, value: str = "value", name: str = "fields") -> DataFrame:
     """Add the whole record as a flat MAP (any depth, numbers as written); NULL if malformed.
 
-    For records whose field names are not known beforehand. Known fields are cheaper to take
-    with `parse_json_fields`, which stays in the JVM.
+    For records whose field names are not known beforehand and whose numbers must keep their text.
+    `flatten_json` does without Python; known fields are cheapest to take with `parse_json_fields`.
     """
     return df.withColumn(name, _flat_map(F.col(value)))
 
 
+def flatten_json(df: DataFrame, value: str = "value", name: str = "fields") -> DataFrame:
+    """Add the whole record as a flat MAP (any depth); NULL if malformed. All in the JVM, by VARIANT values.
+
+    As `parse_json`, but numbers lose their text: zeros at the end of a fraction go (`1.50` is `1.5`), and exponents
+    and more than 38 digits become doubles (`1e5` is `100000.0`). A name twice in one object is malformed. If a name
+    with dots and a nested one are the same, the most nested counts, and of equally nested ones the largest text.
+    """
+    options = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+    # Inside brackets, text after the object makes the whole array malformed.
+    boxed = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<variant>", options)
+    found = once(df, [boxed.alias("_variants")])
+    record = F.when(F.size("_variants") == 1, F.get("_variants", F.lit(0)))
+    members = lambda variant: F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>"))
+    entry = lambda key, variant, depth: F.struct(key.alias("key"), variant.alias("value"), depth.alias("depth"))
+
+    def opened(e):
+        inner = F.transform(members(e["value"]), lambda m: entry(F.concat(e["key"], F.lit("."), m["key"]), m["value"], e["depth"] + 1))
+        return F.coalesce(inner, F.array(e))
+
+    # One step opens all objects of a level; a schema names each level of objects at least once.
+    steps = F.regexp_count(F.schema_of_variant(record), F.lit("OBJECT<")) - 1
+    top = F.transform(members(record), lambda m: entry(m["key"], m["value"], F.lit(1)))
+    none = F.slice(F.array(F.lit(0)), 1, 0)
+    levels = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(none)
+    flat = F.reduce(levels, top, lambda entries, _: F.flatten(F.transform(entries, opened)))
+    texts = F.transform(flat, lambda e: entry(e["key"], e["value"].cast("string"), e["depth"]))
+    found = once(found, [F.filter(texts, lambda e: e["value"].isNotNull()).alias("_entries")])
+    entries, keys = F.col("_entries"), F.array_distinct("_entries.key")
+
+    def most_nested(key):
+        same = F.filter(entries, lambda e: e["key"] == key)
+        return F.array_max(F.transform(same, lambda e: F.struct(e["depth"], e["value"].alias("value"))))["value"]
+
+    pairs = F.transform(entries, lambda e: F.struct(e["key"], e["value"]))
+    chosen = F.transform(keys, lambda key: F.struct(key.alias("key"), most_nested(key).alias("value")))
+    flat_map = F.map_from_entries(F.when(F.size(keys) == F.size(entries), pairs).otherwise(chosen))
+    return found.withColumn(name, flat_map).drop("_variants", "_entries")
+
+
 def fields_as_columns(df: DataFrame, fields: list, name: str = "fields") -> DataFrame:
     keep = [F.col(c) for c in df.columns if c != name]
     return df.select(*keep, *[F.element_at(name, F.lit(f)).alias(f) for f in fields])

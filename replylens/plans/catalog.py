@@ -547,6 +547,12 @@ def parse_json(spark, sf_dir):
     return _underscored(P.fields_as_columns(P.parse_json(lines), JSON_FIELDS))
 
 
+@query
+def flatten_json(spark, sf_dir):
+    lines = _json_lines(spark, sf_dir).select("value")
+    return _underscored(P.fields_as_columns(P.flatten_json(lines), JSON_FIELDS))
+
+
 @query
 def parse_json_fields(spark, sf_dir):
     return _underscored(P.parse_json_fields(_json_lines(spark, sf_dir).select("value"), JSON_FIELDS))

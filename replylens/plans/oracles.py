@@ -423,7 +423,7 @@ ev AS (
         "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS ts, channel AS meta_channel, status AS meta_status, "
         "'[1,' || CAST(event_id % 7 AS VARCHAR) || ']' AS tags FROM rec",
     )
-    sql["parse_json_fields"] = sql["parse_json"]
+    sql["parse_json_fields"] = sql["flatten_json"] = sql["parse_json"]
     sql["parse_regex"] = with_(
         f"rec AS ({CLICK_RECORDS})",
         "SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, "

@@ -126,3 +126,30 @@ def test_block_lines_take_their_first_match(spark):
     block = "Pid: 1 Pid: 2\nMessageId: 1200 MessageId: 1210\n"
     row = P.parse_payment_block(spark.createDataFrame([(block,)], "value string")).first()
     assert (row["pid"], row["message_id"]) == (1, "1200")
+
+
+DEEP = '{"k":' * 40 + '{"end":[{"x":1},{"y":{"z":"t"}}]}' + "}" * 40
+
+
+def test_flatten_json_equals_parse_json(spark):
+    """Malformed, odd and deep records; numbers whose text differs and names twice in an object are below."""
+    rows = [t for t in BAD_AND_ODD if t is None or ("2.0" not in t and t.count('"a":') < 2)]
+    rows += [DEEP, '{"a":{},"b":{"c":{}}}', '{"a.b.c":"1","a":{"b":{"c":"3"},"b.c":"2"}}', '{"s":"OBJECT<","a b":{"":"e"}}', '{"l":[{"a":1},"x",null]}']
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, value string")
+    got = {r["i"]: r["fields"] for r in P.flatten_json(df).collect()}
+    want = {r["i"]: r["fields"] for r in P.parse_json(df).collect()}
+    assert P.flatten_json(df).columns == ["i", "value", "fields"]
+    for i, text in enumerate(rows):
+        assert got[i] == want[i], text
+    assert got[rows.index(DEEP)] == {"k." * 40 + "end": '[{"x":1},{"y":{"z":"t"}}]'}
+
+
+def test_flatten_json_numbers_and_repeated_names(spark):
+    row = P.flatten_json(texts(spark, '{"a":1.50,"b":1e5,"c":{"d":[2.0]},"e":12345678901234567890}')).first()["fields"]
+    assert row == {"a": "1.5", "b": "100000.0", "c.d": "[2]", "e": "12345678901234567890"}
+    assert P.flatten_json(texts(spark, '{"a":1,"a":2}')).first()["fields"] is None
+
+
+def test_flatten_json_stays_in_the_jvm(spark):
+    plan = P.flatten_json(texts(spark, RECORD))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
