@@ -108,13 +108,13 @@ def short_hash(value: str) -> int:
 
 
 class Branch:
-    """A block element of the style tree; its path is a running hash, so that depth costs nothing."""
+    """A block element of the style tree."""
 
-    __slots__ = ("path", "parent", "labels", "filled")
+    __slots__ = ("label", "path", "parent", "labels", "filled")
 
     def __init__(self, label: str, parent: Branch | None):
-        self.path = short_hash(f"{parent.path}/{label}") if parent else 0
-        self.parent = parent
+        self.label, self.parent = label, parent
+        self.path = 0
         self.labels: list[str] = []
         self.filled = False
 
@@ -134,16 +134,18 @@ class Element:
 
 
 class Leaf:
-    """A block of text with its features and what the tree may do with it."""
+    """A block of text and what the tree may do with it."""
 
-    __slots__ = ("branch", "main", "text", "features", "links", "may")
+    __slots__ = ("branch", "main", "text", "targets", "links", "may")
 
     def __init__(self, owner: Element, text: str, links: bool, targets: list):
-        self.branch, self.main, self.text, self.links = owner.branch, owner.main, text, links
-        self.features = {*text.split(), *(f"href {t}" for t in targets)} if links else {f"text {text}"}
+        self.branch, self.main, self.text, self.links, self.targets = owner.branch, owner.main, text, links, targets
         # Without an article or main element all blocks are the tree's.
         self.may = OPEN if owner.doubtful else RECURRING if links and not owner.heading else CLOSED
 
+    def features(self) -> set:
+        return {*self.text.split(), *(f"href {t}" for t in self.targets)} if self.links else {f"text {self.text}"}
+
 
 class Page:
     """Leaves of a page in order and its branches, parents first. Noise is left out."""
@@ -290,15 +292,23 @@ class Page:
 
     def tree_rows(self):
         """(number, path, feature, flags) of the leaves' features; see the flags above."""
+        self._hash_paths()
         # Leaves have a path of their own below their branch.
         return self._flagged(
-            ((i, leaf.branch.path ^ 1, short_hash(f)) for i, leaf in enumerate(self.leaves) for f in sorted(leaf.features)), 0
+            ((i, leaf.branch.path ^ 1, short_hash(f)) for i, leaf in enumerate(self.leaves) for f in sorted(leaf.features())), 0
         )
 
     def branch_rows(self):
         """The same of the styles of the branches that hold text."""
+        self._hash_paths()
         return self._flagged(((i, b.path, b.style()) for i, b in enumerate(self.branches) if b.filled), STYLE)
 
+    def _hash_paths(self):
+        """Paths are running hashes, so that depth costs nothing. Only the merged tree needs them."""
+        for branch in self.branches[1:]:
+            if branch.filled and not branch.path:
+                branch.path = short_hash(f"{branch.parent.path}/{branch.label}")
+
     @staticmethod
     def _flagged(nodes, flags: int):
         seen = set()
