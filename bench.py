@@ -41,6 +41,7 @@ HEADLINE = [
     "metric_documents",
     "parse_json_fields",
     "parse_json",
+    "flatten_json",
     "parse_regex",
     "parse_blocks",
     "read_json_lines_correlate",
