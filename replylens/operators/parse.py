@@ -187,7 +187,8 @@ def flatten_json(df: DataFrame, value: str = "value", name: str = "fields") -> D
     # Inside brackets, text after the object makes the whole array malformed.
     boxed = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<variant>", options)
     found = once(df, [boxed.alias("_variants")])
-    record = F.when(F.size("_variants") == 1, F.get("_variants", F.lit(0)))
+    record = F.col("_record")
+    found = once(found, [F.when(F.size("_variants") == 1, F.get("_variants", F.lit(0))).alias("_record")]).drop("_variants")
     members = lambda variant: F.map_entries(F.try_variant_get(variant, "$", "map<string,variant>"))
     entry = lambda key, variant, depth: F.struct(key.alias("key"), variant.alias("value"), depth.alias("depth"))
 
@@ -212,7 +213,7 @@ def flatten_json(df: DataFrame, value: str = "value", name: str = "fields") -> D
     pairs = F.transform(entries, lambda e: F.struct(e["key"], e["value"]))
     chosen = F.transform(keys, lambda key: F.struct(key.alias("key"), most_nested(key).alias("value")))
     flat_map = F.map_from_entries(F.when(F.size(keys) == F.size(entries), pairs).otherwise(chosen))
-    return found.withColumn(name, flat_map).drop("_variants", "_entries")
+    return once(found.drop(name), [flat_map.alias(name)]).drop("_record", "_entries")
 
 
 def fields_as_columns(df: DataFrame, fields: list, name: str = "fields") -> DataFrame:
