@@ -66,13 +66,14 @@ def temporary_stages(spark: SparkSession):
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write `df` to the shared folder and go on from there.
 
-    A lost executor then costs no recomputation, and the columns can still be pruned.
+    A lost executor then costs no recomputation, and the columns can still be pruned. `partition_by` names the
+    columns of which a reader asks for single values.
     """
     path = scratch_path(df.sparkSession, "stage")
     if _open_stages:
         _open_stages[-1].append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from replylens.session import cut_lineage, temporary_stages
 
 EVENT_ID = "struct<batch:bigint,row:bigint>"
 FILES_AT_ONCE = 10_000
+# Planned exports are prepared in waves of at most so many deliveries, and of about so many pairs.
+DELIVERIES_AT_ONCE, PAIRS_AT_ONCE = 1_000, 1_000_000
 
 
 def _cleaned(step):
@@ -48,10 +51,17 @@ def _folder(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _batches_at(spark: SparkSession, path: str, inside: str = "") -> list:
+    """Batches of a table for which `inside` exists; the names come to Python in one piece."""
+    where, fs = _folder(spark, f"{path}/batch_id=*{inside}")
+    found = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(where))
+    names = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(found)
+    return sorted(int(n) for n in re.findall(rf"/batch_id=(\d+){inside}(?=,|\}}$)", names))
+
+
 def batch_ids(spark: SparkSession, path: str) -> list:
     """Batches of a table that were written completely."""
-    where, fs = _folder(spark, f"{path}/batch_id=*/_SUCCESS")
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(where) or [])
+    return _batches_at(spark, path, "/_SUCCESS")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple = ()) -> None:
@@ -70,9 +80,7 @@ def read_batches(spark: SparkSession, path: str, schema: str, before: int | None
     table = spark.read.schema(schema + ", batch_id bigint").parquet(path)
     if before is not None:
         table = table.filter(F.col("batch_id") < before)
-    where, fs = _folder(spark, f"{path}/batch_id=*")
-    begun = {int(s.getPath().getName().split("=")[1]) for s in fs.globStatus(where) or []}
-    unfinished = [b for b in begun - set(ids) if before is None or b < before]
+    unfinished = [b for b in set(_batches_at(spark, path)) - set(ids) if before is None or b < before]
     return table.filter(~F.col("batch_id").isin(unfinished)) if unfinished else table
 
 
@@ -222,11 +230,99 @@ def drain(export, attempts: int = 3) -> int:
         total, failed = total + number, 0
 
 
+@_cleaned
 def drain_exports(
     spark: SparkSession, bp: Blueprint, root: str, deliver, limit: int | None = None, attempts: int = 3
 ) -> int:
-    """`export_once` until all pairs are delivered, with retries."""
-    return drain(lambda: export_once(spark, bp, root, deliver, limit), attempts)
+    """`export_once` until all pairs are delivered, with retries.
+
+    With a limit, the deliveries are planned together: pairs are put in order once, and the buckets of all
+    deliveries come from one aggregation. What is left over for a delivery does not grow with the table.
+    """
+    if limit is None:
+        return drain(lambda: export_once(spark, bp, root, deliver), attempts)
+    planned = PlannedExports(spark, bp, root, deliver, limit)
+    try:
+        return drain(planned, attempts)
+    finally:
+        _drop_unfinished(spark, planned.ledger)
+
+
+def _drop_unfinished(spark: SparkSession, path: str) -> None:
+    """Delete the batches of a table that were begun and not completed."""
+    for batch in set(_batches_at(spark, path)) - set(batch_ids(spark, path)):
+        where, fs = _folder(spark, f"{path}/batch_id={batch}")
+        fs.delete(where, True)
+
+
+class PlannedExports:
+    """A call delivers the next `limit` unexported pairs in order of their ids, and returns their number.
+
+    The ledger's rows of a wave of deliveries are written before them (`exported_at` is that time), as batches
+    that are not complete yet: each delivery completes its own. So a failed delivery, or a crash, leaves all
+    later ones unexported, and at most one delivery is made again.
+    """
+
+    def __init__(self, spark: SparkSession, bp: Blueprint, root: str, deliver, limit: int):
+        if limit <= 0:
+            raise ValueError("limit must be positive")
+        self.spark, self.bp, self.root, self.deliver, self.limit = spark, bp, root, deliver, limit
+        self.ledger = f"{root}/exports"
+        self.per_wave = max(1, min(DELIVERIES_AT_ONCE, PAIRS_AT_ONCE // limit))
+        self.total, self.next, self.written = 0, 0, -1
+
+    def __call__(self) -> int:
+        if self.next * self.limit >= self.total:
+            self._plan()
+        if not self.total:
+            return 0
+        delivery, wave = self.next, self.next // self.per_wave
+        if wave > self.written:
+            self._write_ledger(wave)
+        rows = self.buckets.filter(f"_wave = {wave} AND _delivery = {delivery}")
+        self.deliver(rows.select(*self.columns))
+        where, fs = _folder(self.spark, f"{self.ledger}/batch_id={self.first + delivery}/_SUCCESS")
+        fs.create(where, True).close()
+        self.next += 1
+        if self.next * self.limit >= self.total:
+            _mark_full(self.spark, self.root, "exports", self.newest, self.first + delivery)
+        return min(self.limit, self.total - delivery * self.limit)
+
+    def _plan(self) -> None:
+        from replylens.operators.buckets import bucket_metrics
+
+        spark, root = self.spark, self.root
+        schema = f"pair_id {EVENT_ID}, exported_at timestamp"
+        pairs, done = _since_last_full(spark, root, "pairs", pair_schema(self.bp), "exports", schema)
+        self.newest = max(batch_ids(spark, f"{root}/pairs"), default=-1)
+        self.first = max(batch_ids(spark, self.ledger), default=-1) + 1
+        rest = cut_lineage(unexported(pairs, done))
+        # A sorted row's number holds its task and its place there: places begin where the task before ends.
+        ordered = cut_lineage(rest.orderBy("pair_id").withColumn("_row", F.monotonically_increasing_id()))
+        task = F.shiftright("_row", 33).alias("_task")
+        sizes = sorted(tuple(r) for r in ordered.groupBy(task).count().collect())
+        begins = list(itertools.accumulate((n for _, n in sizes), initial=0))
+        self.total, self.next, self.written = begins.pop(), 0, -1
+        if not self.total:
+            return
+        known = spark.createDataFrame([(t, b) for (t, _), b in zip(sizes, begins, strict=True)], "_task long, _begin long")
+        place = f"_begin + (_row & {(1 << 33) - 1}L)"
+        numbered = ordered.withColumn("_task", task).join(F.broadcast(known), "_task")
+        numbered = numbered.withColumn("_delivery", F.expr(f"({place}) div {self.limit}L"))
+        self.planned = cut_lineage(numbered.select(*rest.columns, "_delivery"))
+        made = bucket_metrics(self.planned, self.bp, per=["_delivery"])
+        self.columns = [c for c in made.columns if c != "_delivery"]
+        wave = F.expr(f"_delivery div {self.per_wave}L").alias("_wave")
+        self.buckets = cut_lineage(made.select("*", wave).hint("rebalance", "_wave"), "_wave")
+
+    def _write_ledger(self, wave: int) -> None:
+        _drop_unfinished(self.spark, self.ledger)
+        begin, end = wave * self.per_wave, (wave + 1) * self.per_wave
+        taken = self.planned.filter((F.col("_delivery") >= begin) & (F.col("_delivery") < end))
+        batch = (F.col("_delivery") + self.first).alias("batch_id")
+        rows = taken.select("pair_id", F.current_timestamp().alias("exported_at"), batch)
+        rows.write.mode("append").partitionBy("batch_id").parquet(self.ledger)
+        self.written = wave
 
 
 # -- the older transaction table ----------------------------------------------------------------

@@ -335,6 +335,59 @@ def test_drain_retries_and_gives_up(spark, tmp_path):
     assert tables.drain_exports(spark, BP, root, deliver, limit=2, attempts=2) == 5
 
 
+def test_drain_does_the_shared_work_once(spark, tmp_path, monkeypatch):
+    """Nine deliveries in waves of four, one of which fails once: jobs come with a wave, not with a delivery."""
+    root = str(tmp_path / "t")
+    ids = "named_struct('batch', 0L, 'row', id)"
+    pairs = spark.range(0, 52, 3).selectExpr(
+        f"'{BP.name}' blueprint", f"{ids} pair_id", "string(id) correlation_key", f"{ids} request_id", f"{ids} response_id",
+        "timestamp_seconds(id) request_ts", "timestamp_seconds(id + 1) response_ts", "1000 + id latency_ms", "'SUCCESS' outcome",
+        "if(id % 2 = 0, 'x', null) operation",
+    )
+    tables.write_batch(pairs.repartition(5), f"{root}/pairs", 0)
+    rows = sorted(pairs.collect(), key=lambda r: r.pair_id)
+    monkeypatch.setattr(tables, "DELIVERIES_AT_ONCE", 4)
+    delivered, planned, plan = [], [], tables.PlannedExports._plan
+    monkeypatch.setattr(tables.PlannedExports, "_plan", lambda self: planned.append(1) or plan(self))
+
+    def deliver(buckets):
+        if len(delivered) == 5 and not planned[1:]:
+            planned.append(0)
+            raise IOError("503")
+        delivered.append({tuple(r) for r in buckets.collect()})
+
+    assert tables.drain_exports(spark, BP, root, deliver, limit=2) == 18
+    parts = [rows[i : i + 2] for i in range(0, 18, 2)]
+    assert delivered == [{tuple(r) for r in bucket_metrics(spark.createDataFrame(p, pairs.schema), BP).collect()} for p in parts]
+    # Once for all, once to find that nothing is left.
+    assert planned == [1, 0, 1]
+    ledger = tables.read_batches(spark, f"{root}/exports", f"pair_id {tables.EVENT_ID}, exported_at timestamp")
+    assert sorted((r.batch_id, r.pair_id) for r in ledger.collect()) == [(i // 2, r.pair_id) for i, r in enumerate(rows)]
+
+
+def test_a_drain_that_stops_records_what_was_delivered(spark, tmp_path):
+    root, source = str(tmp_path / "t"), tmp_path / "events.jsonl"
+    touch(source, "".join(line(f"k{i}", "begin", f"{i:02d}") + line(f"k{i}", "finish", f"{i:02d}.100") for i in range(7)))
+    tables.read_once(spark, BP, root, [str(source)], reader(spark))
+    counts = []
+
+    def deliver(buckets):
+        if len(counts) == 2:
+            raise IOError("503")
+        counts.extend(r["count"] for r in buckets.collect())
+
+    with pytest.raises(IOError):
+        tables.drain_exports(spark, BP, root, deliver, limit=2)
+    assert tables.batch_ids(spark, f"{root}/exports") == tables._batches_at(spark, f"{root}/exports") == [0, 1]
+    # What a crash leaves behind is not taken for exported.
+    stored_pairs(spark, root).select("pair_id", F.current_timestamp().alias("exported_at")).write.parquet(f"{root}/exports/batch_id=2")
+    os.remove(f"{root}/exports/batch_id=2/_SUCCESS")
+    assert tables.drain_exports(spark, BP, root, lambda b: counts.extend(r["count"] for r in b.collect()), limit=2) == 3
+    assert counts == [2, 2, 2, 1] and tables.batch_ids(spark, f"{root}/exports") == [0, 1, 2, 3]
+    with pytest.raises(ValueError, match="limit"):
+        tables.drain_exports(spark, BP, root, print, limit=0)
+
+
 def test_modes(spark, tmp_path):
     lines = spark.readStream.format("rate").load()
     for bad in ({"mode": "poll"}, {"poll_ms": 0}):
