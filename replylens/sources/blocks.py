@@ -8,6 +8,7 @@ block) and reads past its end to finish the last one. So no block has to be shuf
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from dataclasses import dataclass
@@ -17,7 +18,11 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SEPARATOR = re.compile(rb"^[^\S\n]*<={5,}>[^\S\n]*\n", re.MULTILINE)
 CHUNK = 4 << 20
 LINE = 1 << 20
+# Read behind a range at first, to finish its last block.
+BEYOND = 4096
 BATCH = 2000
+# Small ranges are read many to a task, of up to so many bytes.
+TASK_BYTES = 32 << 20
 
 
 @dataclass
@@ -25,13 +30,23 @@ class Ranges(InputPartition):
     parts: list  # (path, start, end)
 
 
-def plan_ranges(files: list, split_bytes: int) -> list:
-    """Byte ranges of about `split_bytes`; small files share a partition. A third item is where to begin."""
+def task_bytes(size: int, split_bytes: int, tasks: int) -> int:
+    """What a task reads of `size` bytes: TASK_BYTES, or less if that gives fewer than `tasks` tasks; at least a range."""
+    return max(split_bytes, min(TASK_BYTES, -(-size // max(1, tasks))))
+
+
+def plan_ranges(files: list, split_bytes: int, tasks: int | None = None) -> list:
+    """Byte ranges of about `split_bytes`; small files share a partition. A third item is where to begin.
+
+    With `tasks`, a partition has as many ranges as `task_bytes` allows.
+    """
+    size = sum(size - sum(begin) for _, size, *begin in files)
+    most = split_bytes if tasks is None else task_bytes(size, split_bytes, tasks)
     partitions, current, filled = [], [], 0
     for path, size, *begin in files:
         for start in range(*(begin or [0]), size, split_bytes):
             end = min(start + split_bytes, size)
-            if current and filled + (end - start) > split_bytes:
+            if current and filled + (end - start) > most:
                 partitions.append(Ranges(current))
                 current, filled = [], 0
             current.append((path, start, end))
@@ -55,17 +70,20 @@ def open_file(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _separators(stream, start: int, limit_at: float = math.inf):
+def _separators(stream, start: int, limit_at: float = math.inf, first_read: int = CHUNK):
     """(start, end, base, buffer) of the separator lines from the line break before `start` to `limit_at`.
 
     `buffer` holds the bytes from `base` on; start is None where lines are known up to base. Only the line that is being read is kept, and of a line longer than LINE, which is no separator,
-    nothing; so memory does not depend on the length of blocks or lines.
+    nothing; so memory does not depend on the length of blocks or lines. Reads begin with `first_read` bytes and
+    double up to CHUNK, so that a small range does not read a chunk.
     """
     base = max(0, start - 1)
     buffer, at_line_start = b"", start == 0
+    step = max(1, first_read)
     while True:
+        step, size = 2 * step, min(step, CHUNK)
         stream.seek(base + len(buffer))
-        more = stream.read(int(min(CHUNK, max(0, limit_at - base - len(buffer)))))
+        more = stream.read(int(min(size, max(0, limit_at - base - len(buffer)))))
         buffer += more
         limit = buffer.rfind(b"\n") + 1
         if not limit and (len(buffer) > LINE or not at_line_start):
@@ -91,7 +109,7 @@ def _between(stream, start: int, end: int, base: int, buffer: bytes) -> bytes:
 def blocks_in_range(stream, start: int, end: int):
     """(offset, block bytes) of the blocks owned by [start, end): those that begin there."""
     block = 0 if start == 0 else None  # file offset of the open block
-    for at, after, base, buffer in _separators(stream, start):
+    for at, after, base, buffer in _separators(stream, start, first_read=end - start + BEYOND):
         if at is None:
             if block is None and after >= end:
                 return
@@ -181,13 +199,14 @@ def _rows(ranges, read):
         columns = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    for path, start, end in ranges:
+    for path, parts in itertools.groupby(ranges, lambda r: r[0]):
         with open_file(path) as stream:
-            for offset, raw in read(stream, start, end):
-                rows.append((path, offset, raw.decode("utf-8", "replace")))
-                if len(rows) >= BATCH:
-                    yield batch()
-                    rows = []
+            for _, start, end in parts:
+                for offset, raw in read(stream, start, end):
+                    rows.append((path, offset, raw.decode("utf-8", "replace")))
+                    if len(rows) >= BATCH:
+                        yield batch()
+                        rows = []
     if rows:
         yield batch()
 
@@ -238,6 +257,7 @@ class GrowingFiles(DataSourceStreamReader):
         self.path, self.glob = options["path"], options.get("glob")
         self.unit = options.get("unit", "blocks")
         self.split_bytes = int(options.get("splitBytes", 128 << 20))
+        self.tasks = int(options.get("tasks", 1))
 
     def initialOffset(self):
         return {}
@@ -251,7 +271,7 @@ class GrowingFiles(DataSourceStreamReader):
             known = start.get(path, 0)
             if size != known:
                 grown.append((path, size, known if known < size else 0))
-        return plan_ranges(grown, self.split_bytes) or [Ranges([])]
+        return plan_ranges(grown, self.split_bytes, self.tasks) or [Ranges([])]
 
     def read(self, partition):
         return _rows(partition.parts, UNITS[self.unit])

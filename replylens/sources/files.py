@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replylens.sources.blocks import BlockSource, read_ranges
+from replylens.sources.blocks import BlockSource, read_ranges, task_bytes
 
 log = logging.getLogger(__name__)
 
@@ -123,7 +123,7 @@ def read_blocks(
 
 
 def _ranges(spark, paths, glob, split_bytes, recursive, unit) -> DataFrame:
-    """Files are listed and cut into ranges by Spark; a task reads ranges of about `split_bytes`."""
+    """Files are listed and cut into ranges of `split_bytes` by Spark; a task reads many small ones (`task_bytes`)."""
     schema = "source string, offset bigint, value string"
     states = _states(spark, paths, glob, **({"recursiveFileLookup": "true"} if recursive else {}))
     size = states.agg(F.sum("length")).first()[0] if states is not None else None
@@ -137,7 +137,10 @@ def _ranges(spark, paths, glob, split_bytes, recursive, unit) -> DataFrame:
         for batch in batches:
             yield from read_ranges(zip(*(c.to_pylist() for c in batch.columns), strict=True), unit)
 
-    return ranges.repartition(-(-size // split_bytes)).mapInArrow(read, schema)
+    most = task_bytes(size, split_bytes, spark.sparkContext.defaultParallelism)
+    # Neighbouring ranges go together, so that a task opens few files.
+    ranges = ranges.repartitionByRange(-(-size // most), "path", "start").sortWithinPartitions("path", "start")
+    return ranges.mapInArrow(read, schema)
 
 
 def stream_growing(
@@ -152,6 +155,7 @@ def stream_growing(
         raise ValueError("unit must be blocks or lines")
     spark.dataSource.register(BlockSource)
     reader = spark.readStream.format(BlockSource.name()).option("unit", unit).option("splitBytes", split_bytes)
+    reader = reader.option("tasks", spark.sparkContext.defaultParallelism)
     return (reader.option("glob", glob) if glob else reader).load(path)
 
 

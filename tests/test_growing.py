@@ -68,6 +68,43 @@ def test_an_unfinished_block_is_not_read_again(monkeypatch):
     assert Counted.calls < 50
 
 
+class Measured(io.BytesIO):
+    total = 0
+
+    def read(self, n=-1):
+        data = super().read(n)
+        Measured.total += len(data)
+        return data
+
+
+def test_a_small_range_reads_little_behind_its_end():
+    data = b"Field 002: 1\n<=====>\n" * 300_000
+    Measured.total, got = 0, []
+    for start in range(0, 2_000_000, 50_000):
+        got += blocks.blocks_in_range(Measured(data), start, start + 50_000)
+    assert got == [b for b in plain_blocks(data[:2_000_100]) if b[0] == 0 or b[0] - 8 < 2_000_000]
+    assert Measured.total < 2_500_000
+    # A block that goes on far behind its range is still whole.
+    data = b"<=====>\n" + b"text\n" * 2_000_000 + b"<=====>\n"
+    assert [len(b) for _, b in blocks.blocks_in_range(io.BytesIO(data), 0, 50_000)] == [0, 10_000_000]
+
+
+def test_a_task_reads_many_small_ranges(spark, tmp_path):
+    """Ranges keep their size; tasks follow the bytes, not the ranges."""
+    for name in "ab":
+        appended(tmp_path / f"{name}.log", b"Field 002: 1\n<=====>\n" * 2_000)
+    found = files.read_blocks(spark, str(tmp_path), split_bytes=100)
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted((r.source[-5:], r.offset) for r in found.collect()) == [(f"{n}.log", 21 * i) for n in "ab" for i in range(2_000)]
+    given = [("a", 100 << 20), ("b", 950, 50), ("c", 10)]
+    planned = blocks.plan_ranges(given, 50_000, 8)
+    assert 8 <= len(planned) <= 9 and len(blocks.plan_ranges(given, 50_000, 1)) == 4
+    assert [r for p in planned for r in p.parts] == [r for p in blocks.plan_ranges(given, 50_000) for r in p.parts]
+    assert max(end - start for p in planned for _, start, end in p.parts) == 50_000
+    # Small inputs still have a task for each core, and large ranges a task each.
+    assert len(blocks.plan_ranges([("a", 1_000)], 100, 8)) > 4 and len(blocks.plan_ranges([("a", 1 << 30)], 128 << 20, 2)) == 8
+
+
 def appended(path, text):
     with open(path, "ab") as f:
         f.write(text)
