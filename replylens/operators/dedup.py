@@ -32,6 +32,14 @@ def columns_as_fields(names: list) -> Column:
     return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
 
 
+def columns_payload(names: list) -> Column:
+    """`payload(columns_as_fields(names))`; the names are known here, so no row has to sort them."""
+    if not names:
+        return payload(columns_as_fields(names))
+    fields = F.struct(*[F.col(f"`{n}`").cast("string").alias(n) for n in sorted(names)])
+    return F.to_json(fields, {"ignoreNullFields": "true"})
+
+
 def with_event_hash(events: DataFrame, record: Column) -> DataFrame:
     return events.withColumn("event_hash", event_hash(record))
 

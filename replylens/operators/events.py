@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from replylens.blueprint import Blueprint, column_of
 from replylens.functions import field, once, strict_instant
-from replylens.operators.dedup import columns_as_fields
-from replylens.operators.dedup import payload as record_payload
+from replylens.operators import dedup
 
 REQUEST = "request"
 RESPONSE = "response"
@@ -64,11 +63,11 @@ def require_core_fields(df: DataFrame, bp: Blueprint) -> DataFrame:
 TECHNICAL = ("event_id", "source", "offset", "value", "is_object", "fields")
 
 
-def record_fields(df: DataFrame) -> Column:
-    """MAP of the whole record: the column `fields` if there is one, else all columns of the record."""
+def record_payload(df: DataFrame) -> Column:
+    """The whole record as JSON text: the MAP column `fields` if there is one, else all columns of the record."""
     if "fields" in df.columns and isinstance(df.schema["fields"].dataType, T.MapType):
-        return F.col("fields")
-    return columns_as_fields([c for c in df.columns if c not in TECHNICAL])
+        return dedup.payload(F.col("fields"))
+    return dedup.columns_payload([c for c in df.columns if c not in TECHNICAL])
 
 
 def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None, payload: bool = False) -> DataFrame:
@@ -92,7 +91,7 @@ def normalise(df: DataFrame, bp: Blueprint, keep: list | None = None, payload: b
         role(bp).alias("role"),
         time.alias("event_ts"),
         *[field(c).cast("string").alias(column_of(c)) for c in bp.carried_fields],
-        *([record_payload(record_fields(df)).alias("payload")] if payload else []),
+        *([record_payload(df).alias("payload")] if payload else []),
     )
 
 

@@ -111,6 +111,29 @@ def test_ids_are_unique_over_batches(spark, tmp_path):
     assert stored_events(spark, root).count() == 200
 
 
+def test_only_identities_are_compared_with_the_stored_events(spark, tmp_path, monkeypatch):
+    """Copies, known and new records in one batch; one identity whose stored columns differ counts twice."""
+    from replylens.operators.events import normalise
+
+    root, compared, plain = str(tmp_path / "t"), [], tables.dedup.new_events
+    monkeypatch.setattr(tables.dedup, "new_events", lambda events, stored: compared.append(set(events.columns)) or plain(events, stored))
+    schema = "request_id string, kind string, occurred_at string, operation string, status string"
+
+    def events(*keys):
+        rows = [(k, "begin", f"2026-10-0{1 + i % 2}T10:00:00Z", None, None) for i, k in enumerate(keys)]
+        return normalise(spark.createDataFrame(rows, schema).coalesce(1), BP)
+
+    tables.store_events(events("a", "b", "a"), BP, root, 0)
+    assert tables.store_events(events("a", "b", "a"), BP, root, 1).count() == 0
+    new = events("a", "b", "a", "x", "c", "y", "c").unionByName(events("c")).withColumn("payload", F.lit("same"))
+    new = new.withColumn("operation", F.when(F.col("correlation_key") == "y", "z")).unionByName(new.filter("correlation_key = 'y'"))
+    got = tables.store_events(new.filter("correlation_key in ('c', 'x', 'y')"), BP, root, 2)
+    assert sorted((r.correlation_key, str(r.operation), str(r.event_date)[-2:]) for r in got.collect()) == [
+        ("c", "None", "01"), ("x", "None", "02"), ("y", "None", "02"), ("y", "z", "02"),
+    ]
+    assert len(compared) == 2 and not any({"payload", "operation", "status"} & c for c in compared)
+
+
 def test_failed_export_is_retried(spark, tmp_path):
     root, source = str(tmp_path / "t"), tmp_path / "events.jsonl"
     touch(source, line("txn-9", "begin", "00") + line("txn-9", "finish", "00.250"))
@@ -150,6 +173,22 @@ def test_identity_ignores_field_order(spark):
     assert sorted(r["event_id"] for r in D.dedup_events(hashed).collect()) == [1, 3, 4]
 
 
+def test_payload_of_columns_sorts_no_row(spark):
+    """The text of the sorted map, written from a plain struct."""
+    df = spark.sql(
+        """SELECT 'a"\u00e9\n/' b, string(null) `a.x`, 1.50D Z, timestamp'2026-10-01 00:00:01.5' `\u00e9`, true A_
+        UNION ALL SELECT null, '<q>', null, null, null UNION ALL SELECT null, null, null, null, null"""
+    )
+    both = df.select(D.payload(D.columns_as_fields(df.columns)).alias("map"), D.columns_payload(df.columns).alias("columns"))
+    assert all(r["map"] == r["columns"] for r in both.collect()) and both.filter("columns = '{}'").count() == 1
+    records = spark.createDataFrame([("k", "begin", "2026-10-01T10:00:00Z", "1")], "request_id string, kind string, occurred_at string, amount string")
+    from replylens.operators.events import normalise
+
+    planned = normalise(records.withColumns({c: F.lit(None).cast("string") for c in ("operation", "status")}), BP, payload=True)
+    assert planned.first()["payload"] == '{"amount":"1","kind":"begin","occurred_at":"2026-10-01T10:00:00Z","request_id":"k"}'
+    assert "sort" not in planned._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_quarantine(spark):
     lines = spark.createDataFrame([(x,) for x in FIRST.splitlines() + [line("a", "begin", "99"), '{"kind":"begin"}']], "value string")
     good, bad = tables.quarantine_records(P.parse_json_fields(lines, BP.source_fields), BP)
